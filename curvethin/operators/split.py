@@ -89,7 +89,8 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     n_blocks = rows // B + n_series  # bound on (series, block) pairs
 
     d = global_positions(df, keys, order, row_num, rows, B, n_series)
-    d = d.join(_side(sizes.select(*keys, size), n_series), keys)
+    size_keys = [c for c in sizes.columns if c != size]
+    d = d.join(_side(sizes.select(*size_keys, size), n_series), size_keys)
     d = with_regions(d, cfg, row_num, size)
     d = (d.withColumn("_blk", F.floor((F.col(row_num) - 1) / F.lit(B)).cast("long"))
           .withColumn("_x", F.col(row_num).cast("double"))

@@ -25,7 +25,7 @@ holding a whole series in one task.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,42 +173,69 @@ def finish(d: DataFrame, cfg: ThinConfig, detail: bool) -> DataFrame:
     return d.drop(*[c for c in d.columns if c.startswith("_")])
 
 
-def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,
-          cfg: ThinConfig, detail: bool = False, split: str = "auto",
-          row_num: str = "row_num", size: str = "n") -> DataFrame:
+def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str | Column],
+                    category: str = "zip_category", value: str = "y") -> DataFrame:
+    """One row per (row, metric): ``ids``, ``category`` (the metric tag) and
+    ``value`` as double.  An ``Expand`` node, inside whole-stage codegen."""
+    clash = {c.lower() for c in ids} & {c.lower() for c in metrics}
+    if clash:
+        raise ValueError(f"metric tags clash with id columns: {clash}")
+    d = df.select(*ids, *[X.col(c).cast("double").alias(tag) for tag, c in metrics.items()])
+    return d.unpivot(list(ids), list(metrics), category, value)
+
+
+def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],
+             numbered: bool, order, row_num: str, size: str, category: str):
+    """Number (optionally) and unpivot; returns (frame, group keys, value column)."""
+    if numbered:
+        df = number_rows(df, keys, order, row_num, size)
+    if isinstance(y, str):
+        return df, keys, y
+    ids = [c for c in df.columns if c not in set(map(str, y.values()))]
+    return unpivot_metrics(df, ids, y, category, "y"), keys + [category], "y"
+
+
+def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+          y: str | Mapping[str, str | Column], cfg: ThinConfig, detail: bool = False,
+          split: str = "auto", row_num: str = "row_num", size: str = "n",
+          category: str = "zip_category") -> DataFrame:
     """Number the rows of each series by ``order`` and score them.
 
+    y: the metric column, or ``{tag: column}`` to thin several metrics of the
+       same rows at once (output has one row per row and tag, tag in
+       ``category``; rows are numbered before the unpivot, so the numbering
+       exchange on ``keys`` also serves the per-metric windows).
     split: "auto" routes series longer than ``cfg.max_series_rows`` to the
-    split path (one extra aggregate over the key columns decides); "never"
-    keeps everything on the window path; "always" forces the split path.
+       split path (one aggregate over the key columns decides); "never" keeps
+       everything on the window path; "always" forces the split path.
     """
     keys = list(keys)
     if split == "never":
-        return score_local(number_rows(df, keys, order, row_num, size), keys, cfg, y,
-                           row_num, size, detail)
+        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
+        return score_local(d, gk, cfg, v, row_num, size, detail)
     from .split import score_split  # local import: split imports this module
 
     sizes = series_sizes(df, keys, size)
-    if split == "always":
-        hot = sizes.persist()
-    else:
-        hot = sizes.filter(F.col(size) > F.lit(cfg.max_series_rows)).persist()
+    if split != "always":
+        sizes = sizes.filter(F.col(size) > F.lit(cfg.max_series_rows))
+    hot = sizes.persist()
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum(size).alias("rows")).first()
     n_hot, hot_rows = int(stats["k"]), int(stats["rows"] or 0)
     if n_hot == 0:
         hot.unpersist()
-        return score_local(number_rows(df, keys, order, row_num, size), keys, cfg, y,
-                           row_num, size, detail)
+        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
+        return score_local(d, gk, cfg, v, row_num, size, detail)
     hot_keys = hot.select(*keys)
-    small = n_hot <= BROADCAST_KEY_LIMIT
-    if small:
+    if n_hot <= BROADCAST_KEY_LIMIT:
         hot_keys = F.broadcast(hot_keys)
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
-    cold_scored = score_local(number_rows(cold, keys, order, row_num, size), keys, cfg, y,
-                              row_num, size, detail)
-    warm_scored = score_split(warm, keys, order, y, cfg, hot.withColumnRenamed(size, size),
-                              n_hot, hot_rows, detail=detail, row_num=row_num, size=size)
+    d, gk, v = _prepare(cold, keys, y, True, order, row_num, size, category)
+    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail)
+    w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category)
+    n_metrics = 1 if isinstance(y, str) else len(y)
+    warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
+                              hot_rows * n_metrics, detail=detail, row_num=row_num, size=size)
     return cold_scored.unionByName(warm_scored.select(*cold_scored.columns))
 
 
@@ -218,3 +245,44 @@ def thin(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: s
     cols = df.columns
     s = score(df, keys, order, y, cfg, split=split)
     return s.filter(F.col("keep")).select(*cols, "row_num")
+
+
+def level_view(numbered: DataFrame, keys: Sequence[str], cfg: ThinConfig, level: int,
+               y: str = "y", row_num: str = "row_num", size: str = "n") -> DataFrame:
+    """Middle rows of long series at one fixed level: ``_x``/``_y`` as x, y,
+    ``sig``, ``rnk``, ``entry``, ``kept``, anchors ``prev``/``next`` (structs
+    of x, y; ``prev`` already (0,0) in "origin" mode when missing), ``yhat``.
+
+    Used by the step-by-step operators (neighbours, ranking, anchors,
+    interpolation, fit at a level); the full operator is :func:`score`.
+    """
+    keys = list(keys)
+    wp = Window.partitionBy(*keys)
+    wx = wp.orderBy(row_num)
+    d = with_regions(numbered, cfg, row_num, size)
+    d = d.withColumn("x", F.col(row_num).cast("double")).withColumn("y_", F.col(y).cast("double"))
+    d = (d.withColumn("x_prev", F.when(is_interior(), F.lag("x").over(wx)))
+          .withColumn("y_prev", F.when(is_interior(), F.lag("y_").over(wx)))
+          .withColumn("x_next", F.when(is_interior(), F.lead("x").over(wx)))
+          .withColumn("y_next", F.when(is_interior(), F.lead("y_").over(wx))))
+    d = d.withColumn("sig", F.when(is_interior(), X.significance(
+        F.col("x"), F.col("y_"), F.col("x_prev"), F.col("y_prev"), F.col("x_next"),
+        F.col("y_next"))))
+    ws = wp.orderBy(F.col("sig").desc_nulls_last(), F.col(row_num).asc())
+    d = d.withColumn("rnk", F.when(is_interior(), F.row_number().over(ws)))
+    d = with_entry(d, cfg)
+    d = d.withColumn("kept", F.when(is_middle(), F.col("entry") <= F.lit(level)))
+    wprev = wx.rowsBetween(Window.unboundedPreceding, -1)
+    wnext = wp.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    pt = point("x", "y_")
+    prev = F.last(F.when(F.col("kept") & prev_eligible(cfg), pt), ignorenulls=True).over(wprev)
+    if cfg.leading_anchor == "origin":
+        prev = F.coalesce(prev, origin())
+    d = d.withColumn("prev", F.when(is_middle(), prev))
+    d = d.withColumn("next", F.when(is_middle(), F.last(F.when(F.col("kept") & is_middle(), pt),
+                                                         ignorenulls=True).over(wnext)))
+    yhat = X.interpolate(F.col("x"), F.col("prev.x"), F.col("prev.y"), F.col("next.x"),
+                         F.col("next.y"))
+    d = d.withColumn("yhat", F.when(is_middle(), F.when(F.col("kept"), F.col("y_"))
+                                    .otherwise(yhat)))
+    return d.filter(is_middle()).drop(y).withColumnRenamed("y_", "y")
