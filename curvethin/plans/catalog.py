@@ -239,12 +239,14 @@ def q_interpolate(spark, sf):
 def q_fit_quality(spark, sf):
     d = _b_level(spark, sf)
     err = (F.col("yhat") - F.col("y")) * (F.col("yhat") - F.col("y"))
-    g = d.groupBy("user_id").agg(F.avg("y").alias("mean_y"), F.sum(err).alias("sse"),
+    g = d.groupBy("user_id").agg(F.sum("y").alias("sum_y"), F.count("y").alias("n_points"),
+                                 F.sum(err).alias("sse"),
                                  (F.var_pop("y") * F.count("y")).alias("sst"),
                                  (F.min("y") == F.max("y")).alias("flat"))
     sst = F.when(F.col("flat"), F.lit(0.0)).otherwise(F.col("sst"))
     # sums reach ~1e5: 3 decimals keep them clear of summation-order noise
-    return present(g.select("user_id", r6("mean_y").alias("mean_y"),
+    # the mean is sum_y / n_points; the mean itself can sit on a rounding half
+    return present(g.select("user_id", F.round("sum_y", 3).alias("sum_y"), "n_points",
                             F.round("sse", 3).alias("sse"), F.round(sst, 3).alias("sst"),
                             r6(X.fit(F.col("sse"), sst)).alias("fit")))
 

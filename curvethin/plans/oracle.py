@@ -300,7 +300,8 @@ FROM lvx WHERE NOT kept"""
     q["nearest_kept_first"] = _with(_b_src(), _b_level_ctes(bf)) + anchors.format(px=_px(bf), py=_py(bf))
     q["interpolate"] = blv + "\nSELECT user_id, CAST(rn AS BIGINT) AS row_num, yy AS y, round(yhat2, 6) AS yhat FROM lvx"
     q["fit_quality"] = blv + """
-SELECT user_id, round(avg(yy), 6) AS mean_y, round(sum((yhat2 - yy) * (yhat2 - yy)), 3) AS sse,
+SELECT user_id, round(sum(yy), 3) AS sum_y, CAST(count(yy) AS BIGINT) AS n_points,
+  round(sum((yhat2 - yy) * (yhat2 - yy)), 3) AS sse,
   round(max(s.sst), 3) AS sst,
   round(CASE WHEN sum((yhat2 - yy) * (yhat2 - yy)) = 0 OR max(s.sst) = 0 THEN 1.0
              ELSE 1 - sqrt(sum((yhat2 - yy) * (yhat2 - yy)) / max(s.sst)) END, 6) AS fit
