@@ -45,18 +45,18 @@ def with_regions(df: DataFrame, cfg: ThinConfig, row_num: str = "row_num",
     mpos     1-based position inside the middle list
     n_mid    size of the middle list
     """
-    rn, n = F.col(row_num), F.col(size)
-    n_mid = n - F.lit(cfg.pre) - F.lit(cfg.post)
-    region = (
-        F.when(n <= F.lit(cfg.threshold), F.lit("pass"))
-        .when(n_mid <= 0, F.lit("all"))
-        .when(rn <= F.lit(cfg.pre), F.lit("head"))
-        .when(rn > n - F.lit(cfg.post), F.lit("tail"))
-        .otherwise(F.lit("middle"))
-    )
-    return (df.withColumn("region", region)
-              .withColumn("n_mid", F.when(region == "middle", n_mid))
-              .withColumn("mpos", F.when(region == "middle", rn - F.lit(cfg.pre))))
+    rn, n = _q(row_num), _q(size)
+    n_mid = f"({n} - {cfg.pre} - {cfg.post})"
+    region = (f"CASE WHEN {n} <= {cfg.threshold} THEN 'pass' WHEN {n_mid} <= 0 THEN 'all' "
+              f"WHEN {rn} <= {cfg.pre} THEN 'head' WHEN {rn} > {n} - {cfg.post} THEN 'tail' "
+              f"ELSE 'middle' END")
+    d = df.select("*", F.expr(region).alias("region"))
+    return d.select("*", F.expr(f"CASE WHEN region = 'middle' THEN {n_mid} END").alias("n_mid"),
+                    F.expr(f"CASE WHEN region = 'middle' THEN {rn} - {cfg.pre} END").alias("mpos"))
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def head_rows(df: DataFrame, cfg: ThinConfig) -> DataFrame:

@@ -35,8 +35,8 @@ from ..config import ThinConfig
 from ..functions import exprs as X
 from ..session import checkpoint_dir
 from .series import with_regions
-from .thin import (bad_value, error_columns, finish, fit_columns, is_interior, is_middle,
-                   kept_at, point, prev_eligible, with_entry)
+from .thin import (BAD_SQL, INTERIOR, MIDDLE, error_columns, finish, fits_column, is_interior,
+                   kept_point_sql, point, prev_eligible_sql, with_entry)
 
 # Side tables with at most this many rows are broadcast.
 SIDE_BROADCAST_ROWS = 2_000_000
@@ -111,8 +111,8 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     last_in_blk = (F.col(row_num) % F.lit(B) == 0)
     d = (d.withColumn("_yp", F.when(first_in_blk, F.col("_edge_yp")).otherwise(F.lag("_y").over(wbx)))
           .withColumn("_yn", F.when(last_in_blk, F.col("_edge_yn")).otherwise(F.lead("_y").over(wbx))))
-    d = d.withColumn("sig", F.when(is_interior(), X.significance(
-        F.col("_x"), F.col("_y"), F.col("_x") - 1, F.col("_yp"), F.col("_x") + 1, F.col("_yn"))))
+    sig = X.significance_sql("_x", "_y", "_x - 1", "_yp", "_x + 1", "_yn")
+    d = d.withColumn("sig", F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END"))
     d = d.drop("_edge_yp", "_edge_yn", "_yp", "_yn")
 
     # Rank by significance: interior points first (non-null), ties by x.
@@ -123,12 +123,11 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
     # Anchors: inside the block by running windows, else carried from the
     # blocks before (last eligible kept point) or after (first kept point).
-    pt = point("_x", "_y")
-    ok = prev_eligible(cfg)
+    ok = prev_eligible_sql(cfg)
     levels = range(1, L + 1)
     summ = d.groupBy(*keys, "_blk").agg(
-        *[F.max(F.when(kept_at(lv) & ok, pt)).alias(f"_lp{lv}") for lv in levels],
-        *[F.min(F.when(kept_at(lv) & is_middle(), pt)).alias(f"_fn{lv}") for lv in levels])
+        *[F.max(F.expr(kept_point_sql(lv, ok))).alias(f"_lp{lv}") for lv in levels],
+        *[F.min(F.expr(kept_point_sql(lv, MIDDLE))).alias(f"_fn{lv}") for lv in levels])
     wup = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     wdn = Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -140,22 +139,22 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     wprev = wbx.rowsBetween(Window.unboundedPreceding, -1)
     wnext = wb.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
     a = d.join(_side(carry, n_blocks), [*keys, "_blk"])
-    a = a.select("*", *[F.coalesce(F.last(F.when(kept_at(lv) & ok, pt), ignorenulls=True)
+    a = a.select("*", *[F.coalesce(F.last(F.expr(kept_point_sql(lv, ok)), ignorenulls=True)
                                    .over(wprev), F.col(f"_cp{lv}")).alias(f"_p{lv}")
                         for lv in levels])
-    a = a.select("*", *[F.coalesce(F.last(F.when(kept_at(lv) & is_middle(), pt), ignorenulls=True)
+    a = a.select("*", *[F.coalesce(F.last(F.expr(kept_point_sql(lv, MIDDLE)), ignorenulls=True)
                                    .over(wnext), F.col(f"_cn{lv}")).alias(f"_n{lv}")
                         for lv in levels])
-    errs = error_columns(cfg, [F.col(f"_p{lv}") for lv in levels],
-                         [F.col(f"_n{lv}") for lv in levels])
-    mid_y = F.when(is_middle(), F.col("_y"))
+    errs = error_columns(cfg, [f"_p{lv}" for lv in levels], [f"_n{lv}" for lv in levels])
+    mid_y = F.expr(f"CASE WHEN {MIDDLE} THEN _y END")
     per_series = a.groupBy(*keys).agg(
         *[F.sum(e).alias(f"_sse{i}") for i, e in enumerate(errs, 1)],
-        (F.var_pop(mid_y) * F.count(mid_y)).alias("_sst"),
-        (F.min(mid_y) == F.max(mid_y)).alias("_flat"),
-        F.coalesce(F.max(F.when(is_middle(), bad_value(F.col("_y")))), F.lit(False)).alias("failed"))
-    sst = F.when(F.col("_flat"), F.lit(0.0)).otherwise(F.col("_sst"))
-    fits = fit_columns(cfg, [F.col(f"_sse{lv}") for lv in levels], sst)
-    per_series = per_series.select(*keys, "failed", F.array(*fits).alias("_fits"))
+        F.var_pop(mid_y).alias("_var"), F.count(mid_y).alias("_cnt"),
+        F.min(mid_y).alias("_ymin"), F.max(mid_y).alias("_ymax"),
+        F.max(F.expr(f"CASE WHEN {MIDDLE} THEN {BAD_SQL} END")).alias("_bad"))
+    sst = "(CASE WHEN _ymin = _ymax THEN 0.0D ELSE _var * _cnt END)"
+    per_series = per_series.select(
+        *keys, F.expr("coalesce(_bad, false)").alias("failed"),
+        fits_column(cfg, [f"_sse{lv}" for lv in levels], sst).alias("_fits"))
     out = d.join(_side(per_series, n_series), keys)
     return finish(out, cfg, detail).drop("_blk")

@@ -50,16 +50,38 @@ def origin() -> Column:
     return F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
 
+MIDDLE = "region = 'middle'"
+INTERIOR = f"({MIDDLE} AND mpos > 1 AND mpos < n_mid)"
+END = f"({MIDDLE} AND (mpos = 1 OR mpos = n_mid))"
+
+
 def is_middle() -> Column:
-    return F.col("region") == "middle"
+    return F.expr(MIDDLE)
 
 
 def is_interior() -> Column:
-    return is_middle() & (F.col("mpos") > 1) & (F.col("mpos") < F.col("n_mid"))
+    return F.expr(INTERIOR)
 
 
 def is_end() -> Column:
-    return is_middle() & ((F.col("mpos") == 1) | (F.col("mpos") == F.col("n_mid")))
+    return F.expr(END)
+
+
+def prev_eligible_sql(cfg: ThinConfig) -> str:
+    return f"({MIDDLE} AND mpos > 1)" if cfg.leading_anchor == "origin" else f"({MIDDLE})"
+
+
+LONG = "region IN ('head', 'tail', 'middle')"
+
+
+def kept_value_sql(level: int, cond: str, value: str) -> str:
+    return f"CASE WHEN entry <= {level} AND {cond} THEN {value} END"
+
+
+def kept_point_sql(level: int, cond: str) -> str:
+    """The point (x, y) if kept at ``level`` and ``cond`` holds, else null."""
+    return (f"CASE WHEN entry <= {level} AND {cond} "
+            f"THEN named_struct('x', _x, 'y', _y) END")
 
 
 def prev_eligible(cfg: ThinConfig) -> Column:
@@ -78,99 +100,153 @@ def kept_at(level: int) -> Column:
     return F.col("entry") <= F.lit(level)
 
 
+BAD_SQL = "(_y IS NULL OR isnan(_y) OR abs(_y) = CAST('inf' AS DOUBLE))"
+
+
 def bad_value(y: Column) -> Column:
     return y.isNull() | F.isnan(y) | (F.abs(y) == F.lit(float("inf")))
 
 
+def entry_sql(cfg: ThinConfig) -> str:
+    return (f"CASE WHEN {END} THEN 0 WHEN {INTERIOR} THEN "
+            f"{X.entry_level_sql('rnk', 'n_mid - 2', cfg.levels())} END")
+
+
 def with_entry(df: DataFrame, cfg: ThinConfig) -> DataFrame:
     """``entry``: 0 for the ends of the middle list, the first level keeping an
     interior point otherwise; needs ``rnk`` (1-based rank of interior points
     by significance, ties by x) and ``n_mid``."""
-    m = F.col("n_mid") - 2
-    entry = F.when(is_end(), F.lit(0)).when(is_interior(),
-                                            X.entry_level(F.col("rnk"), m, cfg.levels()))
-    return df.withColumn("entry", entry)
+    return df.select("*", F.expr(entry_sql(cfg)).alias("entry"))
+
+
+def error_sql(cfg: ThinConfig, level: int, prev: str, nxt: str) -> str:
+    """Squared interpolation error at ``level`` (0 for kept middle points,
+    null outside the middle list); ``prev``/``nxt`` are anchor struct columns."""
+    if cfg.leading_anchor == "origin":
+        px, py = f"coalesce({prev}.x, 0.0D)", f"coalesce({prev}.y, 0.0D)"
+    else:
+        px, py = f"{prev}.x", f"{prev}.y"
+    yhat = X.interpolate_sql("_x", px, py, f"{nxt}.x", f"{nxt}.y")
+    return (f"CASE WHEN {MIDDLE} THEN CASE WHEN entry <= {level} THEN 0.0D "
+            f"ELSE (({yhat}) - _y) * (({yhat}) - _y) END END")
 
 
-def error_columns(cfg: ThinConfig, prev: Sequence[Column], nxt: Sequence[Column]) -> list[Column]:
-    """Squared interpolation error per level, 0 for kept middle points, null
-    outside the middle list."""
-    out = []
-    x, y = F.col("_x"), F.col("_y")
-    for lvl, (p, n) in enumerate(zip(prev, nxt), start=1):
-        if cfg.leading_anchor == "origin":
-            p = F.coalesce(p, origin())
-        yhat = X.interpolate(x, p["x"], p["y"], n["x"], n["y"])
-        d = yhat - y
-        out.append(F.when(is_middle(), F.when(kept_at(lvl), F.lit(0.0)).otherwise(d * d)))
-    return out
+def error_columns(cfg: ThinConfig, prev: Sequence[str], nxt: Sequence[str]) -> list[Column]:
+    return [F.expr(error_sql(cfg, lv, p, n)) for lv, (p, n) in enumerate(zip(prev, nxt), 1)]
 
 
-def fit_columns(cfg: ThinConfig, sse: Sequence[Column], sst: Column) -> list[Column]:
-    return [X.fit(s, sst) for s in sse]
+def fits_column(cfg: ThinConfig, sse: Sequence[str], sst: str) -> Column:
+    """Array of per-level fits."""
+    return F.expr("array(" + ", ".join(X.fit_sql(s, sst) for s in sse) + ")")
 
 
-def keep_column(cfg: ThinConfig) -> Column:
-    whole = F.col("region").isin("pass", "head", "tail", "all")
-    return (~F.col("failed")) & (whole | (is_middle() & (F.col("entry") <= F.col("level"))))
+KEEP = (f"NOT failed AND (region IN ('pass', 'head', 'tail', 'all') "
+        f"OR ({MIDDLE} AND entry <= level))")
 
 
 def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y",
-                row_num: str = "row_num", size: str = "n", detail: bool = False) -> DataFrame:
-    """Score numbered rows (``row_num`` 1..n, series size ``n``) with windows
-    over ``partitionBy(keys)``: one exchange for the whole operator."""
+                row_num: str = "row_num", size: str = "n", detail: bool = False,
+                order: Sequence[str | Column] | None = None) -> DataFrame:
+    """Score rows with windows over ``partitionBy(keys)``: one exchange for
+    the whole operator and five window stages.
+
+    With ``order`` the rows are numbered here (``row_num``, series size
+    ``size``) in the same window stage as the neighbours; without it they
+    must already carry ``row_num`` (1..n, consecutive) and ``size``.
+    """
     L = len(cfg.levels())
     keys = list(keys)
     wp = Window.partitionBy(*keys)
-    wx = wp.orderBy(row_num)
-    d = with_regions(df, cfg, row_num, size)
-    d = d.withColumn("_x", F.col(row_num).cast("double")).withColumn("_y", F.col(y).cast("double"))
-    mid_y = F.when(is_middle(), F.col("_y"))
-    d = (d.withColumn("failed", F.max(F.when(is_middle(), bad_value(F.col("_y")))).over(wp))
-          .withColumn("failed", F.coalesce(F.col("failed"), F.lit(False)))
-          .withColumn("_cnt", F.count(mid_y).over(wp))
-          .withColumn("_sst", F.var_pop(mid_y).over(wp) * F.col("_cnt"))
-          .withColumn("_flat", F.min(mid_y).over(wp) == F.max(mid_y).over(wp))
-          .withColumn("_xp", F.lag("_x").over(wx)).withColumn("_yp", F.lag("_y").over(wx))
-          .withColumn("_xn", F.lead("_x").over(wx)).withColumn("_yn", F.lead("_y").over(wx)))
-    d = d.withColumn("sig", F.when(is_interior(), X.significance(
-        F.col("_x"), F.col("_y"), F.col("_xp"), F.col("_yp"), F.col("_xn"), F.col("_yn"))))
+    levels = range(1, L + 1)
+
+    # A: numbering (optional), series size, neighbours -- one Window operator.
+    if order is not None:
+        wo = wp.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
+        d = df.select("*", F.row_number().over(wo).alias(row_num),
+                      F.count(F.lit(1)).over(wo.rowsBetween(Window.unboundedPreceding,
+                                                           Window.unboundedFollowing)).alias(size),
+                      F.lag(y).over(wo).alias("_yp"), F.lead(y).over(wo).alias("_yn"))
+    else:
+        wx = wp.orderBy(row_num)
+        d = df.select("*", F.lag(y).over(wx).alias("_yp"), F.lead(y).over(wx).alias("_yn"))
+    d = with_regions(d, cfg, row_num, size)
+    # Rows of series that are kept whole skip the remaining stages.
+    rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
+    d = d.filter(F.expr(LONG))
+    rn, yq = X.q(row_num), X.q(y)
+    sig = X.significance_sql("_x", "_y", "_x - 1", "CAST(_yp AS DOUBLE)", "_x + 1",
+                             "CAST(_yn AS DOUBLE)")
+    d = d.select("*", F.expr(f"CAST({rn} AS DOUBLE)").alias("_x"),
+                 F.expr(f"CAST({yq} AS DOUBLE)").alias("_y"))
+    d = d.select("*", F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END").alias("sig"))
+
+    # B: rank interior points by significance (ties: smaller x first).
     ws = wp.orderBy(F.col("sig").desc_nulls_last(), F.col(row_num).asc())
-    d = d.withColumn("rnk", F.when(is_interior(), F.row_number().over(ws)))
+    d = d.select("*", F.when(is_interior(), F.row_number().over(ws)).alias("rnk"))
     d = with_entry(d, cfg)
 
-    wprev = wx.rowsBetween(Window.unboundedPreceding, -1)
-    wnext = wp.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    pt = point("_x", "_y")
-    ok = prev_eligible(cfg)
-    prev_cols = [F.last(F.when(kept_at(lv) & ok, pt), ignorenulls=True).over(wprev)
-                 for lv in range(1, L + 1)]
-    next_cols = [F.last(F.when(kept_at(lv) & is_middle(), pt), ignorenulls=True).over(wnext)
-                 for lv in range(1, L + 1)]
-    d = d.select("*", *[c.alias(f"_p{i}") for i, c in enumerate(prev_cols, 1)])
-    d = d.select("*", *[c.alias(f"_n{i}") for i, c in enumerate(next_cols, 1)])
-    errs = error_columns(cfg, [F.col(f"_p{i}") for i in range(1, L + 1)],
-                         [F.col(f"_n{i}") for i in range(1, L + 1)])
-    d = d.select("*", *[F.sum(e).over(wp).alias(f"_sse{i}") for i, e in enumerate(errs, 1)])
-    sst = F.when(F.col("_flat"), F.lit(0.0)).otherwise(F.col("_sst"))
-    fits = fit_columns(cfg, [F.col(f"_sse{i}") for i in range(1, L + 1)], sst)
-    d = d.withColumn("_fits", F.array(*fits))
-    return finish(d, cfg, detail)
+    # C / D: previous and next kept point for every level (growing frames).
+    # x increases along the order, so the last kept x before a row is a max
+    # and the first kept x after it a min; y is the matching last value.
+    wprev = wp.orderBy(row_num).rowsBetween(Window.unboundedPreceding, -1)
+    wdesc = wp.orderBy(F.col(row_num).desc())
+    wnext = wdesc.rowsBetween(Window.unboundedPreceding, -1)
+    ok = prev_eligible_sql(cfg)
+    d = d.select("*", *[c for lv in levels for c in (
+        F.max(F.expr(kept_value_sql(lv, ok, "_x"))).over(wprev).alias(f"_px{lv}"),
+        F.last(F.expr(kept_value_sql(lv, ok, "_y")), ignorenulls=True).over(wprev)
+        .alias(f"_py{lv}"))])
+    d = d.select("*", *[c for lv in levels for c in (
+        F.min(F.expr(kept_value_sql(lv, MIDDLE, "_x"))).over(wnext).alias(f"_nx{lv}"),
+        F.last(F.expr(kept_value_sql(lv, MIDDLE, "_y")), ignorenulls=True).over(wnext)
+        .alias(f"_ny{lv}"))])
+    d = d.select(*[c for c in d.columns if not c.startswith(("_p", "_n"))],
+                 *[F.expr(f"named_struct('x', _px{lv}, 'y', _py{lv})").alias(f"_p{lv}")
+                   for lv in levels],
+                 *[F.expr(f"named_struct('x', _nx{lv}, 'y', _ny{lv})").alias(f"_n{lv}")
+                   for lv in levels])
+
+    # E: per-series sums over the whole partition (same order as D: no sort).
+    whole = wdesc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    errs = error_columns(cfg, [f"_p{lv}" for lv in levels], [f"_n{lv}" for lv in levels])
+    mid_y = F.expr(f"CASE WHEN {MIDDLE} THEN _y END")
+    bad = F.expr(f"CASE WHEN {MIDDLE} THEN {BAD_SQL} END")
+    d = d.select("*", *[F.sum(e).over(whole).alias(f"_sse{i}") for i, e in enumerate(errs, 1)],
+                 F.max(bad).over(whole).alias("_bad"),
+                 F.var_pop(mid_y).over(whole).alias("_var"),
+                 F.count(mid_y).over(whole).alias("_cnt"),
+                 F.min(mid_y).over(whole).alias("_ymin"),
+                 F.max(mid_y).over(whole).alias("_ymax"))
+    sst = "CASE WHEN _ymin = _ymax THEN 0.0D ELSE _var * _cnt END"
+    d = d.select("*", F.expr("coalesce(_bad, false)").alias("failed"),
+                 fits_column(cfg, [f"_sse{lv}" for lv in levels], f"({sst})").alias("_fits"))
+    return finish(d, cfg, detail).unionByName(rest)
+
+
+def _untouched(d: DataFrame, detail: bool) -> DataFrame:
+    """Scoring columns for rows of series that are kept whole."""
+    cols = [F.lit(None).cast("double").alias("sig"), F.lit(None).cast("int").alias("rnk"),
+            F.lit(None).cast("int").alias("entry"), F.lit(False).alias("failed"),
+            F.lit(None).cast("int").alias("level"), F.lit(None).cast("double").alias("fit"),
+            F.lit(True).alias("keep")]
+    if detail:
+        cols.append(F.lit(None).cast("array<double>").alias("level_fits"))
+    d = d.select("*", *cols)
+    return d.select(*[c for c in d.columns if not c.startswith("_")])
 
 
 def finish(d: DataFrame, cfg: ThinConfig, detail: bool) -> DataFrame:
     """From ``_fits`` (array of per-level fits) to ``level``, ``fit``, ``keep``."""
     L = len(cfg.levels())
-    fits = [F.col("_fits")[i] for i in range(L)]
-    thinned = is_middle() | (F.col("region").isin("head", "tail"))
-    d = d.withColumn("level", F.when(thinned & ~F.col("failed"),
-                                     X.first_level_meeting(fits, cfg.target)))
-    d = d.withColumn("fit", F.when(F.col("level").isNotNull(),
-                                   F.element_at(F.col("_fits"), F.col("level"))))
-    d = d.withColumn("keep", keep_column(cfg))
+    thinned = f"(({MIDDLE} OR region IN ('head', 'tail')) AND NOT failed)"
+    d = d.select("*", F.expr(f"CASE WHEN {thinned} THEN "
+                             f"{X.first_level_sql('_fits', L, cfg.target)} END").alias("level"))
+    extra = [F.expr("CASE WHEN level IS NOT NULL THEN element_at(_fits, level) END").alias("fit"),
+             F.expr(KEEP).alias("keep")]
     if detail:
-        d = d.withColumn("level_fits", F.when(thinned & ~F.col("failed"), F.col("_fits")))
-    return d.drop(*[c for c in d.columns if c.startswith("_")])
+        extra.append(F.expr(f"CASE WHEN {thinned} THEN _fits END").alias("level_fits"))
+    d = d.select("*", *extra)
+    return d.select(*[c for c in d.columns if not c.startswith("_")])
 
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str | Column],
@@ -184,13 +260,18 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
     return d.unpivot(list(ids), list(metrics), category, value)
 
 
+def _own_order(y, order):
+    """A single metric is numbered inside score_local's first window stage."""
+    return order if isinstance(y, str) else None
+
+
 def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],
              numbered: bool, order, row_num: str, size: str, category: str):
     """Number (optionally) and unpivot; returns (frame, group keys, value column)."""
-    if numbered:
-        df = number_rows(df, keys, order, row_num, size)
     if isinstance(y, str):
         return df, keys, y
+    if numbered:
+        df = number_rows(df, keys, order, row_num, size)
     ids = [c for c in df.columns if c not in set(map(str, y.values()))]
     return unpivot_metrics(df, ids, y, category, "y"), keys + [category], "y"
 
@@ -212,7 +293,7 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     keys = list(keys)
     if split == "never":
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
-        return score_local(d, gk, cfg, v, row_num, size, detail)
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
     from .split import score_split  # local import: split imports this module
 
     sizes = series_sizes(df, keys, size)
@@ -224,14 +305,14 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     if n_hot == 0:
         hot.unpersist()
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
-        return score_local(d, gk, cfg, v, row_num, size, detail)
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
     hot_keys = hot.select(*keys)
     if n_hot <= BROADCAST_KEY_LIMIT:
         hot_keys = F.broadcast(hot_keys)
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
     d, gk, v = _prepare(cold, keys, y, True, order, row_num, size, category)
-    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail)
+    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
@@ -275,7 +356,8 @@ def level_view(numbered: DataFrame, keys: Sequence[str], cfg: ThinConfig, level:
     wprev = wx.rowsBetween(Window.unboundedPreceding, -1)
     wnext = wp.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
     pt = point("x", "y_")
-    prev = F.last(F.when(F.col("kept") & prev_eligible(cfg), pt), ignorenulls=True).over(wprev)
+    prev = F.last(F.when(F.col("kept") & F.expr(prev_eligible_sql(cfg)), pt),
+                  ignorenulls=True).over(wprev)
     if cfg.leading_anchor == "origin":
         prev = F.coalesce(prev, origin())
     d = d.withColumn("prev", F.when(is_middle(), prev))
