@@ -38,6 +38,9 @@ from .series import number_rows, series_sizes, with_regions
 SCORE_COLUMNS = ["region", "n_mid", "mpos", "sig", "rnk", "entry", "level", "fit",
                  "failed", "keep"]
 
+# Share of rows in series kept whole above which they bypass the scan stages.
+SHORT_SHARE = 0.5
+
 # Number of hot series above which the hot-key list is not broadcast.
 BROADCAST_KEY_LIMIT = 1_000_000
 
@@ -146,10 +149,14 @@ KEEP = (f"NOT failed AND (region IN ('pass', 'head', 'tail', 'all') "
 
 def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y",
                 row_num: str = "row_num", size: str = "n", detail: bool = False,
-                order: Sequence[str | Column] | None = None) -> DataFrame:
+                order: Sequence[str | Column] | None = None,
+                skip_short: bool = False) -> DataFrame:
     """Score rows with windows over ``partitionBy(keys)``: one exchange for
     the whole operator and five window stages.
 
+    ``skip_short``: rows of series kept whole leave after the first stage
+    (a second branch over the same input; worth it when they are many).
+
     With ``order`` the rows are numbered here (``row_num``, series size
     ``size``) in the same window stage as the neighbours; without it they
     must already carry ``row_num`` (1..n, consecutive) and ``size``.
@@ -170,9 +177,10 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
         wx = wp.orderBy(row_num)
         d = df.select("*", F.lag(y).over(wx).alias("_yp"), F.lead(y).over(wx).alias("_yn"))
     d = with_regions(d, cfg, row_num, size)
-    # Rows of series that are kept whole skip the remaining stages.
-    rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
-    d = d.filter(F.expr(LONG))
+    rest = None
+    if skip_short:
+        rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
+        d = d.filter(F.expr(LONG))
     rn, yq = X.q(row_num), X.q(y)
     sig = X.significance_sql("_x", "_y", "_x - 1", "CAST(_yp AS DOUBLE)", "_x + 1",
                              "CAST(_yn AS DOUBLE)")
@@ -220,7 +228,8 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
     sst = "CASE WHEN _ymin = _ymax THEN 0.0D ELSE _var * _cnt END"
     d = d.select("*", F.expr("coalesce(_bad, false)").alias("failed"),
                  fits_column(cfg, [f"_sse{lv}" for lv in levels], f"({sst})").alias("_fits"))
-    return finish(d, cfg, detail).unionByName(rest)
+    out = finish(d, cfg, detail)
+    return out if rest is None else out.unionByName(rest)
 
 
 def _untouched(d: DataFrame, detail: bool) -> DataFrame:
@@ -287,8 +296,10 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
        ``category``; rows are numbered before the unpivot, so the numbering
        exchange on ``keys`` also serves the per-metric windows).
     split: "auto" routes series longer than ``cfg.max_series_rows`` to the
-       split path (one aggregate over the key columns decides); "never" keeps
-       everything on the window path; "always" forces the split path.
+       split path; one aggregate over the key columns decides it, and also
+       whether rows of series kept whole (``n <= threshold``) are many enough
+       to bypass the scan stages.  "never" keeps everything on the window
+       path without that aggregate; "always" forces the split path.
     """
     keys = list(keys)
     if split == "never":
@@ -297,22 +308,25 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     from .split import score_split  # local import: split imports this module
 
     sizes = series_sizes(df, keys, size)
-    if split != "always":
-        sizes = sizes.filter(F.col(size) > F.lit(cfg.max_series_rows))
-    hot = sizes.persist()
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum(size).alias("rows")).first()
-    n_hot, hot_rows = int(stats["k"]), int(stats["rows"] or 0)
+    n = F.col(size)
+    is_hot = (n > F.lit(cfg.max_series_rows)) if split != "always" else F.lit(True)
+    stats = sizes.agg(F.count(F.when(is_hot, 1)).alias("k"),
+                      F.sum(F.when(is_hot, n)).alias("hot_rows"),
+                      F.sum(F.when(n <= F.lit(cfg.threshold), n)).alias("short_rows"),
+                      F.sum(n).alias("rows")).first()
+    n_hot, hot_rows = int(stats["k"]), int(stats["hot_rows"] or 0)
+    skip = int(stats["short_rows"] or 0) > SHORT_SHARE * int(stats["rows"] or 0)
     if n_hot == 0:
-        hot.unpersist()
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
+    hot = sizes.filter(is_hot).persist()
     hot_keys = hot.select(*keys)
     if n_hot <= BROADCAST_KEY_LIMIT:
         hot_keys = F.broadcast(hot_keys)
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
     d, gk, v = _prepare(cold, keys, y, True, order, row_num, size, category)
-    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
+    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
