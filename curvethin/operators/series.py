@@ -20,9 +20,17 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                out: str = "row_num", size: str | None = "n") -> DataFrame:
+                out: str = "row_num", size: str | None = "n", split: str = "never",
+                max_group_rows: int = 2_000_000) -> DataFrame:
     """``row_number()`` per series in ``order`` (make it total: add a unique
-    tie-break column) and, optionally, the series size."""
+    tie-break column) and, optionally, the series size.
+
+    split="auto" first counts rows per key (a partial aggregate) and numbers
+    groups above ``max_group_rows`` by a range-partitioned sort instead of a
+    window, so no group has to fit in one task.
+    """
+    if split == "auto":
+        return _number_rows_routed(df, list(keys), order, out, size, max_group_rows)
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
     df = df.withColumn(out, F.row_number().over(w))
     if size:
@@ -77,3 +85,25 @@ def passthrough_rows(df: DataFrame, cfg: ThinConfig, size: str = "n") -> DataFra
 
 def thinnable_rows(df: DataFrame, cfg: ThinConfig, size: str = "n") -> DataFrame:
     return df.filter(F.col(size) > F.lit(cfg.threshold))
+
+
+def _number_rows_routed(df: DataFrame, keys: list[str], order, out: str, size: str | None,
+                        max_rows: int) -> DataFrame:
+    from .split import SIDE_BROADCAST_ROWS, global_positions
+
+    sizes = series_sizes(df, keys, "_n")
+    hot = sizes.filter(F.col("_n") > F.lit(max_rows))
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("rows")).first()
+    if int(stats["k"]) == 0:
+        return number_rows(df, keys, order, out, size)
+    hot = hot.persist()
+    k = F.broadcast(hot.select(*keys)) if int(stats["k"]) <= SIDE_BROADCAST_ROWS \
+        else hot.select(*keys)
+    cold = number_rows(df.join(k, keys, "left_anti"), keys, order, out, size)
+    warm = global_positions(df.join(k, keys, "left_semi"), keys, order, out,
+                            int(stats["rows"]), max_rows, int(stats["k"]))
+    if size:
+        side = hot.withColumnRenamed("_n", size)
+        warm = warm.join(F.broadcast(side) if int(stats["k"]) <= SIDE_BROADCAST_ROWS else side,
+                         keys)
+    return cold.unionByName(warm.select(*cold.columns))

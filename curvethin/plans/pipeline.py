@@ -60,8 +60,8 @@ def pending_keys(status: DataFrame, shard: int = 0, shards: int = SHARDS,
     (a top-k: each task keeps its best ``limit``, then one merge)."""
     d = (status.filter(pending_filter() & (F.pmod(F.col("step_id"), F.lit(shards)) == shard))
                .select(*PROCESS_KEYS).dropDuplicates(PROCESS_KEYS))
-    d = d.orderBy(*PROCESS_KEYS)
-    return d.limit(limit) if limit else d
+    # an ordered limit is a top-k (bounded per task); without a limit no sort
+    return d.orderBy(*PROCESS_KEYS).limit(limit) if limit else d
 
 
 def repair_metrics(process: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def series_outcome(scored: DataFrame) -> DataFrame:
 
 def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
                   run_ts: str | _dt.datetime | Column,
-                  flags: Sequence[str] = FLAG_COLUMNS) -> DataFrame:
+                  flags: Sequence[str] = FLAG_COLUMNS, broadcast_keys: bool = True) -> DataFrame:
     """New version of the status table: rows of ``keys`` get ``value`` in the
     given flags and a fresh stamp; others are unchanged.
 
@@ -134,7 +134,7 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
     k = keys.select(*PROCESS_KEYS, *(["value"] if "value" in keys.columns else []))
     k = k.withColumn("_hit", F.lit(True))
-    j = status.join(F.broadcast(k), PROCESS_KEYS, "left")
+    j = status.join(F.broadcast(k) if broadcast_keys else k, PROCESS_KEYS, "left")
     hit = F.col("_hit").isNotNull()
     v = value if isinstance(value, Column) else F.lit(value)
     new = {c: F.when(hit, v.cast(status.schema[c].dataType)).otherwise(F.col(c)) for c in flags}
@@ -163,7 +163,7 @@ def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
         write(compressed_output(rows.join(kept, PROCESS_KEYS + PROCESS_ORDER, "inner"), run_ts))
     except Exception:  # noqa: BLE001 - the whole batch is marked failed
         scored.unpersist()
-        return update_status(status, keys, 2, run_ts)
+        return update_status(status, keys, 2, run_ts, broadcast_keys=limit is not None)
     outcome = keys.join(series_outcome(scored), PROCESS_KEYS, "left")
     outcome = outcome.select(*PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2)
                              .otherwise(1).alias("value"))
@@ -171,4 +171,5 @@ def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
     checkpoint_dir(outcome.sparkSession)
     outcome = outcome.checkpoint(eager=True)
     scored.unpersist()
-    return update_status(status, outcome, F.col("value"), run_ts)
+    return update_status(status, outcome, F.col("value"), run_ts,
+                         broadcast_keys=limit is not None)

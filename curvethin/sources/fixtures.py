@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.series import number_rows
 from .io import read_table
 
 DEC = "decimal(20,6)"
@@ -43,8 +44,7 @@ def process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     seq_order = ["l_shipdate", "l_orderkey", "l_linestatus", "l_linenumber", "l_partkey",
                  "l_extendedprice"]
-    li = li.withColumn("sequence_id", F.row_number().over(
-        Window.partitionBy("l_suppkey").orderBy(*seq_order)))
+    li = number_rows(li, ["l_suppkey"], seq_order, "sequence_id", None, split="auto")
     remark = F.col("l_suppkey").cast("string")
     cyc = (F.col("l_linestatus") == "F").cast("int")
     step = F.col("l_linenumber").cast("int")
