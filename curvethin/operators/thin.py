@@ -261,12 +261,18 @@ def finish(d: DataFrame, cfg: ThinConfig, detail: bool) -> DataFrame:
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str | Column],
                     category: str = "zip_category", value: str = "y") -> DataFrame:
     """One row per (row, metric): ``ids``, ``category`` (the metric tag) and
-    ``value`` as double.  An ``Expand`` node, inside whole-stage codegen."""
-    clash = {c.lower() for c in ids} & {c.lower() for c in metrics}
+    ``value`` as double.
+
+    Written as ``inline(array(struct(...)))``: a Generate keeps the child's
+    hash partitioning (an Expand from ``DataFrame.unpivot`` does not), so the
+    per-metric windows reuse the numbering exchange on the series keys.
+    """
+    clash = {c.lower() for c in ids} & {category.lower(), value.lower()}
     if clash:
-        raise ValueError(f"metric tags clash with id columns: {clash}")
-    d = df.select(*ids, *[X.col(c).cast("double").alias(tag) for tag, c in metrics.items()])
-    return d.unpivot(list(ids), list(metrics), category, value)
+        raise ValueError(f"output names clash with id columns: {clash}")
+    pairs = [F.struct(F.lit(tag).alias(category), X.col(c).cast("double").alias(value))
+             for tag, c in metrics.items()]
+    return df.select(*ids, F.inline(F.array(*pairs)))
 
 
 def _own_order(y, order):
