@@ -275,6 +275,24 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
     return df.select(*ids, F.inline(F.array(*pairs)))
 
 
+def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, detail: bool,
+                row_num: str, size: str, category: str, skip: bool) -> DataFrame:
+    """Window path.  Several metrics: rows of series kept whole leave right
+    after the numbering (before the unpivot) when ``skip``."""
+    if isinstance(y, str) or not skip:
+        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
+    numbered = number_rows(df, keys, order, row_num, size)
+    n = X.q(size)
+    long_sql = f"({n} > {cfg.threshold} AND {n} - {cfg.pre} - {cfg.post} > 0)"
+    ids = [c for c in numbered.columns if c not in set(map(str, y.values()))]
+    long = unpivot_metrics(numbered.filter(F.expr(long_sql)), ids, y, category, "y")
+    short = unpivot_metrics(numbered.filter(F.expr(f"NOT {long_sql}")), ids, y, category, "y")
+    scored = score_local(long, keys + [category], cfg, "y", row_num, size, detail)
+    rest = _untouched(with_regions(short, cfg, row_num, size), detail)
+    return scored.unionByName(rest)
+
+
 def _own_order(y, order):
     """A single metric is numbered inside score_local's first window stage."""
     return order if isinstance(y, str) else None
@@ -323,16 +341,14 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     n_hot, hot_rows = int(stats["k"]), int(stats["hot_rows"] or 0)
     skip = int(stats["short_rows"] or 0) > SHORT_SHARE * int(stats["rows"] or 0)
     if n_hot == 0:
-        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
+        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip)
     hot = sizes.filter(is_hot).persist()
     hot_keys = hot.select(*keys)
     if n_hot <= BROADCAST_KEY_LIMIT:
         hot_keys = F.broadcast(hot_keys)
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
-    d, gk, v = _prepare(cold, keys, y, True, order, row_num, size, category)
-    cold_scored = score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
+    cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip)
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
