@@ -65,24 +65,8 @@ def level_cut(m: Column, p: float) -> Column:
     return F.floor(m.cast("double") * F.lit(float(p)))
 
 
-def entry_level(rank: Column, m: Column, levels: Sequence[float]) -> Column:
-    """First (1-based) level whose cut ``floor(m*p)`` reaches ``rank``.
 
-    Cuts never decrease with the level, so a point kept at level l stays kept.
-    Points never reached get ``len(levels) + 1``.
-    """
-    expr = F.lit(len(levels) + 1)
-    for i in range(len(levels), 0, -1):
-        expr = F.when(rank <= level_cut(m, levels[i - 1]), F.lit(i)).otherwise(expr)
-    return expr
-
-
-def first_level_meeting(fits: Sequence[Column], target: float) -> Column:
-    """Smallest 1-based level whose fit >= target (NaN counts as met)."""
-    expr = F.lit(len(fits))
-    for i in range(len(fits), 0, -1):
-        expr = F.when(fits[i - 1] >= F.lit(float(target)), F.lit(i)).otherwise(expr)
-    return expr
+
 
 
 def output_handle(handle: str | Column, category: str | Column, run_date: str | Column) -> Column:

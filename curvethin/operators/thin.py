@@ -66,8 +66,6 @@ def is_interior() -> Column:
     return F.expr(INTERIOR)
 
 
-def is_end() -> Column:
-    return F.expr(END)
 
 
 def prev_eligible_sql(cfg: ThinConfig) -> str:
@@ -87,27 +85,13 @@ def kept_point_sql(level: int, cond: str) -> str:
             f"THEN named_struct('x', _x, 'y', _y) END")
 
 
-def prev_eligible(cfg: ThinConfig) -> Column:
-    """Middle points that may serve as the *previous* anchor.
-
-    In "origin" mode the first middle point is never looked at (the search
-    stops before it), so a dropped point with no kept interior point before
-    it is interpolated from (0, 0).
-    """
-    if cfg.leading_anchor == "origin":
-        return is_middle() & (F.col("mpos") > 1)
-    return is_middle()
 
 
-def kept_at(level: int) -> Column:
-    return F.col("entry") <= F.lit(level)
 
 
 BAD_SQL = "(_y IS NULL OR isnan(_y) OR abs(_y) = CAST('inf' AS DOUBLE))"
 
 
-def bad_value(y: Column) -> Column:
-    return y.isNull() | F.isnan(y) | (F.abs(y) == F.lit(float("inf")))
 
 
 def entry_sql(cfg: ThinConfig) -> str:
