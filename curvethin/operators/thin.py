@@ -260,18 +260,21 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
 
 
 def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, detail: bool,
-                row_num: str, size: str, category: str, skip: bool) -> DataFrame:
+                row_num: str, size: str, category: str, skip: bool,
+                pairs: DataFrame | None = None) -> DataFrame:
     """Window path.  Several metrics: rows of series kept whole leave right
     after the numbering (before the unpivot) when ``skip``."""
     if isinstance(y, str) or not skip:
-        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
+        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
         return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
     numbered = number_rows(df, keys, order, row_num, size)
     n = X.q(size)
     long_sql = f"({n} > {cfg.threshold} AND {n} - {cfg.pre} - {cfg.post} > 0)"
     ids = [c for c in numbered.columns if c not in set(map(str, y.values()))]
-    long = unpivot_metrics(numbered.filter(F.expr(long_sql)), ids, y, category, "y")
-    short = unpivot_metrics(numbered.filter(F.expr(f"NOT {long_sql}")), ids, y, category, "y")
+    long = _only(unpivot_metrics(numbered.filter(F.expr(long_sql)), ids, y, category, "y"),
+                 pairs, keys, category)
+    short = _only(unpivot_metrics(numbered.filter(F.expr(f"NOT {long_sql}")), ids, y, category,
+                                  "y"), pairs, keys, category)
     scored = score_local(long, keys + [category], cfg, "y", row_num, size, detail)
     rest = _untouched(with_regions(short, cfg, row_num, size), detail)
     return scored.unionByName(rest)
@@ -282,21 +285,31 @@ def _own_order(y, order):
     return order if isinstance(y, str) else None
 
 
+def _only(long: DataFrame, pairs: DataFrame | None, keys: list[str], category: str) -> DataFrame:
+    """Keep the (series, metric) pairs listed in ``pairs`` (a bounded table:
+    broadcast semi join, which keeps the stream side's partitioning)."""
+    if pairs is None:
+        return long
+    return long.join(F.broadcast(pairs.select(*keys, category)), keys + [category], "left_semi")
+
+
 def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],
-             numbered: bool, order, row_num: str, size: str, category: str):
+             numbered: bool, order, row_num: str, size: str, category: str,
+             pairs: DataFrame | None = None):
     """Number (optionally) and unpivot; returns (frame, group keys, value column)."""
     if isinstance(y, str):
         return df, keys, y
     if numbered:
         df = number_rows(df, keys, order, row_num, size)
     ids = [c for c in df.columns if c not in set(map(str, y.values()))]
-    return unpivot_metrics(df, ids, y, category, "y"), keys + [category], "y"
+    long = _only(unpivot_metrics(df, ids, y, category, "y"), pairs, keys, category)
+    return long, keys + [category], "y"
 
 
 def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
           y: str | Mapping[str, str | Column], cfg: ThinConfig, detail: bool = False,
           split: str = "auto", row_num: str = "row_num", size: str = "n",
-          category: str = "zip_category") -> DataFrame:
+          category: str = "zip_category", pairs: DataFrame | None = None) -> DataFrame:
     """Number the rows of each series by ``order`` and score them.
 
     y: the metric column, or ``{tag: column}`` to thin several metrics of the
@@ -308,10 +321,12 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
        whether rows of series kept whole (``n <= threshold``) are many enough
        to bypass the scan stages.  "never" keeps everything on the window
        path without that aggregate; "always" forces the split path.
+    pairs: with several metrics, an optional bounded table of (keys, tag)
+       pairs to thin; other pairs are left out before the window stages.
     """
     keys = list(keys)
     if split == "never":
-        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category)
+        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
         return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
     from .split import score_split  # local import: split imports this module
 
@@ -325,15 +340,16 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     n_hot, hot_rows = int(stats["k"]), int(stats["hot_rows"] or 0)
     skip = int(stats["short_rows"] or 0) > SHORT_SHARE * int(stats["rows"] or 0)
     if n_hot == 0:
-        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip)
+        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip, pairs)
     hot = sizes.filter(is_hot).persist()
     hot_keys = hot.select(*keys)
     if n_hot <= BROADCAST_KEY_LIMIT:
         hot_keys = F.broadcast(hot_keys)
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
-    cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip)
-    w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category)
+    cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip,
+                              pairs)
+    w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category, pairs)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
                               hot_rows * n_metrics, detail=detail, row_num=row_num, size=size)

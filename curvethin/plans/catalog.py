@@ -395,6 +395,15 @@ def q_status_after_failure(spark, sf):
     return _status_update(spark, sf, 2)
 
 
+def q_status_per_metric(spark, sf):
+    """Per-metric outcome: only pending flags of the batch are thinned and set."""
+    status = FX.status_rows(spark, sf)
+    keys = P.pending_keys(status, 0)
+    pairs = P.pending_pairs(status, keys)
+    scored = P.score_metrics(P.load_rows(FX.process_rows(spark, sf), keys), CFG_A, pairs=pairs)
+    return present(P.update_status_per_metric(status, P.metric_outcome(pairs, scored), RUN_TS))
+
+
 def _report(s, keys):
     g = s.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_in"),
@@ -465,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "compressed_output": q_compressed_output,
     "status_after_success": q_status_after_success,
     "status_after_failure": q_status_after_failure,
+    "status_per_metric": q_status_per_metric,
     "compression_report": q_compression_report,
     "compression_report_events": q_compression_report_events,
 }

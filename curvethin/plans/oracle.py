@@ -374,6 +374,27 @@ SELECT s.remark, CAST(s.st_business_cycle AS BIGINT) AS st_business_cycle, CAST(
   strftime(CASE WHEN p.remark IS NOT NULL THEN TIMESTAMP '{C.RUN_TS}' ELSE s.modified_date_time END, '%Y-%m-%d %H:%M:%S') AS modified_date_time,
   CASE WHEN p.remark IS NOT NULL THEN 'spark' ELSE s.modified_user END AS modified_user
 FROM status s LEFT JOIN pend p ON s.remark = p.remark AND s.st_business_cycle = p.st_business_cycle AND s.step_id = p.step_id"""
+    flags = {"C": "c_status", "E": "e_status", "I": "i_status", "T": "t_status", "V": "v_status"}
+    pp = " UNION ALL ".join(
+        f"SELECT remark, st_business_cycle, step_id, '{t}' AS zip_category FROM status "
+        f"JOIN pend USING (remark, st_business_cycle, step_id) WHERE {c} = 0"
+        for t, c in flags.items())
+    setf = ", ".join(
+        f"CAST(coalesce(max(CASE WHEN o.zip_category = '{t}' THEN o.value END), max(s.{c})) AS BIGINT) AS {c}"
+        for t, c in flags.items())
+    q["status_per_metric"] = _with(PROC, STATUS, _pending(0), _a_all_src(),
+                                   thin_ctes("allsrc", A_KEYS_CAT, A_ORDER, a)) + f""",
+pp AS ({pp}),
+bad AS (SELECT remark, st_business_cycle, step_id, zip_category,
+          max(CASE WHEN region = 'middle' AND (y IS NULL OR isnan(y) OR isinf(y)) THEN 1 ELSE 0 END) AS bad
+        FROM reg GROUP BY ALL),
+o AS (SELECT pp.*, CASE WHEN bad.bad = 1 THEN 2 ELSE 1 END AS value FROM pp
+      LEFT JOIN bad USING (remark, st_business_cycle, step_id, zip_category))
+SELECT s.remark, CAST(s.st_business_cycle AS BIGINT) AS st_business_cycle, CAST(s.step_id AS BIGINT) AS step_id, {setf},
+  strftime(CASE WHEN count(o.zip_category) > 0 THEN TIMESTAMP '{C.RUN_TS}' ELSE max(s.modified_date_time) END, '%Y-%m-%d %H:%M:%S') AS modified_date_time,
+  CASE WHEN count(o.zip_category) > 0 THEN 'spark' ELSE max(s.modified_user) END AS modified_user
+FROM status s LEFT JOIN o ON s.remark = o.remark AND s.st_business_cycle = o.st_business_cycle AND s.step_id = o.step_id
+GROUP BY s.remark, s.st_business_cycle, s.step_id"""
     report = """
 SELECT {ksel}, CAST(count(*) AS BIGINT) AS rows_in, CAST(sum(CASE WHEN k.rn IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_out,
   round(sum(CASE WHEN k.rn IS NOT NULL THEN 1 ELSE 0 END) / count(*), 6) AS ratio,

@@ -86,11 +86,54 @@ def load_rows(process: DataFrame, keys: DataFrame | None, broadcast_keys: bool =
 
 
 def score_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
-                  detail: bool = False, split: str = "auto") -> DataFrame:
-    """Narrow scored points: one row per (process row, metric)."""
+                  detail: bool = False, split: str = "auto",
+                  pairs: DataFrame | None = None) -> DataFrame:
+    """Narrow scored points: one row per (process row, metric); with
+    ``pairs`` only the listed (series keys, zip_category) pairs."""
     metrics = dict(metrics or METRICS)
     narrow = rows.select(*PROCESS_KEYS, *PROCESS_ORDER, *sorted(set(metrics.values())))
-    return score(narrow, PROCESS_KEYS, PROCESS_ORDER, metrics, cfg, detail=detail, split=split)
+    return score(narrow, PROCESS_KEYS, PROCESS_ORDER, metrics, cfg, detail=detail, split=split,
+                 pairs=pairs)
+
+
+# The status flag of each metric tag.
+FLAG_OF = {"C": "c_status", "E": "e_status", "I": "i_status", "T": "t_status", "V": "v_status"}
+
+
+def pending_pairs(status: DataFrame, keys: DataFrame) -> DataFrame:
+    """(series keys, zip_category) pairs whose own flag is 0, for the given
+    keys (bounded by the batch: broadcast)."""
+    s = status.join(F.broadcast(keys.select(*PROCESS_KEYS)), PROCESS_KEYS, "left_semi")
+    pairs = F.array(*[F.struct(F.lit(t).alias("zip_category"), F.col(c).alias("flag"))
+                      for t, c in FLAG_OF.items()])
+    return (s.select(*PROCESS_KEYS, F.inline(pairs)).filter(F.col("flag").eqNullSafe(0))
+             .select(*PROCESS_KEYS, "zip_category"))
+
+
+def metric_outcome(pairs: DataFrame, scored: DataFrame) -> DataFrame:
+    """(keys, zip_category, value): 2 where the pair failed, else 1."""
+    per_pair = scored.groupBy(*PROCESS_KEYS, "zip_category").agg(F.max("failed").alias("failed"))
+    return pairs.join(per_pair, PROCESS_KEYS + ["zip_category"], "left").select(
+        *PROCESS_KEYS, "zip_category",
+        F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1).alias("value"))
+
+
+def update_status_per_metric(status: DataFrame, outcome: DataFrame,
+                             run_ts: str | _dt.datetime | Column) -> DataFrame:
+    """Set each flag from ``outcome`` (keys, zip_category, value); flags
+    without an outcome are unchanged.  Outcome is bounded by the batch."""
+    ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
+    wide = outcome.groupBy(*PROCESS_KEYS).agg(
+        *[F.max(F.when(F.col("zip_category") == t, F.col("value"))).alias(f"_{c}")
+          for t, c in FLAG_OF.items()])
+    j = status.join(F.broadcast(wide.withColumn("_hit", F.lit(True))), PROCESS_KEYS, "left")
+    new = {c: F.coalesce(F.col(f"_{c}").cast(status.schema[c].dataType), F.col(c))
+           for c in FLAG_COLUMNS}
+    hit = F.col("_hit").isNotNull()
+    new["modified_date_time"] = F.when(hit, ts.cast(status.schema["modified_date_time"].dataType)) \
+        .otherwise(F.col("modified_date_time"))
+    new["modified_user"] = F.when(hit, F.lit(X.WRITER_USER)).otherwise(F.col("modified_user"))
+    return j.withColumns(new).select(*status.columns)
 
 
 def thin_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
@@ -147,15 +190,21 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
 def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
               run_ts: str | _dt.datetime, write: Callable[[DataFrame], None],
               shard: int = 0, shards: int = SHARDS, limit: int | None = BATCH_KEYS,
-              split: str = "auto") -> DataFrame:
+              split: str = "auto", per_metric_status: bool = False) -> DataFrame:
     """One batch end to end.  Writes the kept rows with ``write`` (one
     distributed write action) and returns the new status table: 1 for the
     batch's series, 2 for series with a failed metric, 2 for every batch key
-    if the write raised."""
+    if the write raised.
+
+    per_metric_status: thin only the metrics whose own flag is pending and
+    set each flag on its own (1 done, 2 failed); the default thins all five
+    metrics of a pending series and sets all five flags together.
+    """
     keys = pending_keys(status, shard, shards, limit)
     keys = keys.persist()  # bounded by the batch size; read by several plans
     rows = load_rows(process, keys, broadcast_keys=limit is not None)
-    scored = (score_metrics(rows, cfg, split=split)
+    pairs = pending_pairs(status, keys).persist() if per_metric_status else None
+    scored = (score_metrics(rows, cfg, split=split, pairs=pairs)
               .select(*PROCESS_KEYS, *PROCESS_ORDER, "zip_category", "keep", "failed")
               .persist())
     try:
@@ -163,7 +212,15 @@ def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
         write(compressed_output(rows.join(kept, PROCESS_KEYS + PROCESS_ORDER, "inner"), run_ts))
     except Exception:  # noqa: BLE001 - the whole batch is marked failed
         scored.unpersist()
+        if pairs is not None:
+            return update_status_per_metric(status, pairs.withColumn("value", F.lit(2)), run_ts)
         return update_status(status, keys, 2, run_ts, broadcast_keys=limit is not None)
+    if pairs is not None:
+        outcome = metric_outcome(pairs, scored)
+        checkpoint_dir(outcome.sparkSession)
+        outcome = outcome.checkpoint(eager=True)
+        scored.unpersist()
+        return update_status_per_metric(status, outcome, run_ts)
     outcome = keys.join(series_outcome(scored), PROCESS_KEYS, "left")
     outcome = outcome.select(*PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2)
                              .otherwise(1).alias("value"))

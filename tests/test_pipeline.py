@@ -86,3 +86,34 @@ def test_jdbc_round_trip(spark):
     assert back.count() == small.count()
     assert sorted(r[0] for r in back.select("HANDLE").collect()) == \
         sorted(r[0] for r in small.select("handle").collect())
+
+
+def test_run_batch_per_metric_status(spark):
+    """Keys with only v_status pending: only V rows written, only v_status set."""
+    process = FX.process_rows(spark, SF_SMALL)
+    status = FX.status_rows(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="curvethin-out-")
+    new_status = P.run_batch(process, status, ThinConfig(target=0.5), RUN,
+                             lambda df: write_parquet(df, out, mode="overwrite"),
+                             per_metric_status=True)
+    keys = P.pending_keys(status, 0)
+    v_only = status.join(keys, FX.PROCESS_KEYS).filter(
+        (F.col("c_status") == 1) & (F.col("v_status") == 0)).select(*FX.PROCESS_KEYS)
+    all_pending = status.join(keys, FX.PROCESS_KEYS).filter(F.col("c_status") == 0) \
+        .select(*FX.PROCESS_KEYS)
+    assert v_only.count() > 0 and all_pending.count() > 0
+    written = spark.read.parquet(out)
+    cats = {r[0] for r in written.join(v_only, FX.PROCESS_KEYS).select("zip_category")
+            .distinct().collect()}
+    assert cats == {"V"}
+    cats_all = {r[0] for r in written.join(all_pending, FX.PROCESS_KEYS)
+                .select("zip_category").distinct().collect()}
+    assert cats_all == set("CEITV")
+    after = new_status.join(v_only, FX.PROCESS_KEYS).select(
+        "c_status", "e_status", "i_status", "t_status", "v_status").distinct().collect()
+    assert [tuple(r) for r in after] == [(1, 1, 1, 1, 1)]
+    # keys outside the batch are unchanged
+    before = status.join(keys, FX.PROCESS_KEYS, "left_anti").orderBy(*FX.PROCESS_KEYS).collect()
+    rest = (new_status.join(keys, FX.PROCESS_KEYS, "left_anti").select(*status.columns)
+            .orderBy(*FX.PROCESS_KEYS).collect())
+    assert before == rest
