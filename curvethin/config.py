@@ -41,6 +41,7 @@ class ThinConfig:
     max_series_rows
                 series longer than this are thinned by the split path, in
                 blocks of ``block_rows`` rows, so no task holds a whole series.
+    sort_rows   rows per range partition in the split path's sorts.
     """
 
     threshold: int = DEFAULT_THRESHOLD
@@ -52,6 +53,7 @@ class ThinConfig:
     leading_anchor: str = "origin"
     max_series_rows: int = 2_000_000
     block_rows: int = 250_000
+    sort_rows: int = 2_000_000
     extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self) -> None:
@@ -72,8 +74,8 @@ class ThinConfig:
             raise ValueError("start must be >= 0")
         if self.leading_anchor not in ANCHOR_MODES:
             raise ValueError(f"leading_anchor must be one of {ANCHOR_MODES}")
-        if self.block_rows < 2 or self.max_series_rows < 1:
-            raise ValueError("block_rows must be >= 2 and max_series_rows >= 1")
+        if self.block_rows < 2 or self.max_series_rows < 1 or self.sort_rows < 1:
+            raise ValueError("block_rows must be >= 2, max_series_rows and sort_rows >= 1")
 
     def levels(self) -> list[float]:
         """Kept fractions tried in order; the last is the first one >= 1."""

@@ -88,7 +88,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     B = cfg.block_rows
     n_blocks = rows // B + n_series  # bound on (series, block) pairs
 
-    d = global_positions(df, keys, order, row_num, rows, B, n_series)
+    d = global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_series)
     size_keys = [c for c in sizes.columns if c != size]
     d = d.join(_side(sizes.select(*size_keys, size), n_series), size_keys)
     d = with_regions(d, cfg, row_num, size)
@@ -117,7 +117,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
     # Rank by significance: interior points first (non-null), ties by x.
     d = global_positions(d, keys, [F.col("sig").desc_nulls_last(), F.col(row_num).asc()],
-                         "_pos2", rows, B, n_series)
+                         "_pos2", rows, cfg.sort_rows, n_series)
     d = d.withColumn("rnk", F.when(is_interior(), F.col("_pos2"))).drop("_pos2")
     d = with_entry(d, cfg)
 

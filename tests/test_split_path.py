@@ -25,7 +25,7 @@ def _rows(df, keys):
 @pytest.mark.parametrize("anchor", ["origin", "first"])
 def test_split_equals_local_events_by_type(spark, anchor):
     src = FX.events_by_type(spark, SF_SMALL)
-    cfg = ThinConfig(target=0.3, leading_anchor=anchor, block_rows=17)
+    cfg = ThinConfig(target=0.3, leading_anchor=anchor, block_rows=17, sort_rows=97)
     a = score(src, ["event_type"], ["ts", "event_id"], "value", cfg, split="never")
     b = score(src, ["event_type"], ["ts", "event_id"], "value", cfg, split="always")
     assert _rows(a, ["event_type"]) == _rows(b, ["event_type"])
@@ -33,7 +33,7 @@ def test_split_equals_local_events_by_type(spark, anchor):
 
 def test_split_equals_local_events_by_user(spark):
     src = FX.events_by_user(spark, SF_SMALL)
-    cfg = ThinConfig(target=0.5, block_rows=7)
+    cfg = ThinConfig(target=0.5, block_rows=7, sort_rows=500)
     a = score(src, ["user_id"], ["ts", "event_id"], "value", cfg, split="never")
     b = score(src, ["user_id"], ["ts", "event_id"], "value", cfg, split="always")
     assert _rows(a, ["user_id"]) == _rows(b, ["user_id"])
@@ -42,7 +42,7 @@ def test_split_equals_local_events_by_user(spark):
 def test_auto_routes_only_long_series(spark):
     """max_series_rows below the longest series: both paths in one result."""
     src = FX.events_by_user(spark, SF_SMALL)
-    base = ThinConfig(target=0.5, block_rows=9)
+    base = ThinConfig(target=0.5, block_rows=9, sort_rows=300)
     a = score(src, ["user_id"], ["ts", "event_id"], "value", base, split="never")
     b = score(src, ["user_id"], ["ts", "event_id"], "value", base.with_(max_series_rows=66),
               split="auto")
@@ -51,7 +51,7 @@ def test_auto_routes_only_long_series(spark):
 
 def test_split_equals_local_five_metrics(spark):
     rows = P.load_rows(FX.process_rows(spark, SF_SMALL), None)
-    cfg = ThinConfig(target=0.5, block_rows=13)
+    cfg = ThinConfig(target=0.5, block_rows=13, sort_rows=1000)
     keys = FX.PROCESS_KEYS + ["zip_category"]
     a = P.score_metrics(rows, cfg, split="never")
     b = P.score_metrics(rows, cfg, split="always")
