@@ -38,22 +38,27 @@ from .series import with_regions
 from .thin import (BAD_SQL, INTERIOR, MIDDLE, error_columns, finish, fits_column, is_interior,
                    kept_point_sql, point, prev_eligible_sql, with_entry)
 
-# Side tables with at most this many rows are broadcast.
-SIDE_BROADCAST_ROWS = 2_000_000
+# Side tables are broadcast when their proven row bound times an estimated
+# row width stays under this many bytes; otherwise they are shuffle-joined
+# (on keys that include the block, so the join is balanced).
+SIDE_BROADCAST_BYTES = 128 * 1024 * 1024
+SIDE_BROADCAST_ROWS = 2_000_000  # for narrow key lists (~64 bytes per row)
 
 
-def _side(df: DataFrame, bound: int) -> DataFrame:
+def _side(df: DataFrame, bound: int, row_bytes: int = 64) -> DataFrame:
     """Broadcast a side table whose row count is proven <= ``bound``."""
-    return F.broadcast(df) if bound <= SIDE_BROADCAST_ROWS else df
+    return F.broadcast(df) if bound * row_bytes <= SIDE_BROADCAST_BYTES else df
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                     out: str, rows: int, rows_per_task: int, n_keys: int) -> DataFrame:
+                     out: str, rows: int, rows_per_task: int, n_keys: int,
+                     size: str | None = None) -> DataFrame:
     """Exact 1-based ``row_number()`` per ``keys`` in ``order`` for groups of
-    any size.
+    any size, and optionally the group size in ``size``.
 
     ``rows``/``n_keys`` bound the input (rows, groups); ``rows_per_task`` sets
-    the number of range partitions.  ``order`` must be a total order.
+    the number of range partitions.  ``order`` must be a total order.  The
+    offsets table is joined on (keys, partition id), never on keys alone.
     """
     checkpoint_dir(df.sparkSession)
     keys = list(keys)
@@ -67,11 +72,13 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     # lost executor cannot renumber anything.
     tagged = tagged.checkpoint(eager=True)
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    extra = [F.sum("_cnt").over(whole).alias(size)] if size else []
     bases = (tagged.groupBy(*keys, "_pid")
                    .agg(F.min("_mid").alias("_min"), F.count(F.lit(1)).alias("_cnt"))
                    .select(*keys, "_pid",
                            (F.col("_min") - F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                           .alias("_base")))
+                           .alias("_base"), *extra))
     bound = parts + n_keys  # a group spans consecutive partitions
     return (tagged.join(_side(bases, bound), [*keys, "_pid"])
                   .withColumn(out, (F.col("_mid") - F.col("_base") + 1).cast("int"))
@@ -88,9 +95,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     B = cfg.block_rows
     n_blocks = rows // B + n_series  # bound on (series, block) pairs
 
-    d = global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_series)
-    size_keys = [c for c in sizes.columns if c != size]
-    d = d.join(_side(sizes.select(*size_keys, size), n_series), size_keys)
+    d = global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_series, size)
     d = with_regions(d, cfg, row_num, size)
     d = (d.withColumn("_blk", F.floor((F.col(row_num) - 1) / F.lit(B)).cast("long"))
           .withColumn("_x", F.col(row_num).cast("double"))
@@ -138,7 +143,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                           for lv in levels])
     wprev = wbx.rowsBetween(Window.unboundedPreceding, -1)
     wnext = wb.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    a = d.join(_side(carry, n_blocks), [*keys, "_blk"])
+    a = d.join(_side(carry, n_blocks, 64 + 48 * L), [*keys, "_blk"])
     a = a.select("*", *[F.coalesce(F.last(F.expr(kept_point_sql(lv, ok)), ignorenulls=True)
                                    .over(wprev), F.col(f"_cp{lv}")).alias(f"_p{lv}")
                         for lv in levels])
@@ -156,5 +161,10 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     per_series = per_series.select(
         *keys, F.expr("coalesce(_bad, false)").alias("failed"),
         fits_column(cfg, [f"_sse{lv}" for lv in levels], sst).alias("_fits"))
-    out = d.join(_side(per_series, n_series), keys)
+    if n_series * (64 + 8 * L) <= SIDE_BROADCAST_BYTES:
+        out = d.join(F.broadcast(per_series), keys)
+    else:
+        # one copy per block, joined on (keys, block): no task gets a whole series
+        per_block = carry.select(*keys, "_blk").join(per_series, keys)
+        out = d.join(per_block, [*keys, "_blk"])
     return finish(out, cfg, detail).drop("_blk")

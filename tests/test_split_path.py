@@ -68,3 +68,22 @@ def test_global_positions_match_row_number(spark):
     got = sorted(pos.select("event_id", "pos").collect())
     want = sorted(ref.select("event_id", "pos").collect())
     assert got == want
+
+
+def test_split_without_broadcasts(spark, monkeypatch):
+    """Side tables over the byte budget are shuffle-joined on (keys, block)
+    or (keys, partition); same result."""
+    import curvethin.operators.split as SP
+    monkeypatch.setattr(SP, "SIDE_BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = FX.events_by_type(spark, SF_SMALL)
+        cfg = ThinConfig(target=0.3, block_rows=23, sort_rows=101)
+        a = score(src, ["event_type"], ["ts", "event_id"], "value", cfg, split="never")
+        b = score(src, ["event_type"], ["ts", "event_id"], "value", cfg, split="always")
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        # only the two routing joins against the (key-count bounded) hot-key list
+        assert plan.count("BroadcastHashJoin") <= 2
+        assert _rows(a, ["event_type"]) == _rows(b, ["event_type"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
