@@ -89,7 +89,7 @@ def thinnable_rows(df: DataFrame, cfg: ThinConfig, size: str = "n") -> DataFrame
 
 def _number_rows_routed(df: DataFrame, keys: list[str], order, out: str, size: str | None,
                         max_rows: int) -> DataFrame:
-    from .split import SIDE_BROADCAST_ROWS, global_positions
+    from .split import SIDE_BROADCAST_ROWS, global_positions  # split imports series
 
     sizes = series_sizes(df, keys, "_n")
     hot = sizes.filter(F.col("_n") > F.lit(max_rows))
@@ -101,9 +101,5 @@ def _number_rows_routed(df: DataFrame, keys: list[str], order, out: str, size: s
         else hot.select(*keys)
     cold = number_rows(df.join(k, keys, "left_anti"), keys, order, out, size)
     warm = global_positions(df.join(k, keys, "left_semi"), keys, order, out,
-                            int(stats["rows"]), max_rows, int(stats["k"]))
-    if size:
-        side = hot.withColumnRenamed("_n", size)
-        warm = warm.join(F.broadcast(side) if int(stats["k"]) <= SIDE_BROADCAST_ROWS else side,
-                         keys)
+                            int(stats["rows"]), max_rows, int(stats["k"]), size)
     return cold.unionByName(warm.select(*cold.columns))

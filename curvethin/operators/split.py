@@ -36,7 +36,7 @@ from ..functions import exprs as X
 from ..session import checkpoint_dir
 from .series import with_regions
 from .thin import (BAD_SQL, INTERIOR, MIDDLE, error_columns, finish, fits_column, is_interior,
-                   kept_point_sql, point, prev_eligible_sql, with_entry)
+                   kept_point_sql, point, prev_eligible_sql, view_columns, with_entry)
 
 # Side tables are broadcast when their proven row bound times an estimated
 # row width stays under this many bytes; otherwise they are shuffle-joined
@@ -87,7 +87,8 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
 
 def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,
                 cfg: ThinConfig, sizes: DataFrame, n_series: int, rows: int,
-                detail: bool = False, row_num: str = "row_num", size: str = "n") -> DataFrame:
+                detail: bool = False, row_num: str = "row_num", size: str = "n",
+                view_level: int | None = None) -> DataFrame:
     """Score rows of the series in ``sizes`` (keys + ``size``) like
     :func:`curvethin.operators.thin.score_local`, block by block."""
     keys = list(keys)
@@ -118,7 +119,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
           .withColumn("_yn", F.when(last_in_blk, F.col("_edge_yn")).otherwise(F.lead("_y").over(wbx))))
     sig = X.significance_sql("_x", "_y", "_x - 1", "_yp", "_x + 1", "_yn")
     d = d.withColumn("sig", F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END"))
-    d = d.drop("_edge_yp", "_edge_yn", "_yp", "_yn")
+    d = d.drop("_edge_yp", "_edge_yn", *([] if view_level is not None else ["_yp", "_yn"]))
 
     # Rank by significance: interior points first (non-null), ties by x.
     d = global_positions(d, keys, [F.col("sig").desc_nulls_last(), F.col(row_num).asc()],
@@ -161,10 +162,13 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     per_series = per_series.select(
         *keys, F.expr("coalesce(_bad, false)").alias("failed"),
         fits_column(cfg, [f"_sse{lv}" for lv in levels], sst).alias("_fits"))
+    base = d
+    if view_level is not None:
+        base = a.select("*", *view_columns(cfg, view_level))
     if n_series * (64 + 8 * L) <= SIDE_BROADCAST_BYTES:
-        out = d.join(F.broadcast(per_series), keys)
+        out = base.join(F.broadcast(per_series), keys)
     else:
         # one copy per block, joined on (keys, block): no task gets a whole series
         per_block = carry.select(*keys, "_blk").join(per_series, keys)
-        out = d.join(per_block, [*keys, "_blk"])
+        out = base.join(per_block, [*keys, "_blk"])
     return finish(out, cfg, detail).drop("_blk")

@@ -134,7 +134,7 @@ KEEP = (f"NOT failed AND (region IN ('pass', 'head', 'tail', 'all') "
 def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y",
                 row_num: str = "row_num", size: str = "n", detail: bool = False,
                 order: Sequence[str | Column] | None = None,
-                skip_short: bool = False) -> DataFrame:
+                skip_short: bool = False, view_level: int | None = None) -> DataFrame:
     """Score rows with windows over ``partitionBy(keys)``: one exchange for
     the whole operator and five window stages.
 
@@ -162,7 +162,7 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
         d = df.select("*", F.lag(y).over(wx).alias("_yp"), F.lead(y).over(wx).alias("_yn"))
     d = with_regions(d, cfg, row_num, size)
     rest = None
-    if skip_short:
+    if skip_short and view_level is None:
         rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
         d = d.filter(F.expr(LONG))
     rn, yq = X.q(row_num), X.q(y)
@@ -212,6 +212,8 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
     sst = "CASE WHEN _ymin = _ymax THEN 0.0D ELSE _var * _cnt END"
     d = d.select("*", F.expr("coalesce(_bad, false)").alias("failed"),
                  fits_column(cfg, [f"_sse{lv}" for lv in levels], f"({sst})").alias("_fits"))
+    if view_level is not None:
+        d = d.select("*", *view_columns(cfg, view_level))
     out = finish(d, cfg, detail)
     return out if rest is None else out.unionByName(rest)
 
@@ -228,6 +230,28 @@ def _untouched(d: DataFrame, detail: bool) -> DataFrame:
     return d.select(*[c for c in d.columns if not c.startswith("_")])
 
 
+def view_columns(cfg: ThinConfig, level: int) -> list[Column]:
+    """Step-by-step columns at one level (middle rows only): x, y, the
+    neighbours of interior points, kept flag, anchors and interpolated y."""
+    if cfg.leading_anchor == "origin":
+        px, py = f"coalesce(_p{level}.x, 0.0D)", f"coalesce(_p{level}.y, 0.0D)"
+    else:
+        px, py = f"_p{level}.x", f"_p{level}.y"
+    nx, ny = f"_n{level}.x", f"_n{level}.y"
+    mid = lambda e: F.expr(f"CASE WHEN {MIDDLE} THEN {e} END")
+    inner = lambda e: F.expr(f"CASE WHEN {INTERIOR} THEN {e} END")
+    return [
+        mid("_x").alias("x"), mid("_y").alias("y"),
+        inner("_x - 1").alias("x_prev"), inner("CAST(_yp AS DOUBLE)").alias("y_prev"),
+        inner("_x + 1").alias("x_next"), inner("CAST(_yn AS DOUBLE)").alias("y_next"),
+        mid(f"entry <= {level}").alias("kept"),
+        mid(f"named_struct('x', {px}, 'y', {py})").alias("prev"),
+        mid(f"named_struct('x', {nx}, 'y', {ny})").alias("next"),
+        mid(f"CASE WHEN entry <= {level} THEN _y ELSE {X.interpolate_sql('_x', px, py, nx, ny)} END")
+        .alias("yhat"),
+    ]
+
+
 def finish(d: DataFrame, cfg: ThinConfig, detail: bool) -> DataFrame:
     """From ``_fits`` (array of per-level fits) to ``level``, ``fit``, ``keep``."""
     L = len(cfg.levels())
@@ -261,12 +285,13 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
 
 def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, detail: bool,
                 row_num: str, size: str, category: str, skip: bool,
-                pairs: DataFrame | None = None) -> DataFrame:
+                pairs: DataFrame | None = None, view_level: int | None = None) -> DataFrame:
     """Window path.  Several metrics: rows of series kept whole leave right
     after the numbering (before the unpivot) when ``skip``."""
     if isinstance(y, str) or not skip:
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip)
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip,
+                           view_level)
     numbered = number_rows(df, keys, order, row_num, size)
     n = X.q(size)
     long_sql = f"({n} > {cfg.threshold} AND {n} - {cfg.pre} - {cfg.post} > 0)"
@@ -309,7 +334,8 @@ def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column]
 def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
           y: str | Mapping[str, str | Column], cfg: ThinConfig, detail: bool = False,
           split: str = "auto", row_num: str = "row_num", size: str = "n",
-          category: str = "zip_category", pairs: DataFrame | None = None) -> DataFrame:
+          category: str = "zip_category", pairs: DataFrame | None = None,
+          view_level: int | None = None) -> DataFrame:
     """Number the rows of each series by ``order`` and score them.
 
     y: the metric column, or ``{tag: column}`` to thin several metrics of the
@@ -323,11 +349,14 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
        path without that aggregate; "always" forces the split path.
     pairs: with several metrics, an optional bounded table of (keys, tag)
        pairs to thin; other pairs are left out before the window stages.
+    view_level: also return, for middle rows, the step-by-step columns at
+       that level (x, y, neighbours, kept, prev/next anchors, yhat).
     """
     keys = list(keys)
     if split == "never":
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order))
+        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order),
+                           view_level=view_level)
     from .split import score_split  # local import: split imports this module
 
     sizes = series_sizes(df, keys, size)
@@ -339,8 +368,10 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                       F.sum(n).alias("rows")).first()
     n_hot, hot_rows = int(stats["k"]), int(stats["hot_rows"] or 0)
     skip = int(stats["short_rows"] or 0) > SHORT_SHARE * int(stats["rows"] or 0)
+    skip = skip and view_level is None
     if n_hot == 0:
-        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip, pairs)
+        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip, pairs,
+                           view_level)
     hot = sizes.filter(is_hot).persist()
     hot_keys = hot.select(*keys)
     if n_hot <= BROADCAST_KEY_LIMIT:
@@ -348,11 +379,12 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     cold = df.join(hot_keys, keys, "left_anti")
     warm = df.join(hot_keys, keys, "left_semi")
     cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip,
-                              pairs)
+                              pairs, view_level)
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category, pairs)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
-                              hot_rows * n_metrics, detail=detail, row_num=row_num, size=size)
+                              hot_rows * n_metrics, detail=detail, row_num=row_num, size=size,
+                              view_level=view_level)
     return cold_scored.unionByName(warm_scored.select(*cold_scored.columns))
 
 
@@ -364,43 +396,17 @@ def thin(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: s
     return s.filter(F.col("keep")).select(*cols, "row_num")
 
 
-def level_view(numbered: DataFrame, keys: Sequence[str], cfg: ThinConfig, level: int,
-               y: str = "y", row_num: str = "row_num", size: str = "n") -> DataFrame:
-    """Middle rows of long series at one fixed level: ``_x``/``_y`` as x, y,
-    ``sig``, ``rnk``, ``entry``, ``kept``, anchors ``prev``/``next`` (structs
-    of x, y; ``prev`` already (0,0) in "origin" mode when missing), ``yhat``.
-
-    Used by the step-by-step operators (neighbours, ranking, anchors,
-    interpolation, fit at a level); the full operator is :func:`score`.
+def level_view(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,
+               cfg: ThinConfig, level: int, split: str = "auto") -> DataFrame:
+    """Middle rows of long series with the step-by-step columns at one fixed
+    level: ``x``, ``y``, neighbours (``x_prev`` .. ``y_next``, interior
+    points), ``sig``, ``rnk``, ``entry``, ``kept``, anchors ``prev``/``next``
+    (structs of x, y; ``prev`` is (0, 0) in "origin" mode when missing) and
+    ``yhat``.  Same routing as :func:`score`, so long series are safe.
     """
-    keys = list(keys)
-    wp = Window.partitionBy(*keys)
-    wx = wp.orderBy(row_num)
-    d = with_regions(numbered, cfg, row_num, size)
-    d = d.withColumn("x", F.col(row_num).cast("double")).withColumn("y_", F.col(y).cast("double"))
-    d = (d.withColumn("x_prev", F.when(is_interior(), F.lag("x").over(wx)))
-          .withColumn("y_prev", F.when(is_interior(), F.lag("y_").over(wx)))
-          .withColumn("x_next", F.when(is_interior(), F.lead("x").over(wx)))
-          .withColumn("y_next", F.when(is_interior(), F.lead("y_").over(wx))))
-    d = d.withColumn("sig", F.when(is_interior(), X.significance(
-        F.col("x"), F.col("y_"), F.col("x_prev"), F.col("y_prev"), F.col("x_next"),
-        F.col("y_next"))))
-    ws = wp.orderBy(F.col("sig").desc_nulls_last(), F.col(row_num).asc())
-    d = d.withColumn("rnk", F.when(is_interior(), F.row_number().over(ws)))
-    d = with_entry(d, cfg)
-    d = d.withColumn("kept", F.when(is_middle(), F.col("entry") <= F.lit(level)))
-    wprev = wx.rowsBetween(Window.unboundedPreceding, -1)
-    wnext = wp.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    pt = point("x", "y_")
-    prev = F.last(F.when(F.col("kept") & F.expr(prev_eligible_sql(cfg)), pt),
-                  ignorenulls=True).over(wprev)
-    if cfg.leading_anchor == "origin":
-        prev = F.coalesce(prev, origin())
-    d = d.withColumn("prev", F.when(is_middle(), prev))
-    d = d.withColumn("next", F.when(is_middle(), F.last(F.when(F.col("kept") & is_middle(), pt),
-                                                         ignorenulls=True).over(wnext)))
-    yhat = X.interpolate(F.col("x"), F.col("prev.x"), F.col("prev.y"), F.col("next.x"),
-                         F.col("next.y"))
-    d = d.withColumn("yhat", F.when(is_middle(), F.when(F.col("kept"), F.col("y_"))
-                                    .otherwise(yhat)))
-    return d.filter(is_middle()).drop(y).withColumnRenamed("y_", "y")
+    clash = {"x", "y", "x_prev", "y_prev", "x_next", "y_next", "kept", "prev", "next",
+             "yhat"} & {c.lower() for c in df.columns}
+    if clash:
+        raise ValueError(f"input columns clash with view columns: {clash}")
+    s = score(df, keys, order, y, cfg, split=split, view_level=level)
+    return s.filter(F.col("region") == "middle")

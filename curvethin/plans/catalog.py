@@ -58,15 +58,16 @@ def r6(c) -> "F.Column":
 def _a_rows(spark, sf):
     """A: repaired process rows numbered per series (the load query)."""
     rows = P.load_rows(FX.process_rows(spark, sf), None)
-    return S.number_rows(rows, FX.PROCESS_KEYS, FX.PROCESS_ORDER, "row_num", "n")
+    return S.number_rows(rows, FX.PROCESS_KEYS, FX.PROCESS_ORDER, "row_num", "n", split="auto")
 
 
 def _b_numbered(spark, sf):
-    return S.number_rows(FX.events_by_user(spark, sf), B_KEYS, B_ORDER, "row_num", "n")
+    return S.number_rows(FX.events_by_user(spark, sf), B_KEYS, B_ORDER, "row_num", "n",
+                         split="auto")
 
 
 def _b_level(spark, sf, cfg=CFG_B):
-    return level_view(_b_numbered(spark, sf), B_KEYS, cfg, LEVEL, "value")
+    return level_view(FX.events_by_user(spark, sf), B_KEYS, B_ORDER, "value", cfg, LEVEL)
 
 
 # ------------------------------------------------------------- scans etc.
@@ -98,7 +99,7 @@ def q_shard_odd(spark, sf):
 def q_load_pending_rows(spark, sf):
     keys = P.pending_keys(FX.status_rows(spark, sf), 0)
     rows = P.load_rows(FX.process_rows(spark, sf), keys)
-    rows = S.number_rows(rows, FX.PROCESS_KEYS, FX.PROCESS_ORDER, "row_num", None)
+    rows = S.number_rows(rows, FX.PROCESS_KEYS, FX.PROCESS_ORDER, "row_num", None, split="auto")
     return present(rows.select("handle", *FX.PROCESS_KEYS, "sequence_id", "row_num",
                                "pv_charge_capacity", "pv_charge_energy"))
 

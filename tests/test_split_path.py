@@ -87,3 +87,23 @@ def test_split_without_broadcasts(spark, monkeypatch):
         assert _rows(a, ["event_type"]) == _rows(b, ["event_type"])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("anchor", ["origin", "first"])
+def test_level_view_split_equals_local(spark, anchor):
+    from curvethin.operators.thin import level_view
+    src = FX.events_by_user(spark, SF_SMALL)
+    cfg = ThinConfig(target=0.5, leading_anchor=anchor, block_rows=11, sort_rows=400)
+    cols = ["user_id", "row_num", "x", "y", "x_prev", "y_prev", "x_next", "y_next", "sig",
+            "rnk", "entry", "kept", "prev", "next", "yhat"]
+
+    def rows(df):
+        out = []
+        for r in df.select(*cols).collect():
+            out.append(tuple(tuple(v) if hasattr(v, "asDict") else
+                             (round(v, 9) if isinstance(v, float) else v) for v in r))
+        return sorted(out, key=repr)
+
+    a = level_view(src, ["user_id"], ["ts", "event_id"], "value", cfg, 3, split="never")
+    b = level_view(src, ["user_id"], ["ts", "event_id"], "value", cfg, 3, split="always")
+    assert rows(a) == rows(b)
