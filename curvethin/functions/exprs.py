@@ -36,24 +36,9 @@ def series_key_text(cols: Sequence[str | Column]) -> Column:
     return F.concat_ws(KEY_SEPARATOR, *[col(c).cast("string") for c in cols])
 
 
-def significance(x: Column, y: Column, xp: Column, yp: Column, xn: Column, yn: Column) -> Column:
-    """Twice the triangle area spanned by a point and its two neighbours.
 
-    The operand order is the original one, so equal areas tie the same way.
-    """
-    return F.abs((xn - xp) * (y - yp) + (yp - yn) * (x - xp))
 
 
-def interpolate(x: Column, px: Column, py: Column, nx: Column, ny: Column) -> Column:
-    """Value at ``x`` on the line through the previous and next kept point.
-
-    When the line is flat or vertical the next kept value is used.
-    """
-    dy = ny - py
-    dx = nx - px
-    slope = dy / dx
-    return F.when((dy == 0) | (dx == 0), ny).otherwise(slope * x + (ny - slope * nx))
-
 
 def fit(sse: Column, sst: Column) -> Column:
     """Fit measure ``1 - sqrt(SSE/SST)``; 1.0 when either sum is zero."""

@@ -13,10 +13,12 @@ Per series (and per metric, if several are thinned at once):
 
 The original loop over levels becomes a bounded *level scan*: each point gets
 the first level at which it is kept (``entry``); for every level the previous
-and next kept point are running ``last(ignoreNulls)`` windows (frames that
-only grow, never ``... FOLLOWING``), SSE per level is a window sum, and the
-chosen level is the smallest one meeting the target.  All of it is built-in
-window and aggregate expressions: no Python in the data path.
+and next kept point come from running ``max``/``min``/``last`` windows over
+frames that only grow (never ``... FOLLOWING``), SSE per level is a window
+sum, and the chosen level is the smallest one meeting the target.  All of it
+is built-in window and aggregate expressions: no Python in the data path.
+The per-level expressions are written as SQL text (one JVM call per column
+instead of one per expression node).
 
 Series longer than ``cfg.max_series_rows`` are routed to the split path
 (:mod:`curvethin.operators.split`), which computes the same result without
@@ -49,8 +51,6 @@ def point(x: str | Column, y: str | Column) -> Column:
     return F.struct(X.col(x).alias("x"), X.col(y).alias("y"))
 
 
-def origin() -> Column:
-    return F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
 
 MIDDLE = "region = 'middle'"

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from ..config import ThinConfig
 from ..functions import exprs as X
-from ..operators.series import number_rows
 from ..operators.thin import score
 from ..session import checkpoint_dir
 from ..sources.fixtures import FLAG_COLUMNS, PROCESS_COLUMNS, PROCESS_KEYS, PROCESS_ORDER
