@@ -23,6 +23,9 @@ from ..config import ThinConfig
 from ..plans import pipeline as P
 from ..sources.fixtures import PROCESS_KEYS, PROCESS_ORDER
 
+# Micro-batches with at most this many series keys broadcast them.
+BROADCAST_KEYS = 1_000_000
+
 
 def process_micro_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig,
                         write_rows: Callable[[DataFrame], None],
@@ -30,8 +33,12 @@ def process_micro_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig,
                         run_ts: str | None = None, split: str = "auto") -> None:
     """Thin the series of ``keys`` (pending rows of a micro-batch)."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    pending = keys.filter(P.pending_filter()).select(*PROCESS_KEYS).dropDuplicates(PROCESS_KEYS)
-    rows = P.load_rows(process, pending, broadcast_keys=False)
+    pending = (keys.filter(P.pending_filter()).select(*PROCESS_KEYS)
+               .dropDuplicates(PROCESS_KEYS).persist())
+    # a micro-batch's key set is broadcast when its counted size allows;
+    # otherwise a shuffle join (AQE splits skewed partitions)
+    small = pending.count() <= BROADCAST_KEYS
+    rows = P.load_rows(process, pending, broadcast_keys=small)
     scored = (P.score_metrics(rows, cfg, split=split)
               .select(*PROCESS_KEYS, *PROCESS_ORDER, "zip_category", "keep", "failed")
               .persist())
@@ -46,6 +53,7 @@ def process_micro_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig,
     write_status(outcome.withColumn("modified_date_time", F.lit(run_ts).cast("timestamp"))
                         .withColumn("modified_user", F.lit("spark")))
     scored.unpersist()
+    pending.unpersist()
 
 
 def start(spark: SparkSession, process: DataFrame, keys_dir: str, keys_schema,
