@@ -107,3 +107,18 @@ def test_level_view_split_equals_local(spark, anchor):
     a = level_view(src, ["user_id"], ["ts", "event_id"], "value", cfg, 3, split="never")
     b = level_view(src, ["user_id"], ["ts", "event_id"], "value", cfg, 3, split="always")
     assert rows(a) == rows(b)
+
+
+def test_short_series_modes_agree(spark, monkeypatch):
+    """Whole-kept series as a second branch or as one-row partitions: same rows."""
+    import curvethin.operators.thin as TH
+    rows = P.load_rows(FX.process_rows(spark, SF_SMALL), None)
+    keys = FX.PROCESS_KEYS + ["zip_category"]
+    cfg = ThinConfig(target=0.5)
+    monkeypatch.setattr(TH, "SHORT_SHARE", 0.0)  # force the bypass
+    monkeypatch.setattr(TH, "SHORT_MODE", "union")
+    a = _rows(P.score_metrics(rows, cfg), keys)
+    monkeypatch.setattr(TH, "SHORT_MODE", "singleton")
+    b = _rows(P.score_metrics(rows, cfg), keys)
+    c = _rows(P.score_metrics(rows, cfg, split="never"), keys)
+    assert a == b == c
