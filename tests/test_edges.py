@@ -92,3 +92,23 @@ def test_blank_strings(spark):
     df = spark.createDataFrame([("", " ", None, "x")], "a string, b string, c string, d string")
     r = normalize_blank(df).collect()[0]
     assert (r["a"], r["b"], r["c"], r["d"]) == (None, " ", None, "x")
+
+
+def _kept_set(df):
+    return {(r["key"], r["row_num"]) for r in df.collect()}
+
+
+def test_partitioning_and_shift_invariance(spark):
+    import random
+    rnd = random.Random(11)
+    # values on a 1/8 grid: shifting by 4.0 is exact in binary
+    series = {f"s{i}": [rnd.randint(-80, 80) / 8 for _ in range(rnd.randint(52, 80))]
+              for i in range(10)}
+    df = series_df(spark, series)
+    cfg = ThinConfig(target=0.4, leading_anchor="first")
+    base = _kept_set(thin(df, ["key"], ["seq"], "y", cfg, split="never"))
+    for parts in (1, 3, 17):
+        shuffled = df.orderBy(F.rand(seed=parts)).repartition(parts)
+        assert _kept_set(thin(shuffled, ["key"], ["seq"], "y", cfg, split="never")) == base
+    shifted = df.withColumn("y", F.col("y") + F.lit(4.0))
+    assert _kept_set(thin(shifted, ["key"], ["seq"], "y", cfg, split="never")) == base
