@@ -58,9 +58,11 @@ def with_regions(df: DataFrame, cfg: ThinConfig, row_num: str = "row_num",
     region = (f"CASE WHEN {n} <= {cfg.threshold} THEN 'pass' WHEN {n_mid} <= 0 THEN 'all' "
               f"WHEN {rn} <= {cfg.pre} THEN 'head' WHEN {rn} > {n} - {cfg.post} THEN 'tail' "
               f"ELSE 'middle' END")
-    d = df.select("*", F.expr(region).alias("region"))
-    return d.select("*", F.expr(f"CASE WHEN region = 'middle' THEN {n_mid} END").alias("n_mid"),
-                    F.expr(f"CASE WHEN region = 'middle' THEN {rn} - {cfg.pre} END").alias("mpos"))
+    middle = f"(({region}) = 'middle')"
+    # one projection (each select re-analyses the plan)
+    return df.select("*", F.expr(region).alias("region"),
+                     F.expr(f"CASE WHEN {middle} THEN {n_mid} END").alias("n_mid"),
+                     F.expr(f"CASE WHEN {middle} THEN {rn} - {cfg.pre} END").alias("mpos"))
 
 
 def _q(name: str) -> str:

@@ -174,11 +174,11 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
         d = d.select("*", F.expr(f"CASE WHEN {LONG} THEN 0 ELSE {X.q(row_num)} END").alias("_g"))
         wp = Window.partitionBy(*keys, "_g")
     rn, yq = X.q(row_num), X.q(y)
-    sig = X.significance_sql("_x", "_y", "_x - 1", "CAST(_yp AS DOUBLE)", "_x + 1",
+    xd, yd = f"CAST({rn} AS DOUBLE)", f"CAST({yq} AS DOUBLE)"
+    sig = X.significance_sql(xd, yd, f"{xd} - 1", "CAST(_yp AS DOUBLE)", f"{xd} + 1",
                              "CAST(_yn AS DOUBLE)")
-    d = d.select("*", F.expr(f"CAST({rn} AS DOUBLE)").alias("_x"),
-                 F.expr(f"CAST({yq} AS DOUBLE)").alias("_y"))
-    d = d.select("*", F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END").alias("sig"))
+    d = d.select("*", F.expr(xd).alias("_x"), F.expr(yd).alias("_y"),
+                 F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END").alias("sig"))
 
     # B: rank interior points by significance (ties: smaller x first).
     ws = wp.orderBy(F.col("sig").desc_nulls_last(), F.col(row_num).asc())
