@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from curvethin.llm import op2_decontaminate, op3_exact, op4_substring, op5_mix, op7_ngram_join
+from curvethin.llm import op1_toxicity, op2_decontaminate, op3_exact, op4_substring, op5_mix, op7_ngram_join, op8_quality
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity.query,
     "op2_decontaminate": op2_decontaminate.query,
     "op3_exact_dedup": op3_exact.query,
     "op4_substring_dedup": op4_substring.query,
     "op5_mix_sources": op5_mix.query,
     "op7_ngram_join": op7_ngram_join.query,
+    "op8_quality": op8_quality.query,
 }
 
 ORACLES = {
