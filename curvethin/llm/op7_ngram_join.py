@@ -7,15 +7,16 @@ between different sets; equal sets are one class from the start.
 1. ``shingle_sets``: every whole text to its set of 64-bit shingle hashes; classes of equal sets.
 2. A class posts the ``q(n)`` smallest hashes of its set. If A and B link, at most a - T of A's and b - T of B's
    hashes are not shared, so their posted sets share at least ``overlap(a, b)`` >= 1 hashes (proof at ``overlap``).
-3. The posted hashes are sorted and streamed: lists of one entry vanish, which leaves those that occur again.
-4. DivideSkip: a class needs ``least(n)`` shared hashes whatever its partner's size. Its lists are ordered by
-   length, and the ``least(n) - 1`` longest are not merged: a partner that is in none of the others cannot reach
-   the overlap. A class with fewer than ``least(n)`` lists has no partner and leaves. What a
-   merge of short lists cannot decide is decided by probing.
-5. Merging: each list first offers its smallest member against the rest (a star, linear in the list). Verified
-   links join classes to components; then all further pairs of a list that are not yet in one component are
-   offered. Pairs in one component add no link that the result needs, so a group of copies costs its size, not its
-   square.
+3. The posted hashes are sorted and streamed: lists of one entry vanish. A class of n needs at least ``least(n)``
+   hashes that occur again, whatever its partner's size; the others have no partner and leave.
+4. DivideSkip over the whole sets of those that remain. Their inverted lists are built the same way. A class that does not
+   share T hashes with all sets of any one size class together has no partner and leaves. With T(n) = ceil(3n / 4), the
+   least for any partner, its T(n) - 1 longest lists are not merged: a partner that is
+   in none of the others cannot reach the overlap, so what the long lists hold is only probed.
+5. Merging: in ``ROUNDS`` rounds each list offers one member against the rest (a star, linear in the list), the first time
+   the member whose hashes are the most common. Verified links join classes to components, and lists
+   within one component are done. Then all pairs of a list that are still in different components are offered. Pairs in one
+   component add no link that the result needs, so a group of copies costs its size, not its square.
 6. Probing: each offered pair is verified exactly, by binary search of the smaller set's hashes in the larger's.
 
 Nothing is capped, and no list is held by a task: lists are streamed or joined by Spark, which splits skewed keys.
@@ -40,11 +41,12 @@ from curvethin.llm import textops as T
 from curvethin.llm.graph import components
 
 SIZE = 5
-SHARE = 0.37  # posted part of a set; above 1/3 every overlap() is at least 1 with room to skip long lists
+ROUNDS = 2
+STEP = 1.0125  # between size classes
 
 
 def posted(n: np.ndarray) -> np.ndarray:
-    """q(n): how many of its smallest hashes a set of n posts."""
+    """q(n): how many of its smallest hashes a set of n posts. Above a third, overlap() leaves room to rule classes out."""
     return np.minimum(n, (n * 37) // 100 + 2)
 
 
@@ -142,62 +144,120 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _lists(reps: DataFrame) -> DataFrame:
-    """(h, id, n): the entries of the inverted lists that a class merges."""
-    tokens = reps.where("n > 0").select("id", "n", F.explode("head").alias("h")).repartition("h").sortWithinPartitions("h")
-    again = T.cut(tokens.mapInArrow(T.keep_repeated("h"), tokens.schema))
-    length = again.groupBy("h").agg(F.count("*").alias("length"))
-    mine = again.join(length, "h").groupBy("id", "n").agg(F.collect_list(F.struct("length", "h")).alias("mine"))
+def _again(entries: DataFrame) -> DataFrame:
+    """The entries (h, ...) of lists with at least two."""
+    rows = entries.repartition("h").sortWithinPartitions("h")
+    return T.cut(rows.mapInArrow(T.keep_repeated("h"), rows.schema))
+
+
+def _candidates(reps: DataFrame) -> DataFrame:
+    """The classes (id) that post enough hashes that others post too."""
 
     @F.pandas_udf("long")
     def needs(n: pd.Series) -> pd.Series:
         return n.map({v: least(int(v)) for v in n.unique()})
 
-    mine = mine.withColumn("needs", needs("n")).where(F.size("mine") >= F.col("needs"))
-    short = F.slice(F.array_sort("mine"), F.lit(1), (F.size("mine") - F.col("needs") + 1).cast("int"))
-    entries = mine.select("id", "n", F.explode(short).alias("e")).select(F.col("e.h").alias("h"), "id", "n")
-    entries = entries.repartition("h").sortWithinPartitions("h")
-    return T.cut(entries.mapInArrow(T.keep_repeated("h"), entries.schema))
+    again = _again(reps.where("n > 0").select("id", "n", F.explode("head").alias("h")))
+    return T.cut(again.groupBy("id", "n").agg(F.count("*").alias("k")).where(F.col("k") >= needs("n")).select("id"))
 
 
-def _can_link(a: str, b: str):
-    return F.expr(f"7 * least({a}, {b}) >= 3 * ({a} + {b})")
+def _size_class(n: str) -> str:
+    return f"int(floor(ln({n}) / ln({STEP}) + 1e-9))"
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes (doc_id, n, id: smallest doc_id of the equal sets) and the links found (a, b) between class ids.
+def _possible(again: DataFrame) -> DataFrame:
+    """Classes (id) that share enough hashes with the sets of some size together.
 
-    The links span every component; those between classes that others already connect are not listed.
+    Sizes are put in classes ``STEP`` apart (so a list has a bounded number of them). A class of n links with a set of
+    size class c only if at least T(n, smallest size in c) of its hashes occur in other sets of that size class.
     """
-    base = shingle_sets(docs)
-    reps = base.where("doc_id is not null").groupBy("s1", "s2", "n").agg(F.min_by("head", "doc_id").alias("head"), F.min("doc_id").alias("id"))
-    lists = _lists(reps)
-    centre = lists.groupBy("h").agg(F.min("id").alias("a"), F.min_by("n", "id").alias("na"))
-    star = T.cut(lists.join(centre, "h").where("id <> a").where(_can_link("na", "n")).select("a", F.col("id").alias("b")).distinct())
-    members = lists.select("id").distinct()
-    sets = T.cut(_whole_sets(docs, members))
-    found = T.cut(_verify(star, sets))
-    label = components(members, found)
+    whole = again.groupBy("id", "n").agg(F.count("*").alias("k")).where("4 * k >= 3 * n").select("id")
+    again = again.join(whole, "id", "left_semi").withColumn("own", F.expr(_size_class("n")))
+    sizes = again.groupBy("h", F.col("own").alias("c")).agg(F.count("*").alias("k")).groupBy("h").agg(F.collect_list(F.struct("c", "k")).alias("cs"))
+    near = f"x.c >= {_size_class('3 * n / 4')} - 1 and x.c <= {_size_class('4 * n / 3')} + 1 and (x.c <> own or x.k > 1)"
+    each = again.join(sizes, "h").select("id", "n", F.explode(F.expr(f"transform(filter(cs, x -> {near}), x -> x.c)")).alias("c"))
+    smallest = f"greatest(floor(pow({STEP}, c) - 1e-6), 3 * n / 4)"
+    return each.groupBy("id", "n", "c").agg(F.count("*").alias("k")).where(F.expr(f"7 * k >= 3 * (n + {smallest}) - 1e-6")).select("id").distinct()
+
+
+def _merged(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The short lists (h, id, n, rest), and for each class how common its hashes are (id, weight).
+
+    rest: how many of the class's hashes are this one or come later in its order, rarest first. A linked pair shares at
+    least T hashes, all of them from the first shared one on, so the list of that one has rest >= T for both.
+    """
+    again = _again(sets.mapInArrow(_entries, "h long, id long, n long"))
+    again = _again(again.join(T.cut(_possible(again)), "id", "left_semi").select("h", "id", "n"))
+    length = again.groupBy("h").agg(F.count("*").alias("length"))
+    mine = again.join(length, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("length", "h"))).alias("mine"))
+    needs = F.expr("int((3 * n + 3) div 4)")
+    mine = T.cut(mine.where(F.size("mine") >= needs).withColumn("size", F.size("mine")))
+    weight = mine.select("id", F.expr("aggregate(mine, 0D, (s, e) -> s + e.length) / n").alias("weight"))
+    short = mine.select("id", "n", "size", F.posexplode(F.slice("mine", F.lit(1), F.col("size") - needs + 1)).alias("p", "e"))
+    return _again(short.select(F.col("e.h").alias("h"), "id", "n", (F.col("size") - F.col("p")).alias("rest"))), weight
+
+
+def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 500):
+            part = batch.slice(i, 500)
+            cells = [np.frombuffer(c.as_buffer(), np.int64) for c in part.column("cells")]
+            n = np.array([len(c) for c in cells])
+            ids = np.repeat(part.column("id").to_numpy(), n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(ids), pa.array(np.repeat(n, n))], ["h", "id", "n"])
+
+
+def _can_link(a: str, b: str, rest: str, other: str):
+    return F.expr(f"7 * least({a}, {b}, {rest}, {other}) >= 3 * ({a} + {b})")
+
+
+def _open(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """Lists whose members are not all in one component, with ``component``."""
     named = lists.join(label, "id")
-    # lists whose members are all in one component are done
-    open_ = named.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
-    named = named.join(open_, "h", "left_semi")
-    left = named.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = named.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (left.join(right, "h").where("a < b and ca <> cb").where(_can_link("na", "nb"))
-            .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    found = T.cut(found.unionByName(_verify(rest, sets)))
-    return reps.select("s1", "s2", "n", "id"), found
+    several = named.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
+    return named.join(several, "h", "left_semi")
+
+
+def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between classes, from (id, n, head) of each class.
+
+    The links span every component; those between classes that others already connect are not listed.
+    """
+    sets = T.cut(_whole_sets(docs, _candidates(reps)))
+    lists, weight = _merged(sets)
+    members = T.cut(lists.select("id").distinct().join(weight, "id"))
+    label, found, tried = members.select("id", F.col("id").alias("component")), None, None
+    for r in range(ROUNDS):
+        order = -F.col("weight") if r == 0 else F.xxhash64("id", F.lit(r)).cast("double")
+        now = _open(lists, label).join(members.select("id", order.alias("order")), "id")
+        centre = now.groupBy("h").agg(F.min(F.struct("order", "id", "n", "rest", "component")).alias("c"))
+        offer = (now.join(centre, "h").where("component <> c.component").where(_can_link("c.n", "n", "c.rest", "rest"))
+                 .select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct())
+        offer = T.cut(offer if tried is None else offer.join(tried, ["a", "b"], "left_anti"))
+        new = T.cut(_verify(offer, sets))
+        tried = offer if tried is None else T.cut(tried.unionByName(offer))
+        found = new if found is None else T.cut(found.unionByName(new))
+        label = components(members.select("id"), found)
+    now = _open(lists, label)
+    left = now.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("rest").alias("ra"))
+    right = now.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("rest").alias("rb"))
+    rest = left.join(right, "h").where("a < b and ca <> cb").where(_can_link("na", "nb", "ra", "rb")).select("a", "b").distinct()
+    both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return T.cut(found.unionByName(_verify(rest.join(both, ["a", "b"], "left_anti"), sets)))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (links found at the document's class) for each row."""
-    reps, found = links(docs)
-    label = components(found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct(), found)
+    base = shingle_sets(docs)
+    rows = T.cut(base.select("doc_id", "n", "s1", "s2"))
+    classes = rows.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"))
+    reps = base.where("doc_id is not null").groupBy("s1", "s2", "n").agg(F.min_by("head", "doc_id").alias("head"), F.min("doc_id").alias("id"))
+    found = links(docs, reps)
+    label = components(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), found)
     degree = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    named = reps.where("n > 0").join(label, "id", "left").join(degree, "id", "left")
+    named = classes.where("n > 0").join(label, "id", "left").join(degree, "id", "left")
     named = named.select("s1", "s2", "n", F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    rows = shingle_sets(docs).select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
+    rows = rows.join(named, ["s1", "s2", "n"], "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
