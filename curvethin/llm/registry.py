@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from curvethin.llm import op1_toxicity, op2_decontaminate, op3_exact, op4_substring, op5_mix, op7_ngram_join, op8_quality
+from curvethin.llm import (
+    op1_toxicity,
+    op2_decontaminate,
+    op3_exact,
+    op4_substring,
+    op5_mix,
+    op6_pii,
+    op7_ngram_join,
+    op8_quality,
+    op9_secrets,
+    op10_chat,
+)
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.query,
@@ -10,8 +21,11 @@ QUERIES = {
     "op3_exact_dedup": op3_exact.query,
     "op4_substring_dedup": op4_substring.query,
     "op5_mix_sources": op5_mix.query,
+    "op6_pii": op6_pii.query,
     "op7_ngram_join": op7_ngram_join.query,
     "op8_quality": op8_quality.query,
+    "op9_secrets": op9_secrets.query,
+    "op10_chat": op10_chat.query,
 }
 
 ORACLES = {
@@ -20,4 +34,5 @@ ORACLES = {
     "op4_substring_dedup": op4_substring.ORACLE,
     "op5_mix_sources": op5_mix.ORACLE,
     "op7_ngram_join": op7_ngram_join.ORACLE,
+    "op10_chat": op10_chat.ORACLE,
 }
