@@ -66,8 +66,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text, words joined by one space), removed (word intervals)."""
     if size < SHINGLE:
         raise ValueError(f"size must be at least {SHINGLE}")
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("did"), F.hash("text").alias("tag"))
+    # one column list for both joins below, so that the exchange of the texts is made once and reused
+    docs = docs.select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("did", F.hash("text").alias("tag"), "text")
 
     def anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in T.by_chunk(batches):
@@ -90,8 +91,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield _rows(rows, d, T.signed(win), at - w.doc[d])
 
     schema = "h long, did long, tag int, pos int"
-    first = _repeated(docs.select("did", "tag", "text").mapInArrow(anchor_rows, schema))
-    second = _repeated(_with_positions(docs, first).select("did", "tag", "text", "at").mapInArrow(window_rows, schema))
+    first = _repeated(docs.mapInArrow(anchor_rows, schema))
+    second = _repeated(_with_positions(docs, first).mapInArrow(window_rows, schema))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in T.by_chunk(batches):
@@ -113,11 +114,12 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             removed = np.add.reduceat(np.append(gone, 0), w.doc[:-1]) if n else np.zeros(rows.num_rows, int)
             removed = np.where(w.counts() > 0, removed, 0)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(w.counts(), pa.int64()), pa.array(removed, pa.int64()),
+                [rows.column("did"), pa.array(w.counts(), pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
-                ["doc_id", "n_words", "n_removed", "kept", "removed"])
+                ["did", "n_words", "n_removed", "kept", "removed"])
 
-    return _with_positions(docs, second).mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string, removed array<array<long>>")
+    out = _with_positions(docs, second).mapInArrow(cut, "did long, n_words long, n_removed long, kept string, removed array<array<long>>")
+    return out.select(F.expr(f"nullif(did, {T.NULL_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept", "removed")
 
 
 def _rows(rows: pa.RecordBatch, d: np.ndarray, h: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
