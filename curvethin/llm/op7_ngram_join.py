@@ -147,7 +147,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _again(entries: DataFrame) -> DataFrame:
     """The entries (h, ...) of lists with at least two."""
     rows = entries.repartition("h").sortWithinPartitions("h")
-    return T.cut(rows.mapInArrow(T.keep_repeated("h"), rows.schema))
+    return rows.mapInArrow(T.keep_repeated("h"), rows.schema)
 
 
 def _candidates(reps: DataFrame) -> DataFrame:
@@ -186,15 +186,15 @@ def _merged(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest: how many of the class's hashes are this one or come later in its order, rarest first. A linked pair shares at
     least T hashes, all of them from the first shared one on, so the list of that one has rest >= T for both.
     """
-    again = _again(sets.mapInArrow(_entries, "h long, id long, n long"))
-    again = _again(again.join(T.cut(_possible(again)), "id", "left_semi").select("h", "id", "n"))
-    length = again.groupBy("h").agg(F.count("*").alias("length"))
+    again = T.store(_again(sets.mapInArrow(_entries, "h long, id long, n long")))
+    again = again.join(T.cut(_possible(again)), "id", "left_semi")
+    length = again.groupBy("h").agg(F.count("*").alias("length")).where("length > 1")
     mine = again.join(length, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("length", "h"))).alias("mine"))
     needs = F.expr("int((3 * n + 3) div 4)")
-    mine = T.cut(mine.where(F.size("mine") >= needs).withColumn("size", F.size("mine")))
+    mine = T.store(mine.where(F.size("mine") >= needs).withColumn("size", F.size("mine")))
     weight = mine.select("id", F.expr("aggregate(mine, 0D, (s, e) -> s + e.length) / n").alias("weight"))
     short = mine.select("id", "n", "size", F.posexplode(F.slice("mine", F.lit(1), F.col("size") - needs + 1)).alias("p", "e"))
-    return _again(short.select(F.col("e.h").alias("h"), "id", "n", (F.col("size") - F.col("p")).alias("rest"))), weight
+    return T.store(_again(short.select(F.col("e.h").alias("h"), "id", "n", (F.col("size") - F.col("p")).alias("rest")))), weight
 
 
 def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
     The links span every component; those between classes that others already connect are not listed.
     """
-    sets = T.cut(_whole_sets(docs, _candidates(reps)))
+    sets = T.store(_whole_sets(docs, _candidates(reps)))
     lists, weight = _merged(sets)
     members = T.cut(lists.select("id").distinct().join(weight, "id"))
     label, found, tried = members.select("id", F.col("id").alias("component")), None, None
