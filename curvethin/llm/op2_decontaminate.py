@@ -133,7 +133,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows without a passage of the benchmark, with all their columns."""
-    gone = matches(docs, benchmark).select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("_gone")).distinct()
+    gone = T.sized(matches(docs, benchmark).select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("_gone")).distinct())
     return docs.join(gone, F.coalesce(docs["doc_id"], F.lit(T.NULL_ID)) == gone["_gone"], "left_anti")
 
 

@@ -23,8 +23,8 @@ Nothing is capped, and no list is held by a task: lists are streamed or joined b
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and are their own
 component; texts shorter than ``SIZE`` words have one shingle, the whole sequence; repeated rows are
-one class; a null doc_id takes part, and its component is the smallest id of the class's others (null if none);
-further columns are ignored; an empty table gives no rows.
+one class; rows that share a doc_id but not a text link wherever one of them does; a null doc_id gets the component of
+a document with an equal set (null if there is none); further columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -120,8 +120,8 @@ def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             cells = [sh[e - k:e].tobytes() for e, k in zip(end, n.tolist())]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(cells, pa.binary())], ["id", "cells"])
 
-    wanted = docs.select("doc_id", "text").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "id long, cells binary").dropDuplicates(["id"])
+    wanted = docs.select("doc_id", "text").join(T.sized(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
+    return wanted.mapInArrow(run, "id long, cells binary")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
         return n.map({v: least(int(v)) for v in n.unique()})
 
     again = _again(reps.where("n > 0").select("id", "n", F.explode("head").alias("h")))
-    return T.cut(again.groupBy("id", "n").agg(F.count("*").alias("k")).where(F.col("k") >= needs("n")).select("id"))
+    return again.groupBy("id", "n").agg(F.count("*").alias("k")).where(F.col("k") >= needs("n")).select("id").distinct()
 
 
 def _size_class(n: str) -> str:
@@ -251,8 +251,9 @@ def join(docs: DataFrame) -> DataFrame:
     base = shingle_sets(docs)
     rows = T.cut(base.select("doc_id", "n", "s1", "s2"))
     classes = rows.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"))
-    reps = base.where("doc_id is not null").groupBy("s1", "s2", "n").agg(F.min_by("head", "doc_id").alias("head"), F.min("doc_id").alias("id"))
-    found = links(docs, reps)
+    copies = rows.join(classes, ["s1", "s2", "n"]).where("doc_id <> id").select("doc_id").distinct()
+    reps = base.where("doc_id is not null").join(T.sized(copies), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "head")
+    found = links(docs, reps).distinct()
     label = components(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), found)
     degree = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     named = classes.where("n > 0").join(label, "id", "left").join(degree, "id", "left")
@@ -263,7 +264,7 @@ def join(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: of each component the one with the smallest doc_id."""
-    gone = join(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = T.sized(join(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 

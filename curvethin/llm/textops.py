@@ -48,6 +48,15 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FEW = 4_000_000  # rows of (at most two) 8-byte keys that may be broadcast: 64 MB
+
+
+def sized(keys: DataFrame) -> DataFrame:
+    """A materialised table of keys, to be broadcast if its counted size allows; else Spark shuffles for the join."""
+    keys = cut(keys)
+    return F.broadcast(keys) if keys.count() <= FEW else keys
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows whose labels are never learned from."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
