@@ -171,8 +171,8 @@ def _possible(again: DataFrame) -> DataFrame:
     Sizes are put in classes ``STEP`` apart (so a list has a bounded number of them). A class of n links with a set of
     size class c only if at least T(n, smallest size in c) of its hashes occur in other sets of that size class.
     """
-    whole = again.groupBy("id", "n").agg(F.count("*").alias("k")).where("4 * k >= 3 * n").select("id")
-    again = again.join(whole, "id", "left_semi").withColumn("own", F.expr(_size_class("n")))
+    whole = again.groupBy("id", "n").agg(F.count("*").alias("k")).where("4 * k >= 3 * n").select("id").distinct()
+    again = again.join(T.sized(whole), "id", "left_semi").withColumn("own", F.expr(_size_class("n")))
     sizes = again.groupBy("h", F.col("own").alias("c")).agg(F.count("*").alias("k")).groupBy("h").agg(F.collect_list(F.struct("c", "k")).alias("cs"))
     near = f"x.c >= {_size_class('3 * n / 4')} - 1 and x.c <= {_size_class('4 * n / 3')} + 1 and (x.c <> own or x.k > 1)"
     each = again.join(sizes, "h").select("id", "n", F.explode(F.expr(f"transform(filter(cs, x -> {near}), x -> x.c)")).alias("c"))
@@ -187,7 +187,7 @@ def _merged(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     least T hashes, all of them from the first shared one on, so the list of that one has rest >= T for both.
     """
     again = T.store(_again(sets.mapInArrow(_entries, "h long, id long, n long")))
-    again = again.join(T.cut(_possible(again)), "id", "left_semi")
+    again = again.join(T.sized(_possible(again)), "id", "left_semi")
     length = again.groupBy("h").agg(F.count("*").alias("length")).where("length > 1")
     mine = again.join(length, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("length", "h"))).alias("mine"))
     needs = F.expr("int((3 * n + 3) div 4)")
