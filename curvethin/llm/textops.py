@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from curvethin.session import checkpoint_dir
 
-CHUNK = 2 << 20
+CHUNK = 512 << 10
 NULL_ID = -(1 << 63)  # stands for a null doc_id in join keys
 
 _SEP = np.zeros(256, bool)
