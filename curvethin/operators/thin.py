@@ -320,11 +320,11 @@ def _own_order(y, order):
 
 
 def _only(long: DataFrame, pairs: DataFrame | None, keys: list[str], category: str) -> DataFrame:
-    """Keep the (series, metric) pairs listed in ``pairs`` (a bounded table:
-    broadcast semi join, which keeps the stream side's partitioning)."""
+    """Keep the (series, metric) pairs listed in ``pairs`` (a semi
+    join; Spark broadcasts the pairs when they are small)."""
     if pairs is None:
         return long
-    return long.join(F.broadcast(pairs.select(*keys, category)), keys + [category], "left_semi")
+    return long.join(pairs.select(*keys, category), keys + [category], "left_semi")
 
 
 def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],

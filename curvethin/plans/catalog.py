@@ -89,11 +89,11 @@ def q_config_broadcast(spark, sf):
 
 
 def q_pending_keys(spark, sf):
-    return present(P.pending_keys(FX.status_rows(spark, sf), 0))
+    return present(P.pending_keys(FX.status_rows(spark, sf), 0, limit=P.BATCH_KEYS))
 
 
 def q_shard_odd(spark, sf):
-    return present(P.pending_keys(FX.status_rows(spark, sf), 1))
+    return present(P.pending_keys(FX.status_rows(spark, sf), 1, limit=P.BATCH_KEYS))
 
 
 def q_load_pending_rows(spark, sf):

@@ -103,12 +103,16 @@ status AS (
   FROM skeys)"""
 
 
-def _pending(shard: int) -> str:
+# the batch size of the original job, in key order
+FIRST = "ORDER BY remark, st_business_cycle, step_id LIMIT 6000"
+
+
+def _pending(shard: int, limit: str = "") -> str:
     return f"""pend AS (
   SELECT DISTINCT remark, st_business_cycle, step_id FROM status
   WHERE (c_status = 0 OR e_status = 0 OR i_status = 0 OR t_status = 0 OR v_status = 0)
     AND ((step_id % 2) + 2) % 2 = {shard}
-  ORDER BY remark, st_business_cycle, step_id LIMIT {P.BATCH_KEYS})"""
+  {limit})"""
 
 
 # --------------------------------------------------------- thinning stages
@@ -239,8 +243,8 @@ SELECT remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step
        {_d(a.start)} AS "start", {_d(a.step)} AS step, count(*) > {a.threshold} AS thinnable
 FROM proc GROUP BY remark, st_business_cycle, step_id"""
     keys_sel = "remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step_id AS BIGINT) AS step_id"
-    q["pending_keys"] = _with(STATUS, _pending(0)) + f"\nSELECT {keys_sel} FROM pend"
-    q["shard_odd"] = _with(STATUS, _pending(1)) + f"\nSELECT {keys_sel} FROM pend"
+    q["pending_keys"] = _with(STATUS, _pending(0, FIRST)) + f"\nSELECT {keys_sel} FROM pend"
+    q["shard_odd"] = _with(STATUS, _pending(1, FIRST)) + f"\nSELECT {keys_sel} FROM pend"
     q["load_pending_rows"] = _with(PROC, STATUS, _pending(0)) + """
 SELECT handle, remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step_id AS BIGINT) AS step_id,
   CAST(sequence_id AS BIGINT) AS sequence_id,

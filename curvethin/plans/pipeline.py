@@ -53,10 +53,11 @@ def pending_filter() -> Column:
 
 
 def pending_keys(status: DataFrame, shard: int = 0, shards: int = SHARDS,
-                 limit: int | None = BATCH_KEYS) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """Series keys to process in this batch: pending, in the shard
-    ``pmod(step_id, shards) == shard``, the first ``limit`` in key order
-    (a top-k: each task keeps its best ``limit``, then one merge)."""
+    ``pmod(step_id, shards) == shard``. The whole shard, or with a ``limit``
+    the first ones in key order (a top-k: each task keeps its best ``limit``,
+    then one merge)."""
     d = (status.filter(pending_filter() & (F.pmod(F.col("step_id"), F.lit(shards)) == shard))
                .select(*PROCESS_KEYS).dropDuplicates(PROCESS_KEYS))
     # an ordered limit is a top-k (bounded per task); without a limit no sort
@@ -71,11 +72,11 @@ def repair_metrics(process: DataFrame) -> DataFrame:
     })
 
 
-def load_rows(process: DataFrame, keys: DataFrame | None, broadcast_keys: bool = True) -> DataFrame:
+def load_rows(process: DataFrame, keys: DataFrame | None, broadcast_keys: bool = False) -> DataFrame:
     """Process rows of the given series keys, metrics repaired.
 
-    ``keys`` is bounded by the batch size, so it is broadcast; pass
-    ``broadcast_keys=False`` for an unbounded key set.
+    ``broadcast_keys`` is for a key set bounded by a batch limit; otherwise
+    Spark chooses the join by the size it finds.
     """
     rows = process
     if keys is not None:
@@ -101,8 +102,8 @@ FLAG_OF = {"C": "c_status", "E": "e_status", "I": "i_status", "T": "t_status", "
 
 def pending_pairs(status: DataFrame, keys: DataFrame) -> DataFrame:
     """(series keys, zip_category) pairs whose own flag is 0, for the given
-    keys (bounded by the batch: broadcast)."""
-    s = status.join(F.broadcast(keys.select(*PROCESS_KEYS)), PROCESS_KEYS, "left_semi")
+    keys."""
+    s = status.join(keys.select(*PROCESS_KEYS), PROCESS_KEYS, "left_semi")
     pairs = F.array(*[F.struct(F.lit(t).alias("zip_category"), F.col(c).alias("flag"))
                       for t, c in FLAG_OF.items()])
     return (s.select(*PROCESS_KEYS, F.inline(pairs)).filter(F.col("flag").eqNullSafe(0))
@@ -120,12 +121,12 @@ def metric_outcome(pairs: DataFrame, scored: DataFrame) -> DataFrame:
 def update_status_per_metric(status: DataFrame, outcome: DataFrame,
                              run_ts: str | _dt.datetime | Column) -> DataFrame:
     """Set each flag from ``outcome`` (keys, zip_category, value); flags
-    without an outcome are unchanged.  Outcome is bounded by the batch."""
+    without an outcome are unchanged."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
     wide = outcome.groupBy(*PROCESS_KEYS).agg(
         *[F.max(F.when(F.col("zip_category") == t, F.col("value"))).alias(f"_{c}")
           for t, c in FLAG_OF.items()])
-    j = status.join(F.broadcast(wide.withColumn("_hit", F.lit(True))), PROCESS_KEYS, "left")
+    j = status.join(wide.withColumn("_hit", F.lit(True)), PROCESS_KEYS, "left")
     new = {c: F.coalesce(F.col(f"_{c}").cast(status.schema[c].dataType), F.col(c))
            for c in FLAG_COLUMNS}
     hit = F.col("_hit").isNotNull()
@@ -165,13 +166,12 @@ def series_outcome(scored: DataFrame) -> DataFrame:
 
 def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
                   run_ts: str | _dt.datetime | Column,
-                  flags: Sequence[str] = FLAG_COLUMNS, broadcast_keys: bool = True) -> DataFrame:
+                  flags: Sequence[str] = FLAG_COLUMNS, broadcast_keys: bool = False) -> DataFrame:
     """New version of the status table: rows of ``keys`` get ``value`` in the
     given flags and a fresh stamp; others are unchanged.
 
     ``keys`` may carry a ``value`` column (per-key outcome); ``value`` may
-    then be ``F.col("value")``.  A left join (keys bounded by the batch:
-    broadcast) + coalesce, i.e. ``UPDATE ... FROM`` as a new table version.
+    then be ``F.col("value")``.  A left join + coalesce, i.e. ``UPDATE ... FROM`` as a new table version.
     """
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
     k = keys.select(*PROCESS_KEYS, *(["value"] if "value" in keys.columns else []))
@@ -188,7 +188,7 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
 
 def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
               run_ts: str | _dt.datetime, write: Callable[[DataFrame], None],
-              shard: int = 0, shards: int = SHARDS, limit: int | None = BATCH_KEYS,
+              shard: int = 0, shards: int = SHARDS, limit: int | None = None,
               split: str = "auto", per_metric_status: bool = False) -> DataFrame:
     """One batch end to end.  Writes the kept rows with ``write`` (one
     distributed write action) and returns the new status table: 1 for the
@@ -200,7 +200,7 @@ def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
     metrics of a pending series and sets all five flags together.
     """
     keys = pending_keys(status, shard, shards, limit)
-    keys = keys.persist()  # bounded by the batch size; read by several plans
+    keys = keys.persist()  # read by several plans
     rows = load_rows(process, keys, broadcast_keys=limit is not None)
     pairs = pending_pairs(status, keys).persist() if per_metric_status else None
     scored = (score_metrics(rows, cfg, split=split, pairs=pairs)
