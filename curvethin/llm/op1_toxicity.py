@@ -27,7 +27,6 @@ repeated rows score alike; further columns pass through; without labelled rows o
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -200,10 +199,10 @@ def _svm(x: np.ndarray, yes: np.ndarray, no: np.ndarray, ridge: float, steps: in
         f = x @ beta[:-1].astype(x.dtype) + beta[-1]
         up, down = yes * (f < 1), no * (f > -1)
         h, g = np.diag(reg), np.zeros(len(beta))
-        for k in range(0, len(x), 5000):
-            part = np.hstack([x[k:k + 5000], np.ones((len(x[k:k + 5000]), 1), x.dtype)]).astype(float)
-            h += (part * (up + down)[k:k + 5000, None]).T @ part
-            g += part.T @ (up - down)[k:k + 5000]
+        for k in range(0, len(x), 2000):
+            part = np.hstack([x[k:k + 2000], np.ones((len(x[k:k + 2000]), 1), x.dtype)]).astype(float)
+            h += (part * (up + down)[k:k + 2000, None]).T @ part
+            g += part.T @ (up - down)[k:k + 2000]
         new = np.linalg.solve(h, g)
         if np.abs(new - beta).max() < 1e-6:
             break
@@ -229,17 +228,20 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"[^\n.!?]+")
 
 
-def _words(text: str) -> list[str]:
-    return [sys.intern(w.lower()) for w in _WORD.findall(text)]
+def _words(text: str, one: dict[str, str]) -> list[str]:
+    """Lower-cased words, equal words as one object; ``one`` goes when training ends."""
+    return [one.setdefault(w, w) for w in _WORD.findall(text.lower())]
 
 
-def train(texts: list[str], labels: np.ndarray) -> Model | None:
-    """None if the rows are all of one label."""
+def train(texts: list[str], labels: np.ndarray, odds: float | None = None) -> Model | None:
+    """None if the rows are all of one label. odds: toxic to other rows among all labels, which the sample balances."""
     labels = np.asarray(labels, float)
     pos, neg = int((labels == 1).sum()), int((labels == 0).sum())
     if not pos or not neg:
         return None
-    sentences = [[_words(s) for s in _SENTENCE.findall(t)] for t in texts]
+    one: dict[str, str] = {}
+    sentences = [[_words(s, one) for s in _SENTENCE.findall(t)] for t in texts]
+    del one
     table = None
     for _ in range(2):
         table = _train_table(sentences, labels, table, pos, neg)
@@ -247,7 +249,8 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
     x = np.vstack([_features(d, o, table) for _, _, d, o in T.chunks(pa.array(texts, pa.string()))])
     scale = np.maximum(x.std(axis=0), 1e-6)
     beta = _logistic(x / scale, labels)
-    return Model(table.astype(np.float32), scale, beta[:-1], float(beta[-1]))
+    shift = np.log(odds * neg / pos) if odds else 0.0
+    return Model(table.astype(np.float32), scale, beta[:-1], float(beta[-1] + shift))
 
 
 def _train_table(sentences: list, labels: np.ndarray, table: np.ndarray | None, pos: int, neg: int) -> np.ndarray:
@@ -317,7 +320,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(chosen))], "doc_id long")
     got = rows.join(F.broadcast(ids), "doc_id", "left_semi").select("k", "text", "toxic").collect()
     got.sort(key=lambda r: (r["toxic"], r["k"], r["text"]))
-    return train([r["text"] for r in got], np.array([r["toxic"] for r in got]))
+    count = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    odds = count.get(1, 0) / max(count.get(0, 0), 1)
+    return train([r["text"] for r in got], np.array([r["toxic"] for r in got]), odds)
 
 
 def fit_tables(spark: SparkSession, sf_dir: str) -> Model | None:
