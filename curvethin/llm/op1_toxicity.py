@@ -48,6 +48,7 @@ SAMPLE = 1500
 SAMPLE_BYTES = 8 << 20
 VOCABULARY = 24_000
 SYMBOLS = 80
+PIECE = 128 << 10  # bytes of a text worked on at once
 INITIAL = 26  # added to a letter that begins a word
 
 _SYMBOL = np.concatenate([np.zeros(128, np.int64), 53 + np.arange(128) % 27])  # other bytes: 53 .. 79
@@ -100,7 +101,16 @@ def _own(length: np.ndarray) -> np.ndarray:
 
 
 def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """The machine's value of each word; 0 for words shorter than ORDER."""
+    """The machine's value of each word; 0 for words shorter than ORDER. Long texts go in pieces of whole words."""
+    value = np.zeros(len(start))
+    edges = np.unique(np.append(np.searchsorted(start, np.arange(0, len(data), PIECE)), len(start)))
+    for a, b in zip(edges[:-1], edges[1:]):
+        low, high = start[a], end[b - 1]
+        value[a:b] = _piece_values(data[low:high], start[a:b] - low, end[a:b] - low, table)
+    return value
+
+
+def _piece_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
     value = np.zeros(len(start))
     for word, code, weight in _terms(data, start, end):
         value += np.bincount(word, table[code], len(start)) * weight
@@ -131,7 +141,8 @@ def _features(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> np.ndarra
     out[:, 3] = out[:, 1] / np.maximum(count, 1)
     # sentences: words up to one that ends with . ! ? or a line
     stop = np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8))
-    line = np.concatenate([[0], np.cumsum(data == 10)])
+    line = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(data == 10, out=line[1:])
     cut = np.ones(len(start), bool)
     cut[1:] = stop[:-1] | (line[start[1:]] != line[end[:-1]]) | (doc[1:] != doc[:-1])
     sentence = np.cumsum(cut) - 1
@@ -175,18 +186,20 @@ def _matrix(words: list[str]):
     return w, c, x / own[w]
 
 
-def _products(words: list[str], row_of: np.ndarray, dense: np.ndarray) -> np.ndarray:
-    """K(words, landmarks), in pieces. row_of: row of ``dense`` for a subsequence, -1 if no landmark has it."""
-    out = np.zeros((len(words), dense.shape[1]), np.float32)
-    for i in range(0, len(words), 1000):
-        w, c, x = _matrix(words[i:i + 1000])
+def _products(words: list[str], row_of: np.ndarray, dense: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """K(words, landmarks) root, in pieces. row_of: row of ``dense`` for a subsequence, -1 if no landmark has it."""
+    out = np.zeros((len(words), root.shape[1]), np.float32)
+    for i in range(0, len(words), 200):
+        w, c, x = _matrix(words[i:i + 200])
         known = row_of[c] >= 0
         w, c, x = w[known], c[known], x[known].astype(np.float32)
         order = np.argsort(w, kind="stable")
         w, c, x = w[order], c[order], x[order]
         if len(w):
             row, first = np.unique(w, return_index=True)
-            out[i + row] = np.add.reduceat(dense[row_of[c]] * x[:, None], first, axis=0)
+            terms = dense[row_of[c]]
+            terms *= x[:, None]
+            out[i + row] = np.add.reduceat(terms, first, axis=0) @ root
     return out
 
 
@@ -245,7 +258,6 @@ def train(texts: list[str], labels: np.ndarray, odds: float | None = None) -> Mo
     table = None
     for _ in range(2):
         table = _train_table(sentences, labels, table, pos, neg)
-    data, off = _pack(texts)
     x = np.vstack([_features(d, o, table) for _, _, d, o in T.chunks(pa.array(texts, pa.string()))])
     scale = np.maximum(x.std(axis=0), 1e-6)
     beta = _logistic(x / scale, labels)
@@ -258,9 +270,8 @@ def _train_table(sentences: list, labels: np.ndarray, table: np.ndarray | None,
     yes, no = Counter(), Counter()
     for parts, label in zip(sentences, labels):
         if label == 1 and table is not None and len(parts) > 3:
-            flat = [" ".join(p) for p in parts]
-            data, off = _pack(flat)
-            value = _features(data, off, table)[:, 4]
+            flat = pa.array([" ".join(p) for p in parts], pa.string())
+            value = np.concatenate([_features(d, o, table)[:, 4] for _, _, d, o in T.chunks(flat)])
             best = np.argsort(-value, kind="stable")[: max(3, len(parts) // 4)]
             parts = [parts[i] for i in sorted(best)]
         (yes if label == 1 else no).update({w for p in parts for w in p if len(w.encode()) >= ORDER})
@@ -289,7 +300,7 @@ def _train_table(sentences: list, labels: np.ndarray, table: np.ndarray | None,
     value, vector = np.linalg.eigh(gram)
     good = value > value.max() * 1e-5
     root = (vector[:, good] / np.sqrt(value[good])).astype(np.float32)  # Nystrom: features = K(., Z) root
-    features = _products(vocabulary, row_of, dense) @ root
+    features = _products(vocabulary, row_of, dense, root)
     scale = 1000 / (a.sum() / pos + b.sum() / neg)
     beta = _svm(features, a / pos * scale, b / neg * scale, ridge=18 / pos)  # fewer toxic documents, smoother
     # the bias is the same for every word: the document's logistic function has its own
