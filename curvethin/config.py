@@ -9,7 +9,7 @@ same binary doubles the original loop produces (0.1, 0.2, 0.30000000000000004,
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any, Sequence
 
 # Defaults of the original job (threshold, head rows, tail rows,
@@ -23,6 +23,9 @@ DEFAULT_START = 0.1
 DEFAULT_STEP = 0.1
 CONFIG_POSITIONS = {"threshold": 2, "pre": 3, "post": 4, "target": 5, "start": 6, "step": 7}
 
+# Each level adds about five expressions to the plan.
+MAX_LEVELS = 100
+
 ANCHOR_MODES = ("origin", "first")
 
 
@@ -54,7 +57,6 @@ class ThinConfig:
     max_series_rows: int = 2_000_000
     block_rows: int = 250_000
     sort_rows: int = 2_000_000
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self) -> None:
         self.validate()
@@ -72,6 +74,8 @@ class ThinConfig:
             raise ValueError("target must be <= 1, or the level scan never ends")
         if self.start < 0:
             raise ValueError("start must be >= 0")
+        if (1 - self.start) / self.step > MAX_LEVELS:
+            raise ValueError(f"step gives more than {MAX_LEVELS} levels")
         if self.leading_anchor not in ANCHOR_MODES:
             raise ValueError(f"leading_anchor must be one of {ANCHOR_MODES}")
         if self.block_rows < 2 or self.max_series_rows < 1 or self.sort_rows < 1:

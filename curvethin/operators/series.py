@@ -7,6 +7,7 @@ the keys, shared by all windows that follow) or a partial aggregate.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,20 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+              small: bool = False) -> DataFrame:
+    """Join on equal keys where null equals null; the keys appear once, from ``left``.
+
+    ``small``: broadcast ``right`` (the caller has proven its size).
+    """
+    r = right.select(*[F.col(k).alias(f"_same{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in set(keys)])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_same{i}"))
+                                     for i, k in enumerate(keys)])
+    out = left.join(F.broadcast(r) if small else r, on, how)
+    return out.drop(*[f"_same{i}" for i in range(len(keys))])
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 out: str = "row_num", size: str | None = "n", split: str = "never",
                 max_group_rows: int = 2_000_000) -> DataFrame:
@@ -32,7 +47,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     if split == "auto":
         return _number_rows_routed(df, list(keys), order, out, size, max_group_rows)
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-    df = df.withColumn(out, F.row_number().over(w))
+    df = df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if size:
         df = df.withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     return df
@@ -99,9 +114,8 @@ def _number_rows_routed(df: DataFrame, keys: list[str], order, out: str, size: s
     if int(stats["k"]) == 0:
         return number_rows(df, keys, order, out, size)
     hot = hot.persist()
-    k = F.broadcast(hot.select(*keys)) if int(stats["k"]) <= SIDE_BROADCAST_ROWS \
-        else hot.select(*keys)
-    cold = number_rows(df.join(k, keys, "left_anti"), keys, order, out, size)
-    warm = global_positions(df.join(k, keys, "left_semi"), keys, order, out,
+    k, small = hot.select(*keys), int(stats["k"]) <= SIDE_BROADCAST_ROWS
+    cold = number_rows(join_same(df, k, keys, "left_anti", small), keys, order, out, size)
+    warm = global_positions(join_same(df, k, keys, "left_semi", small), keys, order, out,
                             int(stats["rows"]), max_rows, int(stats["k"]), size)
     return cold.unionByName(warm.select(*cold.columns))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..config import ThinConfig
 from ..functions import exprs as X
 from ..session import checkpoint_dir
-from .series import with_regions
+from .series import join_same, with_regions
 from .thin import (BAD_SQL, INTERIOR, MIDDLE, error_columns, finish, fits_column, is_interior,
                    kept_point_sql, point, prev_eligible_sql, view_columns, with_entry)
 
@@ -45,9 +45,9 @@ SIDE_BROADCAST_BYTES = 128 * 1024 * 1024
 SIDE_BROADCAST_ROWS = 2_000_000  # for narrow key lists (~64 bytes per row)
 
 
-def _side(df: DataFrame, bound: int, row_bytes: int = 64) -> DataFrame:
-    """Broadcast a side table whose row count is proven <= ``bound``."""
-    return F.broadcast(df) if bound * row_bytes <= SIDE_BROADCAST_BYTES else df
+def _small(bound: int, row_bytes: int = 64) -> bool:
+    """Whether a side table whose row count is proven <= ``bound`` may be broadcast."""
+    return bound * row_bytes <= SIDE_BROADCAST_BYTES
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -80,8 +80,8 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
                            (F.col("_min") - F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                            .alias("_base"), *extra))
     bound = parts + n_keys  # a group spans consecutive partitions
-    return (tagged.join(_side(bases, bound), [*keys, "_pid"])
-                  .withColumn(out, (F.col("_mid") - F.col("_base") + 1).cast("int"))
+    return (join_same(tagged, bases, [*keys, "_pid"], small=_small(bound))
+                  .withColumn(out, F.col("_mid") - F.col("_base") + 1)
                   .drop("_pid", "_mid", "_base"))
 
 
@@ -100,7 +100,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     d = with_regions(d, cfg, row_num, size)
     d = (d.withColumn("_blk", F.floor((F.col(row_num) - 1) / F.lit(B)).cast("long"))
           .withColumn("_x", F.col(row_num).cast("double"))
-          .withColumn("_y", F.col(y).cast("double")))
+          .withColumn("_y", F.col(y).try_cast("double")))
 
     # Neighbours: inside the block by lag/lead, across the edge from the
     # neighbouring block's last/first row.
@@ -112,7 +112,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     edges = edges.select(*keys, "_blk",
                          F.lag(F.col("_l")["y"]).over(we).alias("_edge_yp"),
                          F.lead(F.col("_f")["y"]).over(we).alias("_edge_yn"))
-    d = d.join(_side(edges, n_blocks), [*keys, "_blk"])
+    d = join_same(d, edges, [*keys, "_blk"], small=_small(n_blocks))
     first_in_blk = (F.col(row_num) - 1) % F.lit(B) == 0
     last_in_blk = (F.col(row_num) % F.lit(B) == 0)
     d = (d.withColumn("_yp", F.when(first_in_blk, F.col("_edge_yp")).otherwise(F.lag("_y").over(wbx)))
@@ -144,7 +144,7 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                           for lv in levels])
     wprev = wbx.rowsBetween(Window.unboundedPreceding, -1)
     wnext = wb.orderBy(F.col(row_num).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    a = d.join(_side(carry, n_blocks, 64 + 48 * L), [*keys, "_blk"])
+    a = join_same(d, carry, [*keys, "_blk"], small=_small(n_blocks, 64 + 48 * L))
     a = a.select("*", *[F.coalesce(F.last(F.expr(kept_point_sql(lv, ok)), ignorenulls=True)
                                    .over(wprev), F.col(f"_cp{lv}")).alias(f"_p{lv}")
                         for lv in levels])
@@ -165,10 +165,10 @@ def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     base = d
     if view_level is not None:
         base = a.select("*", *view_columns(cfg, view_level))
-    if n_series * (64 + 8 * L) <= SIDE_BROADCAST_BYTES:
-        out = base.join(F.broadcast(per_series), keys)
+    if _small(n_series, 64 + 8 * L):
+        out = join_same(base, per_series, keys, small=True)
     else:
         # one copy per block, joined on (keys, block): no task gets a whole series
-        per_block = carry.select(*keys, "_blk").join(per_series, keys)
-        out = base.join(per_block, [*keys, "_blk"])
+        per_block = join_same(carry.select(*keys, "_blk"), per_series, keys)
+        out = join_same(base, per_block, [*keys, "_blk"])
     return finish(out, cfg, detail).drop("_blk")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..config import ThinConfig
 from ..functions import exprs as X
-from .series import number_rows, series_sizes, with_regions
+from .series import join_same, number_rows, series_sizes, with_regions
 
 # Columns the scoring adds (besides row_num / n when it numbers the rows).
 SCORE_COLUMNS = ["region", "n_mid", "mpos", "sig", "rnk", "entry", "level", "fit",
@@ -42,10 +42,6 @@ SCORE_COLUMNS = ["region", "n_mid", "mpos", "sig", "rnk", "entry", "level", "fit
 
 # Share of rows in series kept whole above which they bypass the scan stages.
 SHORT_SHARE = 0.5
-# "union": rows of whole-kept series leave in a second branch (costs a second
-# narrow scan); "singleton": they stay in one stream as one-row window
-# partitions (one scan, but ~2x slower measured at sf0.1: per-partition cost).
-SHORT_MODE = "union"
 
 # Number of hot series above which the hot-key list is not broadcast.
 BROADCAST_KEY_LIMIT = 1_000_000
@@ -157,7 +153,7 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
     # A: numbering (optional), series size, neighbours -- one Window operator.
     if order is not None:
         wo = wp.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
-        d = df.select("*", F.row_number().over(wo).alias(row_num),
+        d = df.select("*", F.row_number().over(wo).cast("bigint").alias(row_num),
                       F.count(F.lit(1)).over(wo.rowsBetween(Window.unboundedPreceding,
                                                            Window.unboundedFollowing)).alias(size),
                       F.lag(y).over(wo).alias("_yp"), F.lead(y).over(wo).alias("_yn"))
@@ -166,23 +162,20 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
         d = df.select("*", F.lag(y).over(wx).alias("_yp"), F.lead(y).over(wx).alias("_yn"))
     d = with_regions(d, cfg, row_num, size)
     rest = None
-    if skip_short and view_level is None and SHORT_MODE == "union":
+    if skip_short and view_level is None:
         rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
         d = d.filter(F.expr(LONG))
-    elif skip_short and view_level is None:
-        # every row of a whole-kept series becomes its own window partition
-        d = d.select("*", F.expr(f"CASE WHEN {LONG} THEN 0 ELSE {X.q(row_num)} END").alias("_g"))
-        wp = Window.partitionBy(*keys, "_g")
     rn, yq = X.q(row_num), X.q(y)
-    xd, yd = f"CAST({rn} AS DOUBLE)", f"CAST({yq} AS DOUBLE)"
-    sig = X.significance_sql(xd, yd, f"{xd} - 1", "CAST(_yp AS DOUBLE)", f"{xd} + 1",
-                             "CAST(_yn AS DOUBLE)")
+    # a text that is no number becomes null, which fails its own pair only
+    xd, yd = f"CAST({rn} AS DOUBLE)", f"TRY_CAST({yq} AS DOUBLE)"
+    sig = X.significance_sql(xd, yd, f"{xd} - 1", "TRY_CAST(_yp AS DOUBLE)", f"{xd} + 1",
+                             "TRY_CAST(_yn AS DOUBLE)")
     d = d.select("*", F.expr(xd).alias("_x"), F.expr(yd).alias("_y"),
                  F.expr(f"CASE WHEN {INTERIOR} THEN {sig} END").alias("sig"))
 
     # B: rank interior points by significance (ties: smaller x first).
     ws = wp.orderBy(F.col("sig").desc_nulls_last(), F.col(row_num).asc())
-    d = d.select("*", F.when(is_interior(), F.row_number().over(ws)).alias("rnk"))
+    d = d.select("*", F.when(is_interior(), F.row_number().over(ws).cast("bigint")).alias("rnk"))
     d = with_entry(d, cfg)
 
     # C / D: previous and next kept point for every level (growing frames).
@@ -228,7 +221,7 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
 
 def _untouched(d: DataFrame, detail: bool) -> DataFrame:
     """Scoring columns for rows of series that are kept whole."""
-    cols = [F.lit(None).cast("double").alias("sig"), F.lit(None).cast("int").alias("rnk"),
+    cols = [F.lit(None).cast("double").alias("sig"), F.lit(None).cast("bigint").alias("rnk"),
             F.lit(None).cast("int").alias("entry"), F.lit(False).alias("failed"),
             F.lit(None).cast("int").alias("level"), F.lit(None).cast("double").alias("fit"),
             F.lit(True).alias("keep")]
@@ -250,8 +243,8 @@ def view_columns(cfg: ThinConfig, level: int) -> list[Column]:
     inner = lambda e: F.expr(f"CASE WHEN {INTERIOR} THEN {e} END")
     return [
         mid("_x").alias("x"), mid("_y").alias("y"),
-        inner("_x - 1").alias("x_prev"), inner("CAST(_yp AS DOUBLE)").alias("y_prev"),
-        inner("_x + 1").alias("x_next"), inner("CAST(_yn AS DOUBLE)").alias("y_next"),
+        inner("_x - 1").alias("x_prev"), inner("TRY_CAST(_yp AS DOUBLE)").alias("y_prev"),
+        inner("_x + 1").alias("x_next"), inner("TRY_CAST(_yn AS DOUBLE)").alias("y_next"),
         mid(f"entry <= {level}").alias("kept"),
         mid(f"named_struct('x', {px}, 'y', {py})").alias("prev"),
         mid(f"named_struct('x', {nx}, 'y', {ny})").alias("next"),
@@ -286,7 +279,7 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
     clash = {c.lower() for c in ids} & {category.lower(), value.lower()}
     if clash:
         raise ValueError(f"output names clash with id columns: {clash}")
-    pairs = [F.struct(F.lit(tag).alias(category), X.col(c).cast("double").alias(value))
+    pairs = [F.struct(F.lit(tag).alias(category), X.col(c).try_cast("double").alias(value))
              for tag, c in metrics.items()]
     return df.select(*ids, F.inline(F.array(*pairs)))
 
@@ -294,10 +287,9 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
 def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, detail: bool,
                 row_num: str, size: str, category: str, skip: bool,
                 pairs: DataFrame | None = None, view_level: int | None = None) -> DataFrame:
-    """Window path.  With ``skip`` and the "union" mode, several metrics:
-    rows of series kept whole leave right after the numbering (before the
-    unpivot); in "singleton" mode score_local handles them in one stream."""
-    if isinstance(y, str) or not skip or SHORT_MODE == "singleton":
+    """Window path.  With ``skip`` and several metrics, rows of series kept
+    whole leave right after the numbering (before the unpivot)."""
+    if isinstance(y, str) or not skip:
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
         return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip,
                            view_level)
@@ -324,7 +316,7 @@ def _only(long: DataFrame, pairs: DataFrame | None, keys: list[str], category: s
     join; Spark broadcasts the pairs when they are small)."""
     if pairs is None:
         return long
-    return long.join(pairs.select(*keys, category), keys + [category], "left_semi")
+    return join_same(long, pairs.select(*keys, category), keys + [category], "left_semi")
 
 
 def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],
@@ -382,11 +374,9 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip, pairs,
                            view_level)
     hot = sizes.filter(is_hot).persist()
-    hot_keys = hot.select(*keys)
-    if n_hot <= BROADCAST_KEY_LIMIT:
-        hot_keys = F.broadcast(hot_keys)
-    cold = df.join(hot_keys, keys, "left_anti")
-    warm = df.join(hot_keys, keys, "left_semi")
+    hot_keys, small = hot.select(*keys), n_hot <= BROADCAST_KEY_LIMIT
+    cold = join_same(df, hot_keys, keys, "left_anti", small)
+    warm = join_same(df, hot_keys, keys, "left_semi", small)
     cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip,
                               pairs, view_level)
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category, pairs)

@@ -210,11 +210,8 @@ def q_dropped_points(spark, sf):
 
 
 def q_level_flags(spark, sf):
-    allp, chosen, ends = _b_sets(spark, sf)
-    kept = allp.intersectAll(chosen).unionByName(ends)
-    dropped = allp.exceptAll(kept)
-    return present(kept.withColumn("flag", F.lit(1))
-                   .unionByName(dropped.withColumn("flag", F.lit(0))))
+    d = _b_level(spark, sf)
+    return present(d.select("user_id", "row_num", "y", F.col("kept").cast("int").alias("flag")))
 
 
 def q_nearest_kept(spark, sf):
@@ -302,14 +299,8 @@ def q_thinned_middle(spark, sf):
 
 
 def q_thinned_rows(spark, sf):
-    s = _b_scored(spark, sf)
-    parts = [s.filter((F.col("region") == r) & F.col("keep")).select(
-        "user_id", "event_id", "row_num", F.lit(r).alias("part"))
-        for r in ("head", "tail", "middle", "pass", "all")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return present(out)
+    s = _b_scored(spark, sf).filter(F.col("keep"))
+    return present(s.select("user_id", "event_id", "row_num", F.col("region").alias("part")))
 
 
 # ------------------------------------------------------- process rows (A)
@@ -339,6 +330,17 @@ def q_keep_wide_rows(spark, sf):
                             "pv_charge_energy", "created_date_time"))
 
 
+def q_keep_repeated_rows(spark, sf):
+    """The join back where keys and handles are null and rows occur twice."""
+    d = _a_loaded(spark, sf)
+    d = d.unionByName(d.filter(F.col("step_id") == 3))
+    d = d.withColumns({"remark": F.when(F.col("remark") != "1", F.col("remark")),
+                       "handle": F.when(F.col("step_id") != 2, F.col("handle"))})
+    return present(P.thin_metrics(d, CFG_A).select(
+        "handle", "remark", "zip_category", "row_num", "sequence_id", "site", "pv_voltage",
+        "created_date_time"))
+
+
 def q_split_and_rejoin(spark, sf):
     d = FX.process_rows(spark, sf)
     cols = FX.PROCESS_COLUMNS
@@ -469,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "thin_voltage": _thin_metric("V"),
     "thin_all_metrics": q_thin_all_metrics,
     "keep_wide_rows": q_keep_wide_rows,
+    "keep_repeated_rows": q_keep_repeated_rows,
     "split_and_rejoin": q_split_and_rejoin,
     "split_fields": q_split_fields,
     "scalar_kit": q_scalar_kit,

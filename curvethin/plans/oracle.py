@@ -74,7 +74,7 @@ proc AS (
     CAST(l_linestatus = 'F' AS INTEGER) AS st_business_cycle, l_shipdate AS created_date_time,
     'gen' AS created_user, l_shipdate AS modified_date_time, 'gen' AS modified_user
   FROM li),
-fixed AS (
+fixed AS MATERIALIZED (
   SELECT * REPLACE (
     CASE WHEN pv_charge_capacity <> 0 THEN pv_charge_capacity ELSE pv_discharge_capacity END AS pv_charge_capacity,
     CASE WHEN pv_charge_energy <> 0 THEN pv_charge_energy ELSE pv_discharge_energy END AS pv_charge_energy)
@@ -116,6 +116,11 @@ def _pending(shard: int, limit: str = "") -> str:
 
 
 # --------------------------------------------------------- thinning stages
+def _same(a: str, b: str, cols: list[str]) -> str:
+    """Equal columns, null equal to null."""
+    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+
+
 def _levels(cfg: ThinConfig) -> str:
     rows = ", ".join(f"({i}, {_d(p)})" for i, p in enumerate(cfg.levels(), 1))
     return f"lv AS (SELECT * FROM (VALUES {rows}) t(lvl, p))"
@@ -128,7 +133,7 @@ def thin_ctes(src: str, keys: list[str], order: list[str], cfg: ThinConfig,
     ``kp`` = kept rows of ``reg`` (all columns) with ``lvl`` = chosen level."""
     k = ", ".join(keys)
     o = ", ".join(order)
-    jk = " AND ".join(f"a.{c} = b.{c}" for c in keys)
+    jk = _same("a", "b", keys)
     prev_ok = "mpos > 1" if cfg.leading_anchor == "origin" else "TRUE"
     px = "coalesce(px, 0.0)" if cfg.leading_anchor == "origin" else "px"
     py = "coalesce(py, 0.0)" if cfg.leading_anchor == "origin" else "py"
@@ -172,11 +177,11 @@ st AS (SELECT {k}, CASE WHEN min(yy) = max(yy) THEN 0.0 ELSE sum((yy - my) * (yy
 fit AS (SELECT a.*, CASE WHEN a.sse = 0 OR b.sst = 0 THEN 1.0 ELSE 1 - sqrt(a.sse / b.sst) END AS fit
         FROM (SELECT {k}, lvl, sum(e) AS sse FROM er GROUP BY {k}, lvl) a JOIN st b ON {jk}),
 ch AS (SELECT {k}, min(lvl) AS lvl FROM fit WHERE fit >= {_d(cfg.target)} OR isnan(fit) GROUP BY {k}),
-kp AS (
-  SELECT r.*, c.lvl FROM reg r JOIN ch c ON {" AND ".join(f"r.{c} = c.{c}" for c in keys)}
-  WHERE r.region IN ('head', 'tail')
-     OR (r.region = 'middle' AND EXISTS (SELECT 1 FROM ex e WHERE {" AND ".join(f"e.{c} = r.{c}" for c in keys)}
-                                          AND e.rn = r.rn AND e.lvl = c.lvl AND e.kept))
+en AS (SELECT {k}, rn, min(lvl) AS entry FROM ex WHERE kept GROUP BY {k}, rn),
+kp AS MATERIALIZED (
+  SELECT r.*, c.lvl FROM reg r JOIN ch c ON {_same("r", "c", keys)}
+  LEFT JOIN en e ON {_same("e", "r", [*keys, "rn"])}
+  WHERE r.region IN ('head', 'tail') OR (r.region = 'middle' AND e.entry <= c.lvl)
   UNION ALL SELECT r.*, NULL AS lvl FROM reg r WHERE r.region IN ('pass', 'all'))"""
 
 
@@ -337,9 +342,24 @@ SELECT c.event_type, CAST(c.lvl AS BIGINT) AS level, round(f.fit, 6) AS fit FROM
             "pv_temperature", "pv_charge_capacity", "pv_charge_energy", "created_date_time"]
     join_back = f"""
 wk AS (SELECT f.*, k.zip_category, k.rn AS row_num FROM fixed f JOIN kp k
-       ON f.remark = k.remark AND f.st_business_cycle = k.st_business_cycle AND f.step_id = k.step_id
-      AND f.sequence_id = k.sequence_id AND f.handle = k.handle)"""
+       ON f.handle = k.handle)"""
     q["keep_wide_rows"] = ath + "," + join_back + f"\nSELECT {_cols(wide)} FROM wk"
+    # null remark, null handles and repeated rows: numbered once, joined on the number
+    odd = """
+oddsrc AS (
+  SELECT * REPLACE (CASE WHEN remark = '1' THEN NULL ELSE remark END AS remark,
+                    CASE WHEN step_id = 2 THEN NULL ELSE handle END AS handle)
+  FROM (SELECT * FROM fixed UNION ALL SELECT * FROM fixed WHERE step_id = 3)),
+odd AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY remark, st_business_cycle, step_id ORDER BY sequence_id) AS row_num,
+         count(*) OVER (PARTITION BY remark, st_business_cycle, step_id) AS n FROM oddsrc),
+oddall AS (""" + " UNION ALL ".join(
+        f"SELECT remark, st_business_cycle, step_id, row_num, n, '{t}' AS zip_category, CAST({c} AS DOUBLE) AS y FROM odd"
+        for t, c in {"C": "pv_charge_capacity", "E": "pv_charge_energy", "I": "pv_current",
+                     "T": "pv_temperature", "V": "pv_voltage"}.items()) + ")"
+    q["keep_repeated_rows"] = _with(PROC, odd, thin_ctes("oddall", A_KEYS_CAT, [], a, numbered=True)) + f""",
+wk AS (SELECT f.*, k.zip_category FROM odd f JOIN kp k ON {_same("f", "k", [*KEYS, "row_num"])})
+SELECT {_cols(["handle", "remark", "zip_category", "row_num", "sequence_id", "site", "pv_voltage", "created_date_time"])} FROM wk"""
     out_cols = P.OUTPUT_COLUMNS
     sel = []
     for c in out_cols:

@@ -7,9 +7,9 @@ Plan shape (one pass, no driver hop):
   batch size), joined to the process rows by broadcast;
 * the narrow projection (keys, order, five metrics) is numbered once and
   unpivoted; all windows share one exchange on the series keys;
-* the kept (row, metric) set is joined back to the wide rows on the row
-  identity (keys + order): the wide rows are shuffled once, on a key that
-  includes the row position, so a long series spreads over many tasks.
+* the kept (row, metric) set is joined back to the wide rows on (keys,
+  row_num), null keys being equal: one to one whatever columns repeat or are
+  null, and on a key by which a long series spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -17,11 +17,13 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ThinConfig
 from ..functions import exprs as X
+from ..operators.series import join_same, number_rows
 from ..operators.thin import score
 from ..session import checkpoint_dir
 from ..sources.fixtures import FLAG_COLUMNS, PROCESS_COLUMNS, PROCESS_KEYS, PROCESS_ORDER
@@ -81,18 +83,21 @@ def load_rows(process: DataFrame, keys: DataFrame | None, broadcast_keys: bool =
     rows = process
     if keys is not None:
         k = keys.select(*PROCESS_KEYS).dropDuplicates(PROCESS_KEYS)
-        rows = rows.join(F.broadcast(k) if broadcast_keys else k, PROCESS_KEYS, "inner")
+        rows = join_same(rows, k, PROCESS_KEYS, "left_semi", broadcast_keys)
     return repair_metrics(rows).select(*PROCESS_COLUMNS)
 
 
 def score_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
                   detail: bool = False, split: str = "auto",
-                  pairs: DataFrame | None = None) -> DataFrame:
+                  pairs: DataFrame | None = None, position: str | None = None) -> DataFrame:
     """Narrow scored points: one row per (process row, metric); with
-    ``pairs`` only the listed (series keys, zip_category) pairs."""
+    ``pairs`` only the listed (series keys, zip_category) pairs, with
+    ``position`` in the order of that column (1..n of each series)."""
     metrics = dict(metrics or METRICS)
-    narrow = rows.select(*PROCESS_KEYS, *PROCESS_ORDER, *sorted(set(metrics.values())))
-    return score(narrow, PROCESS_KEYS, PROCESS_ORDER, metrics, cfg, detail=detail, split=split,
+    order = PROCESS_ORDER if position is None else ["_position"]
+    at = PROCESS_ORDER if position is None else [F.col(position).alias("_position")]
+    narrow = rows.select(*PROCESS_KEYS, *at, *sorted(set(metrics.values())))
+    return score(narrow, PROCESS_KEYS, order, metrics, cfg, detail=detail, split=split,
                  pairs=pairs)
 
 
@@ -103,7 +108,7 @@ FLAG_OF = {"C": "c_status", "E": "e_status", "I": "i_status", "T": "t_status", "
 def pending_pairs(status: DataFrame, keys: DataFrame) -> DataFrame:
     """(series keys, zip_category) pairs whose own flag is 0, for the given
     keys."""
-    s = status.join(keys.select(*PROCESS_KEYS), PROCESS_KEYS, "left_semi")
+    s = join_same(status, keys.select(*PROCESS_KEYS), PROCESS_KEYS, "left_semi")
     pairs = F.array(*[F.struct(F.lit(t).alias("zip_category"), F.col(c).alias("flag"))
                       for t, c in FLAG_OF.items()])
     return (s.select(*PROCESS_KEYS, F.inline(pairs)).filter(F.col("flag").eqNullSafe(0))
@@ -113,7 +118,7 @@ def pending_pairs(status: DataFrame, keys: DataFrame) -> DataFrame:
 def metric_outcome(pairs: DataFrame, scored: DataFrame) -> DataFrame:
     """(keys, zip_category, value): 2 where the pair failed, else 1."""
     per_pair = scored.groupBy(*PROCESS_KEYS, "zip_category").agg(F.max("failed").alias("failed"))
-    return pairs.join(per_pair, PROCESS_KEYS + ["zip_category"], "left").select(
+    return join_same(pairs, per_pair, PROCESS_KEYS + ["zip_category"], "left").select(
         *PROCESS_KEYS, "zip_category",
         F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1).alias("value"))
 
@@ -126,7 +131,7 @@ def update_status_per_metric(status: DataFrame, outcome: DataFrame,
     wide = outcome.groupBy(*PROCESS_KEYS).agg(
         *[F.max(F.when(F.col("zip_category") == t, F.col("value"))).alias(f"_{c}")
           for t, c in FLAG_OF.items()])
-    j = status.join(wide.withColumn("_hit", F.lit(True)), PROCESS_KEYS, "left")
+    j = join_same(status, wide.withColumn("_hit", F.lit(True)), PROCESS_KEYS, "left")
     new = {c: F.coalesce(F.col(f"_{c}").cast(status.schema[c].dataType), F.col(c))
            for c in FLAG_COLUMNS}
     hit = F.col("_hit").isNotNull()
@@ -140,10 +145,24 @@ def thin_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] |
                  split: str = "auto") -> DataFrame:
     """Kept wide rows, one copy per metric that keeps them, tagged in
     ``zip_category``; plus ``row_num``."""
-    s = score_metrics(rows, cfg, metrics, split=split)
-    kept = s.filter(F.col("keep")).select(*PROCESS_KEYS, *PROCESS_ORDER, "zip_category",
-                                          "row_num")
-    return rows.join(kept, PROCESS_KEYS + PROCESS_ORDER, "inner")
+    numbered = number_process_rows(rows, cfg)
+    s = score_metrics(numbered, cfg, metrics, split=split, position="row_num")
+    return join_back(numbered, s.filter(F.col("keep")))
+
+
+def number_process_rows(rows: DataFrame, cfg: ThinConfig) -> DataFrame:
+    """``row_num`` per series, on which kept points are joined back one to one.  Rows alike in the
+    order columns are told apart by a hash of the whole row, so that every evaluation numbers
+    alike; rows alike in all columns are interchangeable."""
+    d = rows.withColumn("_tie", F.xxhash64(*rows.columns))
+    return number_rows(d, PROCESS_KEYS, [*PROCESS_ORDER, "_tie"], "row_num", None, split="auto",
+                       max_group_rows=cfg.max_series_rows).drop("_tie")
+
+
+def join_back(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """The wide rows of the kept points, one copy for each tag; null keys are equal."""
+    return join_same(numbered, kept.select(*PROCESS_KEYS, "row_num", "zip_category"),
+                     [*PROCESS_KEYS, "row_num"])
 
 
 def compressed_output(kept: DataFrame, run_ts: str | _dt.datetime | Column) -> DataFrame:
@@ -176,7 +195,7 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
     k = keys.select(*PROCESS_KEYS, *(["value"] if "value" in keys.columns else []))
     k = k.withColumn("_hit", F.lit(True))
-    j = status.join(F.broadcast(k) if broadcast_keys else k, PROCESS_KEYS, "left")
+    j = join_same(status, k, PROCESS_KEYS, "left", broadcast_keys)
     hit = F.col("_hit").isNotNull()
     v = value if isinstance(value, Column) else F.lit(value)
     new = {c: F.when(hit, v.cast(status.schema[c].dataType)).otherwise(F.col(c)) for c in flags}
@@ -186,46 +205,105 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
     return j.withColumns(new).select(*status.columns)
 
 
+class BatchFailed(RuntimeError):
+    """A batch whose rows could not be scored or written; ``status`` is the status table with its
+    keys set to 2, and the cause is chained."""
+
+    def __init__(self, status: DataFrame):
+        super().__init__("the batch failed; its keys are set to 2 in .status")
+        self.status = status
+
+
 def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
               run_ts: str | _dt.datetime, write: Callable[[DataFrame], None],
               shard: int = 0, shards: int = SHARDS, limit: int | None = None,
               split: str = "auto", per_metric_status: bool = False) -> DataFrame:
     """One batch end to end.  Writes the kept rows with ``write`` (one
     distributed write action) and returns the new status table: 1 for the
-    batch's series, 2 for series with a failed metric, 2 for every batch key
-    if the write raised.
+    batch's series, 2 for series with a failed metric.  If scoring or the
+    write raises, raises :class:`BatchFailed` with every batch key at 2.
 
     per_metric_status: thin only the metrics whose own flag is pending and
     set each flag on its own (1 done, 2 failed); the default thins all five
     metrics of a pending series and sets all five flags together.
     """
-    keys = pending_keys(status, shard, shards, limit)
-    keys = keys.persist()  # read by several plans
-    rows = load_rows(process, keys, broadcast_keys=limit is not None)
-    pairs = pending_pairs(status, keys).persist() if per_metric_status else None
-    scored = (score_metrics(rows, cfg, split=split, pairs=pairs)
-              .select(*PROCESS_KEYS, *PROCESS_ORDER, "zip_category", "keep", "failed")
-              .persist())
+    checkpoint_dir(status.sparkSession)
+    # one row per batch key: stored, as every later plan reads it
+    keys = pending_keys(status, shard, shards, limit).checkpoint(eager=True)
+    pairs = pending_pairs(status, keys).checkpoint(eager=True) if per_metric_status else None
+    scored = None
     try:
-        kept = scored.filter(F.col("keep")).drop("keep", "failed")
-        write(compressed_output(rows.join(kept, PROCESS_KEYS + PROCESS_ORDER, "inner"), run_ts))
-    except Exception:  # noqa: BLE001 - the whole batch is marked failed
-        scored.unpersist()
+        rows = number_process_rows(load_rows(process, keys, broadcast_keys=limit is not None), cfg)
+        scored = (score_metrics(rows, cfg, split=split, pairs=pairs, position="row_num")
+                  .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed").persist())
+        write(compressed_output(join_back(rows, scored.filter(F.col("keep"))), run_ts))
         if pairs is not None:
-            return update_status_per_metric(status, pairs.withColumn("value", F.lit(2)), run_ts)
-        return update_status(status, keys, 2, run_ts, broadcast_keys=limit is not None)
+            outcome = metric_outcome(pairs, scored).checkpoint(eager=True)
+        else:
+            outcome = join_same(keys, series_outcome(scored), PROCESS_KEYS, "left").select(
+                *PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1)
+                .alias("value")).checkpoint(eager=True)
+    except Exception as cause:
+        failed = (update_status_per_metric(status, pairs.withColumn("value", F.lit(2)), run_ts)
+                  if pairs is not None else update_status(status, keys, 2, run_ts))
+        raise BatchFailed(failed) from cause
+    finally:
+        if scored is not None:
+            scored.unpersist()
     if pairs is not None:
-        outcome = metric_outcome(pairs, scored)
-        checkpoint_dir(outcome.sparkSession)
-        outcome = outcome.checkpoint(eager=True)
-        scored.unpersist()
         return update_status_per_metric(status, outcome, run_ts)
-    outcome = keys.join(series_outcome(scored), PROCESS_KEYS, "left")
-    outcome = outcome.select(*PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2)
-                             .otherwise(1).alias("value"))
-    # One row per batch key: store it and release the scored rows.
-    checkpoint_dir(outcome.sparkSession)
-    outcome = outcome.checkpoint(eager=True)
-    scored.unpersist()
-    return update_status(status, outcome, F.col("value"), run_ts,
-                         broadcast_keys=limit is not None)
+    return update_status(status, outcome, F.col("value"), run_ts)
+
+
+def current_status(status: DataFrame, outcomes: DataFrame | None) -> DataFrame:
+    """The status table with the latest stored outcome of each key in place of its row."""
+    if outcomes is None:
+        return status
+    rest = [c for c in status.columns if c not in PROCESS_KEYS]
+    both = status.withColumn("batch", F.lit(-1).cast("bigint")).unionByName(outcomes)
+    last = both.groupBy(*PROCESS_KEYS).agg(F.max_by(F.struct(*rest), "batch").alias("row"))
+    return last.select(*PROCESS_KEYS, "row.*").select(*status.columns)
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored outcomes, or None before the first batch."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def run_backlog(process: DataFrame, status: DataFrame, outcomes_path: str, cfg: ThinConfig,
+                run_ts: str | _dt.datetime, write: Callable[[DataFrame], None],
+                shards: int = SHARDS, limit: int | None = None, split: str = "auto",
+                per_metric_status: bool = False) -> DataFrame:
+    """Batches of every shard until no key is pending; returns the status table then.
+
+    Each batch appends the status rows it set, numbered by batch, to ``outcomes_path`` after its
+    rows are written; ``status`` itself is only read.  A run that stopped goes on from what is
+    stored.  A failed batch's rows are stored with 2 before its :class:`BatchFailed` is raised.
+    """
+    spark = status.sparkSession
+    for shard in range(shards):
+        while True:
+            stored = read_outcomes(spark, outcomes_path)
+            now = current_status(status, stored)
+            if pending_keys(now, shard, shards, limit=1).isEmpty():
+                break
+            batch = 0 if stored is None else stored.agg(F.max("batch")).first()[0] + 1
+
+            def store(new: DataFrame) -> None:
+                changed = join_same(new, pending_keys(now, shard, shards, limit), PROCESS_KEYS,
+                                    "left_semi")
+                (changed.withColumn("batch", F.lit(batch).cast("bigint"))
+                 .write.mode("append").parquet(outcomes_path))
+
+            try:
+                store(run_batch(process, now, cfg, run_ts, write, shard, shards, limit, split,
+                                per_metric_status))
+            except BatchFailed as failed:
+                store(failed.status)
+                raise
+    return current_status(status, read_outcomes(spark, outcomes_path))

@@ -21,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ThinConfig
 from ..plans import pipeline as P
-from ..sources.fixtures import PROCESS_KEYS, PROCESS_ORDER
+from ..operators.series import join_same
+from ..sources.fixtures import PROCESS_KEYS
 
 # Micro-batches with at most this many series keys broadcast them.
 BROADCAST_KEYS = 1_000_000
@@ -31,29 +32,36 @@ def process_micro_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig,
                         write_rows: Callable[[DataFrame], None],
                         write_status: Callable[[DataFrame], None],
                         run_ts: str | None = None, split: str = "auto") -> None:
-    """Thin the series of ``keys`` (pending rows of a micro-batch)."""
+    """Thin the series of ``keys`` (pending rows of a micro-batch).  If that fails, its keys are
+    written as failed and the cause is raised."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     pending = (keys.filter(P.pending_filter()).select(*PROCESS_KEYS)
                .dropDuplicates(PROCESS_KEYS).persist())
     # a micro-batch's key set is broadcast when its counted size allows;
     # otherwise a shuffle join (AQE splits skewed partitions)
     small = pending.count() <= BROADCAST_KEYS
-    rows = P.load_rows(process, pending, broadcast_keys=small)
-    scored = (P.score_metrics(rows, cfg, split=split)
-              .select(*PROCESS_KEYS, *PROCESS_ORDER, "zip_category", "keep", "failed")
-              .persist())
+    scored = None
+
+    def done(outcome: DataFrame) -> None:
+        write_status(outcome.withColumn("modified_date_time", F.lit(run_ts).cast("timestamp"))
+                            .withColumn("modified_user", F.lit("spark")))
+
     try:
-        kept = scored.filter(F.col("keep")).drop("keep", "failed")
-        write_rows(P.compressed_output(rows.join(kept, PROCESS_KEYS + PROCESS_ORDER), run_ts))
-        outcome = pending.join(P.series_outcome(scored), PROCESS_KEYS, "left").select(
+        rows = P.number_process_rows(P.load_rows(process, pending, broadcast_keys=small), cfg)
+        scored = (P.score_metrics(rows, cfg, split=split, position="row_num")
+                  .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed").persist())
+        write_rows(P.compressed_output(P.join_back(rows, scored.filter(F.col("keep"))), run_ts))
+        outcome = join_same(pending, P.series_outcome(scored), PROCESS_KEYS, "left").select(
             *PROCESS_KEYS,
             F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1).alias("status"))
-    except Exception:  # noqa: BLE001 - the micro-batch's keys are marked failed
-        outcome = pending.select(*PROCESS_KEYS, F.lit(2).alias("status"))
-    write_status(outcome.withColumn("modified_date_time", F.lit(run_ts).cast("timestamp"))
-                        .withColumn("modified_user", F.lit("spark")))
-    scored.unpersist()
-    pending.unpersist()
+        done(outcome)
+    except Exception:
+        done(pending.select(*PROCESS_KEYS, F.lit(2).alias("status")))
+        raise
+    finally:
+        if scored is not None:
+            scored.unpersist()
+        pending.unpersist()
 
 
 def start(spark: SparkSession, process: DataFrame, keys_dir: str, keys_schema,
@@ -70,8 +78,10 @@ def start(spark: SparkSession, process: DataFrame, keys_dir: str, keys_schema,
     def each(batch: DataFrame, batch_id: int) -> None:
         process_micro_batch(
             process, batch, cfg,
-            lambda df: df.write.mode("append").partitionBy("zip_category").parquet(out_dir),
-            lambda df: df.write.mode("append").parquet(status_dir))
+            # a batch repeated after a restart replaces its own folder
+            lambda df: (df.write.mode("overwrite").partitionBy("zip_category")
+                        .parquet(f"{out_dir}/batch={batch_id}")),
+            lambda df: df.write.mode("overwrite").parquet(f"{status_dir}/batch={batch_id}"))
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

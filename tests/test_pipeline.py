@@ -1,9 +1,9 @@
 """Batch pipeline: pending keys, five metrics, sink shape, status outcome,
 parquet and JDBC sinks (embedded in-memory Derby: no server, no port)."""
 
-import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -47,12 +47,47 @@ def test_run_batch_write_failure_marks_batch_failed(spark):
     def broken(df):
         raise RuntimeError("sink down")
 
-    new_status = P.run_batch(process, status, ThinConfig(), RUN, broken)
+    with pytest.raises(P.BatchFailed) as failed:
+        P.run_batch(process, status, ThinConfig(), RUN, broken)
+    assert str(failed.value.__cause__) == "sink down"
     keys = P.pending_keys(status, 0)
-    got = new_status.join(keys, FX.PROCESS_KEYS).select("v_status").distinct().collect()
+    got = failed.value.status.join(keys, FX.PROCESS_KEYS).select("v_status").distinct().collect()
     assert [r[0] for r in got] == [2]
 
 
+def test_backlog_runs_until_nothing_is_pending(spark):
+    process = FX.process_rows(spark, SF_SMALL).filter("remark < '3'")
+    status = FX.status_rows(spark, SF_SMALL).filter("remark < '3'")
+    work = tempfile.mkdtemp(prefix="curvethin-backlog-")
+    calls = []
+
+    def write(df):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("sink down")
+        write_parquet(df, work + "/rows")
+
+    def run():
+        return P.run_backlog(process, status, work + "/status", ThinConfig(target=0.5), RUN, write)
+
+    with pytest.raises(P.BatchFailed) as failed:
+        run()
+    assert str(failed.value.__cause__) == "sink down"
+    after = run()  # goes on from what is stored; the failed shard stays failed
+    assert after.count() == status.count()
+    assert after.filter(P.pending_filter()).isEmpty()
+    odd = P.pending_keys(status, 1)
+    assert {r[0] for r in after.join(odd, FX.PROCESS_KEYS).select("v_status").distinct().collect()} == {2}
+    even = P.pending_keys(status, 0)
+    assert {r[0] for r in after.join(even, FX.PROCESS_KEYS).select("v_status").distinct().collect()} == {1}
+
+
+def test_more_keys_than_the_old_batch_size(spark):
+    status = spark.range(7000).selectExpr("CAST(id AS STRING) AS remark", "0 AS st_business_cycle", "2 AS step_id",
+                                          *[f"0 AS {c}" for c in FX.FLAG_COLUMNS])
+    assert P.pending_keys(status, 0).count() == 7000
+
+
 def test_output_columns_and_repair(spark):
     rows = P.load_rows(FX.process_rows(spark, SF_SMALL), None)
     kept = P.thin_metrics(rows, ThinConfig(target=0.5))

@@ -109,16 +109,40 @@ def test_level_view_split_equals_local(spark, anchor):
     assert rows(a) == rows(b)
 
 
-def test_short_series_modes_agree(spark, monkeypatch):
-    """Whole-kept series as a second branch or as one-row partitions: same rows."""
+def test_bypass_of_short_series_changes_no_row(spark, monkeypatch):
     import curvethin.operators.thin as TH
     rows = P.load_rows(FX.process_rows(spark, SF_SMALL), None)
     keys = FX.PROCESS_KEYS + ["zip_category"]
     cfg = ThinConfig(target=0.5)
     monkeypatch.setattr(TH, "SHORT_SHARE", 0.0)  # force the bypass
-    monkeypatch.setattr(TH, "SHORT_MODE", "union")
     a = _rows(P.score_metrics(rows, cfg), keys)
-    monkeypatch.setattr(TH, "SHORT_MODE", "singleton")
-    b = _rows(P.score_metrics(rows, cfg), keys)
-    c = _rows(P.score_metrics(rows, cfg, split="never"), keys)
-    assert a == b == c
+    assert a == _rows(P.score_metrics(rows, cfg, split="never"), keys)
+
+
+def test_null_hot_key_takes_the_split_path(spark):
+    """A null group above the bound is numbered and scored like any other long series."""
+    src = spark.range(3000).selectExpr("IF(id < 2500, NULL, id % 3) AS k", "id AS t",
+                                       "sin(id / 9) * (id % 17) AS v")
+    cfg = ThinConfig(target=0.5, max_series_rows=1000, block_rows=90, sort_rows=400)
+    a = score(src, ["k"], ["t"], "v", cfg, split="never")
+    b = score(src, ["k"], ["t"], "v", cfg, split="auto")
+    assert "_pid" in b._jdf.queryExecution().optimizedPlan().toString() or \
+        "ExistingRDD" in b._jdf.queryExecution().optimizedPlan().toString()  # checkpointed positions
+    assert _rows(a, ["k"]) == _rows(b, ["k"])
+    from curvethin.operators.series import number_rows
+    got = number_rows(src, ["k"], ["t"], split="auto", max_group_rows=1000)
+    want = number_rows(src, ["k"], ["t"])
+    assert sorted(got.collect(), key=lambda r: r["t"]) == sorted(want.collect(), key=lambda r: r["t"])
+
+
+@pytest.mark.parametrize("split", ["never", "always"])
+def test_text_that_is_no_number_fails_its_pair_only(spark, split):
+    src = spark.range(320).selectExpr("id % 2 AS k", "id AS t",
+                                      "IF(id = 80, 'n/a', CAST(id % 13 AS STRING)) AS v",
+                                      "CAST(id % 7 AS STRING) AS w")
+    cfg = ThinConfig(target=0.5, block_rows=20, sort_rows=60)
+    s = score(src, ["k"], ["t"], {"V": "v", "W": "w"}, cfg, split=split)
+    failed = {(r["k"], r["zip_category"]) for r in s.where("failed").select("k", "zip_category").distinct().collect()}
+    assert failed == {(0, "V")}
+    assert s.where("keep and k = 0 and zip_category = 'V'").isEmpty()
+    assert s.where("keep").select("k", "zip_category").distinct().count() == 3
