@@ -18,7 +18,7 @@ from ..functions import exprs as X
 from ..operators import series as S
 from ..operators.thin import level_view, score, thin, unpivot_metrics
 from ..sources import fixtures as FX
-from ..sources.io import config_literals, normalize_blank
+from ..sources.io import config_literals, normalize_blank, read_config
 from . import pipeline as P
 
 # Parameters of the registered queries (fixed so Spark and SQL agree).
@@ -83,9 +83,10 @@ def q_normalize_blank(spark, sf):
 
 
 def q_config_broadcast(spark, sf):
+    cfg = read_config(FX.config_rows(spark, sf))
     sizes = S.series_sizes(FX.process_rows(spark, sf), FX.PROCESS_KEYS)
-    return present(sizes.select(*FX.PROCESS_KEYS, "n", *config_literals(CFG_A),
-                                (F.col("n") > F.lit(CFG_A.threshold)).alias("thinnable")))
+    return present(sizes.select(*FX.PROCESS_KEYS, "n", *config_literals(cfg),
+                                (F.col("n") > F.lit(cfg.threshold)).alias("thinnable")))
 
 
 def q_pending_keys(spark, sf):
@@ -330,6 +331,26 @@ def q_keep_wide_rows(spark, sf):
                             "pv_charge_energy", "created_date_time"))
 
 
+def q_string_metrics(spark, sf):
+    """Metrics read as text, some of it no number: only the (series, metric) pairs with one in
+    their middle fail."""
+    bad = (F.col("sequence_id") % 50 == 0) & F.col("step_id").isin(1, 2)
+    d = _a_loaded(spark, sf)
+    d = d.withColumns({c: F.col(c).cast("string") for c in P.METRICS.values()})
+    d = d.withColumn("pv_voltage", F.when(bad, F.lit("n/a")).otherwise(F.col("pv_voltage")))
+    s = P.score_metrics(d, CFG_A)
+    return present(s.groupBy(*FX.PROCESS_KEYS, "zip_category").agg(
+        F.max("failed").alias("failed"), F.sum(F.col("keep").cast("int")).alias("rows_kept")))
+
+
+def q_typed_sink(spark, sf):
+    """The sink's rows of a source whose columns are all text."""
+    kept = P.thin_metrics(_a_loaded(spark, sf), CFG_A, {"V": "pv_voltage"})
+    text = kept.select(*[F.col(c).cast("string").alias(c) for c in kept.columns])
+    return present(P.compressed_output(text, RUN_TS).select(
+        "handle", "sequence_id", "step_id", "pv_voltage", "pv_charge_energy", "created_date_time"))
+
+
 def q_keep_repeated_rows(spark, sf):
     """The join back where keys and handles are null and rows occur twice."""
     d = _a_loaded(spark, sf)
@@ -472,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "thin_all_metrics": q_thin_all_metrics,
     "keep_wide_rows": q_keep_wide_rows,
     "keep_repeated_rows": q_keep_repeated_rows,
+    "string_metrics": q_string_metrics,
+    "typed_sink": q_typed_sink,
     "split_and_rejoin": q_split_and_rejoin,
     "split_fields": q_split_fields,
     "scalar_kit": q_scalar_kit,

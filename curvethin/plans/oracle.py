@@ -12,7 +12,6 @@ from __future__ import annotations
 from ..config import ThinConfig
 from ..sources.fixtures import FIXTURE_TIME, PROCESS_COLUMNS
 from . import catalog as C
-from . import pipeline as P
 
 DEC = "DECIMAL(20,6)"
 KEYS = ["remark", "st_business_cycle", "step_id"]
@@ -41,6 +40,10 @@ def _d(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
+METRICS = {"C": "pv_charge_capacity", "E": "pv_charge_energy", "I": "pv_current", "T": "pv_temperature",
+           "V": "pv_voltage"}
+
+
 # ----------------------------------------------------------- fixture views
 PROC = f"""
 li AS (
@@ -203,7 +206,7 @@ def _a_metric_src(col: str) -> str:
 
 def _a_all_src() -> str:
     parts = [f"SELECT remark, st_business_cycle, step_id, sequence_id, handle, '{t}' AS zip_category, "
-             f"CAST({c} AS DOUBLE) AS y FROM fixed" for t, c in P.METRICS.items()]
+             f"CAST({c} AS DOUBLE) AS y FROM fixed" for t, c in METRICS.items()]
     return "allsrc AS (" + " UNION ALL ".join(parts) + ")"
 
 
@@ -243,10 +246,10 @@ SELECT handle, nullif(pv_sub_channel_1, '') AS pv_sub_channel_1, nullif(pv_sub_c
     a = C.CFG_A
     q["config_broadcast"] = _with(PROC) + f"""
 SELECT remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step_id AS BIGINT) AS step_id,
-       CAST(count(*) AS BIGINT) AS n, CAST({a.threshold} AS BIGINT) AS threshold,
-       CAST({a.pre} AS BIGINT) AS pre, CAST({a.post} AS BIGINT) AS post, {_d(a.target)} AS target,
-       {_d(a.start)} AS "start", {_d(a.step)} AS step, count(*) > {a.threshold} AS thinnable
-FROM proc GROUP BY remark, st_business_cycle, step_id"""
+       CAST(count(*) AS BIGINT) AS n, CAST(any_value(r) * 10 AS BIGINT) AS threshold,
+       CAST(any_value(r) * 2 AS BIGINT) AS pre, CAST(any_value(r) * 2 AS BIGINT) AS post, any_value(r) / 10 AS target,
+       any_value(r) / 50 AS "start", any_value(r) / 50 AS step, count(*) > any_value(r) * 10 AS thinnable
+FROM proc, (SELECT CAST(count(*) AS DOUBLE) AS r FROM region) GROUP BY remark, st_business_cycle, step_id"""
     keys_sel = "remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step_id AS BIGINT) AS step_id"
     q["pending_keys"] = _with(STATUS, _pending(0, FIRST)) + f"\nSELECT {keys_sel} FROM pend"
     q["shard_odd"] = _with(STATUS, _pending(1, FIRST)) + f"\nSELECT {keys_sel} FROM pend"
@@ -283,7 +286,7 @@ SELECT user_id, event_id, CAST(rn AS BIGINT) AS row_num, {mpos} AS mpos FROM bnu
     q["unpivot_metrics"] = _with(PROC) + "\n" + " UNION ALL ".join(
         f"SELECT remark, CAST(st_business_cycle AS BIGINT) AS st_business_cycle, CAST(step_id AS BIGINT) AS step_id, "
         f"CAST(row_num AS BIGINT) AS row_num, '{t}' AS zip_category, CAST({c} AS DOUBLE) AS y FROM arows"
-        for t, c in P.METRICS.items())
+        for t, c in METRICS.items())
 
     # ---- thinning steps on B (fixed level)
     blv = _with(_b_src(), _b_level_ctes(b))
@@ -334,7 +337,7 @@ SELECT c.event_type, CAST(c.lvl AS BIGINT) AS level, round(f.fit, 6) AS fit FROM
     # ---- process rows
     for name, tag in {"thin_capacity": "C", "thin_energy": "E", "thin_current": "I",
                       "thin_temperature": "T", "thin_voltage": "V"}.items():
-        q[name] = _with(PROC, _a_metric_src(P.METRICS[tag]), thin_ctes("msrc", KEYS, A_ORDER, a)) + \
+        q[name] = _with(PROC, _a_metric_src(METRICS[tag]), thin_ctes("msrc", KEYS, A_ORDER, a)) + \
             f"\nSELECT handle, {keys_sel}, CAST(rn AS BIGINT) AS row_num FROM kp"
     ath = _with(PROC, _a_all_src(), thin_ctes("allsrc", A_KEYS_CAT, A_ORDER, a))
     q["thin_all_metrics"] = ath + f"\nSELECT {keys_sel}, CAST(rn AS BIGINT) AS row_num, zip_category FROM kp"
@@ -355,12 +358,37 @@ odd AS MATERIALIZED (
          count(*) OVER (PARTITION BY remark, st_business_cycle, step_id) AS n FROM oddsrc),
 oddall AS (""" + " UNION ALL ".join(
         f"SELECT remark, st_business_cycle, step_id, row_num, n, '{t}' AS zip_category, CAST({c} AS DOUBLE) AS y FROM odd"
-        for t, c in {"C": "pv_charge_capacity", "E": "pv_charge_energy", "I": "pv_current",
-                     "T": "pv_temperature", "V": "pv_voltage"}.items()) + ")"
+        for t, c in METRICS.items()) + ")"
     q["keep_repeated_rows"] = _with(PROC, odd, thin_ctes("oddall", A_KEYS_CAT, [], a, numbered=True)) + f""",
 wk AS (SELECT f.*, k.zip_category FROM odd f JOIN kp k ON {_same("f", "k", [*KEYS, "row_num"])})
 SELECT {_cols(["handle", "remark", "zip_category", "row_num", "sequence_id", "site", "pv_voltage", "created_date_time"])} FROM wk"""
-    out_cols = P.OUTPUT_COLUMNS
+    text = """
+txt AS (""" + " UNION ALL ".join(
+        "SELECT remark, st_business_cycle, step_id, row_num, n, '" + t + "' AS zip_category, TRY_CAST("
+        + (f"CASE WHEN sequence_id % 50 = 0 AND step_id IN (1, 2) THEN 'n/a' ELSE CAST({c} AS VARCHAR) END"
+           if t == "V" else f"CAST({c} AS VARCHAR)") + " AS DOUBLE) AS y FROM arows"
+        for t, c in METRICS.items()) + ")"
+    q["string_metrics"] = _with(PROC, text, thin_ctes("txt", A_KEYS_CAT, [], a, numbered=True)) + f""",
+bad AS (SELECT {", ".join(A_KEYS_CAT)}, bool_or(region = 'middle' AND y IS NULL) AS failed FROM reg GROUP BY ALL),
+kn AS (SELECT {", ".join(A_KEYS_CAT)}, count(*) AS kept FROM kp GROUP BY ALL)
+SELECT {keys_sel}, zip_category, failed, CAST(CASE WHEN failed THEN 0 ELSE coalesce(kept, 0) END AS BIGINT) AS rows_kept
+FROM bad LEFT JOIN kn USING ({", ".join(A_KEYS_CAT)})"""
+    q["typed_sink"] = _with(PROC, _a_metric_src("pv_voltage"), thin_ctes("msrc", KEYS, A_ORDER, a)) + f"""
+SELECT concat_ws(',', f.handle, 'V', '{C.RUN_TS[:10]}') AS handle, CAST(f.sequence_id AS BIGINT) AS sequence_id,
+       CAST(f.step_id AS BIGINT) AS step_id, CAST(f.pv_voltage AS DOUBLE) AS pv_voltage,
+       CAST(f.pv_charge_energy AS DOUBLE) AS pv_charge_energy,
+       strftime(f.created_date_time, '%Y-%m-%d %H:%M:%S') AS created_date_time
+FROM fixed f JOIN kp ON f.handle = kp.handle"""
+    # the sink's columns, in its order
+    out_cols = ["handle", "site", "remark", "sfc", "resource_id", "channel_id", "sequence_id", "cycle", "step_id",
+                "step_name", "test_time_duration", "timestamp", "sv_ic_range", "sv_iv_range", "pv_voltage",
+                "pv_current", "pv_ir", "pv_temperature", "pv_charge_capacity", "pv_discharge_capacity",
+                "pv_charge_energy", "pv_discharge_energy", "pv_sub_channel_1", "pv_sub_channel_2",
+                "pv_sub_channel_3", "pv_sub_channel_4", "pv_sub_channel_5", "pv_sub_channel_6", "pv_data_flag",
+                "pv_work_type", "tx_is_exceptional", "tx_alert_current", "tx_alert_voltage",
+                "tx_alert_temperature", "tx_alert_capacity", "tx_alert_duration", "tx_alert_category1",
+                "tx_alert_category2", "tx_root_remark", "st_business_cycle", "zip_category",
+                "created_date_time", "created_user", "modified_date_time", "modified_user"]
     sel = []
     for c in out_cols:
         if c == "handle":

@@ -20,6 +20,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..config import ThinConfig
 from ..functions import exprs as X
@@ -46,6 +47,25 @@ OUTPUT_COLUMNS = [c for c in PROCESS_COLUMNS[:41] if c != "step_logic_number"] +
     ["zip_category"] + PROCESS_COLUMNS[41:]
 
 
+# Types of the sink's columns that are not text.
+SINK_TYPES = {
+    **dict.fromkeys(["channel_id", "sequence_id", "cycle", "step_id", "pv_data_flag",
+                     "pv_work_type", "st_business_cycle"], "int"),
+    **dict.fromkeys(["test_time_duration", "sv_ic_range", "sv_iv_range", "pv_voltage",
+                     "pv_current", "pv_ir", "pv_temperature", "pv_charge_capacity",
+                     "pv_discharge_capacity", "pv_charge_energy", "pv_discharge_energy"],
+                    "decimal(20,6)"),
+    **dict.fromkeys(["timestamp", "created_date_time", "modified_date_time"], "timestamp"),
+}
+
+
+def sink_types(rows: DataFrame) -> DataFrame:
+    """Text columns of an all-text source as the sink's types; what cannot be read becomes null."""
+    return rows.withColumns({f.name: F.col(f.name).try_cast(SINK_TYPES[f.name])
+                             for f in rows.schema.fields
+                             if f.name in SINK_TYPES and f.dataType == StringType()})
+
+
 def pending_filter() -> Column:
     """Any of the five flags is 0 (a null flag is not pending)."""
     cond = F.lit(False)
@@ -168,7 +188,8 @@ def join_back(numbered: DataFrame, kept: DataFrame) -> DataFrame:
 def compressed_output(kept: DataFrame, run_ts: str | _dt.datetime | Column) -> DataFrame:
     """Sink-shaped rows: handle suffixed ``,<tag>,<yyyy-MM-dd>``,
     step_logic_number and row_num dropped, modification stamp = run time and
-    user ``spark``."""
+    user ``spark``; text columns are cast to the sink's types."""
+    kept = sink_types(kept)
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
     out = kept.withColumns({
         "handle": X.output_handle("handle", "zip_category", ts),

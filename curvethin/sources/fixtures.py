@@ -120,6 +120,14 @@ def status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("gen").alias("modified_user"))
 
 
+def config_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-row tuning table: 12 text columns by position, its values counted from ``region``."""
+    n = F.count(F.lit(1))
+    at = {2: n * 10, 3: n * 2, 4: n * 2, 5: n / 10, 6: n / 50, 7: n / 50}
+    return read_table(spark, sf_dir, "region").agg(
+        *[at.get(i, F.lit(None)).cast("string").alias(f"c{i}") for i in range(12)])
+
+
 def events_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture B source: key user_id, order (ts, event_id), metric value."""
     return read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")

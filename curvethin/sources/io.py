@@ -71,12 +71,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append",
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, options: Mapping[str, Any] | None = None,
-               mode: str = "append", connections: int = 5, batchsize: int = 10_000) -> None:
-    """Append over JDBC from the executors, ``connections`` writers in
-    parallel, batched inserts, one transaction per partition."""
-    w = (df.repartition(connections).write.format("jdbc").mode(mode).option("url", url)
+               mode: str = "append", connections: int | None = None, batchsize: int = 10_000) -> None:
+    """Append over JDBC from the executors: a writer for each partition of the
+    data, at most ``connections`` if given, batched inserts, one transaction per partition."""
+    w = (df.write.format("jdbc").mode(mode).option("url", url)
            .option("dbtable", table).option("batchsize", batchsize)
            .option("isolationLevel", "READ_COMMITTED"))
+    if connections:
+        w = w.option("numPartitions", connections)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save()
