@@ -12,12 +12,14 @@ The counting takes two exchanges, both of hashes only:
 2. The hashes of all windows not proven single by (1) are sorted by hash and streamed; hashes that
    occur again are repeated.
 
-A list of rows with equal hash is streamed, never held. A window's hash has 64 bits and passes
+A list of rows with equal hash is streamed, never held. Before the exchange, each slice of texts finds the hashes that
+occur again inside it: their rows are decided, so only one row for each such hash goes on to meet the other slices, and the
+others are dealt evenly. A hash that holds a third of all rows so sends one row a slice to its task. A window's hash has 64 bits and passes
 a bijective finaliser; two different windows compare equal with probability 2**-64 a pair.
 
 Defined results: null and empty texts have no words (0, 0, hash of the empty string); texts shorter
 than ``size`` words keep all; repeated rows (same doc_id and text) are separate texts and so repeat each other;
-a null doc_id is a key like any other; further columns are ignored; an empty table gives no rows.
+a null doc_id is a key like any other (a row many times repeated marks each of its positions once); further columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -123,10 +125,21 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def _rows(rows: pa.RecordBatch, d: np.ndarray, h: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    take = pa.array(d)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h, pa.int64()), rows.column("did").take(take), rows.column("tag").take(take), pa.array(pos, pa.int32())],
-        ["h", "did", "tag", "pos"])
+    """Rows to be counted by h. Those known to repeat have ~pos instead of pos.
+
+    Of the rows with a hash that occurs again in this slice, the first keeps the hash and tells the other slices;
+    the others get one of their own (from document and position, the same in every run), which spreads them.
+    """
+    did, tag = (rows.column(c).take(pa.array(d)) for c in ("did", "tag"))
+    if len(h):
+        _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        known = count[inverse] > 1
+        spread = known.copy()
+        spread[first] = False
+        own = T.mix(did.to_numpy().view(np.uint64) + T.mix(pos.astype(np.uint64), 3) + h.view(np.uint64), 5)
+        h = np.where(spread, T.signed(own), h)
+        pos = np.where(known, ~pos, pos)
+    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), did, tag, pa.array(pos, pa.int32())], ["h", "did", "tag", "pos"])
 
 
 def _flat(lists: pa.Array, words: T.Words) -> np.ndarray:
@@ -137,12 +150,13 @@ def _flat(lists: pa.Array, words: T.Words) -> np.ndarray:
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(T.keep_repeated("h"), rows.schema)
+    found = rows.repartition("h").sortWithinPartitions("h").mapInArrow(T.keep_repeated("h", "pos"), rows.schema)
+    return found.select("did", "tag", F.expr("if(pos < 0, ~pos, pos)").alias("pos"))
 
 
 def _with_positions(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Both uses share one exchange of the texts (equal plans are reused)."""
-    at = found.groupBy("did", "tag").agg(F.collect_list("pos").alias("at"))
+    at = found.groupBy("did", "tag").agg(F.collect_set("pos").alias("at"))
     return docs.hint("merge").join(at, ["did", "tag"], "left")
 
 

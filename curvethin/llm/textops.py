@@ -159,9 +159,10 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def keep_repeated(key: str):
+def keep_repeated(key: str, sure: str | None = None):
     """For mapInArrow over rows sorted by ``key``: passes on the rows whose key occurs again.
 
+    Rows with a negative value in the column ``sure`` are known to repeat and pass whatever their neighbours are.
     Streams: holds one batch and one row, however many rows a key has.
     """
 
@@ -177,6 +178,8 @@ def keep_repeated(key: str):
             again[1:] |= same
             again[:-1] |= same
             again[0] |= known
+            if sure:
+                again |= rows.column(sure).to_numpy() < 0
             out = rows.slice(0, len(h) - 1).filter(pa.array(again[:-1]))
             yield from out.to_batches()
             carry, known = rows.slice(len(h) - 1).combine_chunks().to_batches()[0], bool(again[-1])
