@@ -5,16 +5,19 @@ weighted Jaccard similarity (5-word shingles, weighted by how often they occur)
 to the item.
 
 1. Documents and items become arrays of shingle hashes (lower-cased words between ``[\\x20\\x09-\\x0D]+``).
+   The places of shingles that some item has are found first, by hash; only texts with such a place are read again for
+   the windows around them, ``HITS`` places at a time, so a text's cost grows with its length and its shared places.
 2. A window that shares no shingle with an item has similarity 0. Moving a window to the right until it begins
    with a shared shingle never lowers its similarity, so windows that begin with one (or end with the document)
    are enough. Each such window keeps the length of the item, and equal windows of all documents are one content.
-3. Contents and items get 64-bit SimHash fingerprints: sums per bit, packed as 16-bit lanes of 16 longs.
+3. Contents and items get 64-bit SimHash fingerprints: sums per bit, packed as 32-bit lanes of 32 longs.
 4. Multi-index Hamming blocks: 64 bits in ``RADIUS + 1`` blocks; fingerprints within ``RADIUS`` bits agree in one
    block at least, so the join on (length, block number, block) misses none of them.
 5. Exact weighted-shingle similarity verifies each candidate.
 
-The benchmark is met in blocks of items of at most ``BLOCK_SHINGLES`` shingles, each broadcast under that bound;
-documents are scanned once for each block and never shuffled whole.
+The benchmark is met in blocks of consecutive items, cut by their running number of words: a block has at most
+``BLOCK_SHINGLES`` words more than its last item, and its distinct shingles are broadcast under that bound. Documents are scanned
+once for each block; only those with a shared place can be shuffled.
 
 Defined results: null, empty and wordless texts hold no passage; items of fewer than 5 words have one shingle, their
 whole sequence; a document shorter than an item is compared whole; several rows of a doc_id are reported together,
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curvethin.llm import textops as T
@@ -35,7 +38,8 @@ SIZE = 5
 SIMILARITY = 0.75
 RADIUS = 20
 BLOCK_SHINGLES = 500_000  # at most 32 MB as a broadcast hash table
-LANES = 16
+LANES = 32
+HITS = 1000
 
 
 def words(text: Column) -> Column:
@@ -61,7 +65,7 @@ def _simhash(shingles: DataFrame, keys: list[str]) -> DataFrame:
 
     Cut here, because the blocks use fp many times and the optimiser would repeat its 64 cases in each.
     """
-    mask = F.lit(0x0001000100010001)
+    mask = F.lit(0x0000000100000001)
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(mask)).alias(f"s{k}") for k in range(LANES)]
     g = shingles.groupBy(*keys).agg(F.count("*").alias("m"), *sums)
     bits = []
@@ -69,7 +73,7 @@ def _simhash(shingles: DataFrame, keys: list[str]) -> DataFrame:
         for lane in range(64 // LANES):
             b = k + LANES * lane
             value = (1 << b) - (1 << 64 if b == 63 else 0)
-            bits.append(F.when(F.shiftrightunsigned(f"s{k}", LANES * lane).bitwiseAND(F.lit(0xFFFF)) * 2 > F.col("m"), F.lit(value)).otherwise(F.lit(0)))
+            bits.append(F.when(F.shiftrightunsigned(f"s{k}", LANES * lane).bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > F.col("m"), F.lit(value)).otherwise(F.lit(0)))
     return T.cut(T.cut(g).select(*keys, reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long").alias("fp")))
 
 
@@ -84,14 +88,19 @@ def _blocks(fp: str) -> Column:
 
 
 def _match_block(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """doc_id, item, start, similarity for one broadcast block of items (item, n, hs) with shingles of ``size`` words."""
+    """doc_id, item, start, similarity for one block of items (item, n, hs) with shingles of ``size`` words."""
     spots = items.select("item", "n", F.explode("hs").alias("h"))
     probe = spots.groupBy("h").agg(F.collect_set("n").alias("ns"))
-    hits = (_shingles(docs, size).select("doc_id", "hs", F.posexplode("hs").alias("p", "h"))
-            .join(F.broadcast(probe), "h").select("doc_id", "hs", "p", F.explode("ns").alias("n")))
-    width = F.col("n") - size + 1
-    start = F.greatest(F.least("p", F.size("hs") - width), F.lit(0))
-    seen = hits.select("doc_id", "n", start.alias("start"), F.slice("hs", start + 1, width.cast("int")).alias("part"))
+    docs = docs.select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), "text")
+    places = (_shingles(docs, size).select("did", "tag", F.posexplode("hs").alias("p", "h"))
+              .join(F.broadcast(probe), "h").select("did", "tag", F.explode("ns").alias("n"), "p"))
+    places = T.cut(places.groupBy("did", "tag").agg(F.collect_set(F.struct("p", "n")).alias("at")))
+    touched = docs.join(T.sized(places.select("did", "tag")), ["did", "tag"], "left_semi").join(places, ["did", "tag"])
+    some = F.expr(f"transform(sequence(0, size(at) - 1, {HITS}), i -> slice(at, i + 1, {HITS}))")
+    touched = _shingles(touched, size).select("did", "hs", F.explode(some).alias("some"))
+    start = f"greatest(least(x.p, size(hs) - (x.n - {size - 1})), 0)"
+    window = f"named_struct('n', x.n, 'start', {start}, 'part', slice(hs, {start} + 1, x.n - {size - 1}))"
+    seen = touched.select("did", F.explode(F.expr(f"transform(some, x -> {window})")).alias("w")).select(F.expr(f"nullif(did, {T.NULL_ID}L)").alias("doc_id"), "w.*")
     seen = T.cut(seen.withColumn("content", F.xxhash64("part")).distinct())
 
     contents = seen.groupBy("n", "content").agg(F.first("part").alias("part"))
@@ -116,14 +125,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     texts = benchmark.select(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("item"), "text").distinct()
     texts = texts.withColumn("n", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.size(words(F.col("text")))).otherwise(0)).where("n > 0")
-    sizes = texts.groupBy(F.least("n", F.lit(SIZE)).alias("size")).agg(F.sum("n").alias("words"), F.max("n").alias("longest")).collect()
+    # one row (item, length) for each item of the benchmark
+    ids = texts.select("item", F.least("n", F.lit(SIZE)).alias("size"), "n")
+    before = F.sum("n").over(Window.partitionBy("size").orderBy("item").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = T.cut(ids.select(F.col("item").alias("in_block"), "size", F.floor(F.coalesce(before, F.lit(0)) / BLOCK_SHINGLES).alias("block")))
     found = []
-    for r in sizes:  # at most SIZE rows
-        parts = -(-r["words"] // max(1, BLOCK_SHINGLES - r["longest"]))
-        items = _shingles(texts.where(F.least("n", F.lit(SIZE)) == r["size"]), r["size"]).select("item", "n", "hs")
-        for k in range(parts):
-            block = items if parts == 1 else items.where(F.pmod("item", F.lit(parts)) == k)
-            found.append(_match_block(docs, block, r["size"]))
+    for r in blocks.select("size", "block").distinct().orderBy("size", "block").collect():  # one row a block
+        mine = blocks.where((F.col("size") == r["size"]) & (F.col("block") == r["block"])).select(F.col("in_block").alias("item"))
+        items = _shingles(texts.join(mine, "item", "left_semi"), r["size"]).select("item", "n", "hs")
+        found.append(_match_block(docs, items, r["size"]))
     names = benchmark.select("item_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("item"))
     if not found:
         return docs.join(names.select("item_id"), F.lit(False)).select("doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start"))
