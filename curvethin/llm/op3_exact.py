@@ -6,11 +6,13 @@
    inside the batch are found here, without the snapshot.
 2. ``build_filters``: the snapshot's distinct digests are dealt to shards of about ``SHARD_KEYS`` keys, and
    each shard gets one 3-wise binary fuse filter with 8-bit fingerprints (about 9 bits a key).
-3. ``screen``: the batch's distinct digests meet the filter of their shard. No false negatives; about one in
-   256 absent digests passes.
+3. ``screen``: the batch's distinct digests meet the filter of their shard, in slices of about ``SHARD_KEYS`` digests
+   however much larger than the snapshot the batch is. No false negatives; about one in 256 absent digests passes.
 4. Positives join the snapshot's exact buckets by whole digest. Then the bytes are checked: the texts of
    all rows whose digest occurs more than once are grouped by (digest, text) itself, so only equal bytes
-   share a group, and partial aggregation leaves one row of a hot text per task.
+   share a group, and partial aggregation leaves one row of a hot text per task. The rows are found by a semi-join on an
+   8-byte key of the digest: broadcast while the keys are few, else shuffled with ``SALT`` copies of each key, so that the
+   copies of one text never meet in one task before they are aggregated.
 
 Defined results: null text counts as empty, and empty texts are equal to each other; the row with the
 smallest doc_id of a group stays (nulls last); rows that repeat in doc_id and text count in group_size, all
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from curvethin.llm import textops as T
 
 SHARD_KEYS = 1 << 18
+SALT = 64
 
 
 def normalised(text: Column | str) -> Column:
@@ -113,8 +116,8 @@ def build_filters(index: DataFrame, shards: int) -> DataFrame:
     return index.select(_shard(shards), "digest").groupBy("shard").applyInPandas(build, "shard long, seed int, length int, segments int, cells binary")
 
 
-def screen(digests: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """The distinct digests that the filters don't rule out."""
+def screen(digests: DataFrame, filters: DataFrame, shards: int, slices: int = 1) -> DataFrame:
+    """The distinct digests that the filters don't rule out; a shard's digests meet its filter in ``slices`` tasks."""
 
     def test(rows: pd.DataFrame, filter_: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(filter_):
@@ -123,13 +126,24 @@ def screen(digests: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
         hit = fuse_contains(_keys(rows["digest"]), int(f.seed), int(f.length), int(f.segments), f.cells)
         return rows.loc[hit, ["digest"]]
 
-    return digests.select(_shard(shards), "digest").groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(test, "digest binary")
+    left = digests.select(_shard(shards), F.pmod(F.hash("digest"), F.lit(slices)).alias("slice"), "digest").groupBy("shard", "slice")
+    right = filters.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).groupBy("shard", "slice")
+    return left.cogroup(right).applyInPandas(test, "digest binary")
 
 
 def _shard(shards: int) -> Column:
     return F.pmod(F.xxhash64("digest"), F.lit(shards)).alias("shard")
 
 
+def _of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows (doc_id, k, ...) whose k is in ``keys``, without gathering the rows of one k."""
+    keys = T.cut(keys.distinct())
+    if keys.count() <= T.FEW:
+        return rows.join(F.broadcast(keys), "k", "left_semi")
+    salted = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return rows.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALT))).join(salted, ["k", "salt"], "left_semi").drop("salt")
+
+
 # --- dedup ----------------------------------------------------------------------------------------------
 
 def ingest(snapshot: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -138,16 +152,18 @@ def ingest(snapshot: DataFrame, incoming: DataFrame) -> DataFrame:
     both = T.cut(old.unionByName(_digests(incoming).withColumn("new", F.lit(True))))
     index = both.where("not new").groupBy("digest").agg(F.count("*").alias("n"))
     batch = both.where("new").groupBy("digest").agg(F.count("*").alias("n"))
-    shards = max(1, math.ceil(index.count() / SHARD_KEYS))
-    positive = screen(batch, build_filters(index, shards), shards)
+    rows = {r["new"]: r["count"] for r in both.groupBy("new").count().collect()}  # at most two rows
+    shards = max(1, math.ceil(rows.get(False, 0) / SHARD_KEYS))
+    slices = max(1, math.ceil(rows.get(True, 0) / (shards * SHARD_KEYS)))
+    positive = screen(batch, build_filters(index, shards), shards, slices)
     shared = positive.join(index.select("digest"), "digest", "left_semi")  # the exact buckets
     within = index.where("n > 1").select("digest").unionByName(batch.where("n > 1").select("digest"))
-    several = shared.unionByName(within).distinct()
+    several = shared.unionByName(within).select(F.xxhash64("digest").alias("k"))
 
     texts = snapshot.select("doc_id", "text").unionByName(incoming.select("doc_id", "text"))
     texts = texts.select("doc_id", normalised(F.col("text")).alias("norm"))
-    texts = texts.select("doc_id", "norm", F.unhex(F.sha2("norm", 256)).alias("digest")).join(several, "digest", "left_semi")
-    groups = (texts.groupBy("digest", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    texts = texts.select("doc_id", "norm", F.unhex(F.sha2("norm", 256)).alias("digest")).withColumn("k", F.xxhash64("digest"))
+    groups = (_of_keys(texts, several).groupBy("digest", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
               .select("digest", F.xxhash64("norm").alias("tag"), "keep_id", "group_size"))
     out = both.join(groups, ["digest", "tag"], "left")
     keep = F.coalesce("keep_id", "doc_id")
