@@ -12,7 +12,8 @@ tie) is the chosen one.
 
 Defined results: turns are ordered by turn, then role and text (nulls first); turns repeated in full count once; null
 role and text render as empty; conversations without assistant turns or without a neighbour pair with themselves and
-have empty completions; rows with null conv_id form a conversation of their own; further columns are ignored.
+have empty completions; rows with null conv_id belong to no common conversation: each distinct one is a conversation of one
+turn, paired with itself; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ OPEN, MIDDLE, CLOSE = "<|", "|>\n", "<|end|>\n"
 def conversations(rows: DataFrame) -> DataFrame:
     """conv_id, turns (array of role, text) from one row for each turn."""
     t = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    g = rows.groupBy("conv_id").agg(F.array_sort(F.collect_set(t)).alias("t"))
+    g = rows.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_set(t)).alias("t"))
+    g = g.unionByName(rows.where("conv_id is null").select("conv_id", F.array(t).alias("t")).distinct())
     return g.select("conv_id", F.expr("transform(t, x -> struct(x.role, x.text))").alias("turns"))
 
 
@@ -39,8 +41,10 @@ def pairs(convs: DataFrame) -> DataFrame:
     c = c.withColumn("reply", F.expr("aggregate(turns, cast(null as string), (a, t) -> if(t.role = 'assistant', t.text, a))"))
     alike = Window.partitionBy("block", "first").orderBy("conv_id")
     near = Window.partitionBy("block").orderBy("conv_id")
+    c, lone = c.where("conv_id is not null"), c.where("conv_id is null")  # null ids have no neighbours
     c = c.withColumn("same_id", F.lead("conv_id").over(alike)).withColumn("same", F.lead("turns").over(alike))
     c = c.withColumn("near_id", F.lead("conv_id").over(near)).withColumn("near", F.lead("reply").over(near))
+    c = c.unionByName(lone, allowMissingColumns=True)
     last = "array_max(transform(turns, (t, i) -> if(t.role = 'assistant', i, -1)))"
     c = c.withColumn("last", F.expr(last))
     swap = F.expr("transform(turns, (t, i) -> if(i = last and near is not null, struct(t.role as role, near as text), t))")
@@ -93,10 +97,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH c AS (
   SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS turns
-  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) GROUP BY conv_id),
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+  GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN {'n': turn, 'r': role, 't': text} END),
 r AS (SELECT *, conv_id // 1000 AS block, list_filter(turns, lambda t: t.role = 'assistant')[-1].text AS reply,
   list_max(list_transform(turns, lambda t, i: CASE WHEN t.role = 'assistant' THEN i ELSE 0 END)) AS last FROM c),
-n AS (SELECT *, lead(conv_id) OVER a AS same_id, lead(turns) OVER a AS same, lead(conv_id) OVER b AS near_id, lead(reply) OVER b AS near
+n AS (SELECT *, lead(conv_id) OVER a AS same_id, lead(turns) OVER a AS same, lead(conv_id) OVER b AS near_id,
+    CASE WHEN conv_id IS NOT NULL THEN lead(reply) OVER b END AS near
   FROM r WINDOW a AS (PARTITION BY block, turns[1] ORDER BY conv_id), b AS (PARTITION BY block ORDER BY conv_id)),
 p AS (SELECT conv_id, coalesce(same_id, near_id) AS other_id, turns,
   CASE WHEN same_id IS NOT NULL THEN same
