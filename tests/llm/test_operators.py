@@ -67,6 +67,17 @@ def test_exact(docs, rows, empty):
     assert op3_exact.dedup(empty).count() == 0
 
 
+def test_exact_many_keys(docs, monkeypatch):
+    """Small shards, a batch of many slices, and keys too many to broadcast give the same rows."""
+    old, new = op3_exact.halves(docs)
+    want = [sorted(map(tuple, op3_exact.ingest(*x).collect())) for x in ((old, new), (old.limit(0), docs), (docs, new.limit(0)))]
+    assert want[0] == want[1] == want[2]
+    monkeypatch.setattr(op3_exact, "SHARD_KEYS", 40)
+    monkeypatch.setattr(op3_exact.T, "FEW", 0)
+    small = old.where("doc_id < 30")
+    assert sorted(map(tuple, op3_exact.ingest(small, docs.join(small.select("doc_id"), "doc_id", "left_anti")).collect())) == want[0]
+
+
 def test_fuse_filter():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 30_000, dtype=np.uint64))
     for n in (1, 2, 7, 100, len(keys)):
@@ -88,6 +99,15 @@ def test_substring(docs, rows, empty):
     assert op4_substring.remove_repeats(empty).count() == 0
 
 
+def test_substring_hot(spark):
+    """One passage in every text, and one row many times over under a null id."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    data = [(i, f"{passage} own{i}") for i in range(3000)] + [(None, passage)] * 500 + [(9999, "alone " * 10)]
+    got = op4_substring.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(7)).collect()
+    assert Counter((r["doc_id"] is None, r["n_words"], r["n_removed"]) for r in got) == {(False, 41, 40): 3000, (True, 40, 40): 500, (False, 10, 0): 1}
+    assert all(r["kept"] == f"own{r['doc_id']}" for r in got if r["n_words"] == 41)
+
+
 def test_mix(docs, rows, empty):
     got = op5_mix.mix(docs).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(i for i, _, _ in rows)
@@ -172,6 +192,22 @@ def test_decontaminate(spark, docs, rows, empty):
     assert op2_decontaminate.matches(empty, bench).count() == 0 and op2_decontaminate.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_long(spark, monkeypatch):
+    """An item and a text longer than 2**16 shingles, repeated rows, null ids, and items over several blocks."""
+    long_ = " ".join(f"a{k}" for k in range(70_000))
+    items = [(1, long_)] + [(k, " ".join(f"b{k}x{j}" for j in range(20))) for k in range(2, 40)]
+    data = [(1, "pre " + long_), (2, items[5][1] + " tail"), (2, items[5][1] + " tail"), (None, "x y " + items[9][1]), (None, items[9][1]), (4, "b2x0 b2x1 b2x2")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    want = {(1, 1, 1), (2, 6, 0), (None, 10, 0)}
+    for block in (op2_decontaminate.BLOCK_SHINGLES, 300):
+        monkeypatch.setattr(op2_decontaminate, "BLOCK_SHINGLES", block)
+        monkeypatch.setattr(op2_decontaminate, "HITS", 7 if block == 300 else 1000)
+        b = bench if block > 300 else bench.where("item_id > 1")
+        got = {(r["doc_id"], r["item_id"], r["start"]) for r in op2_decontaminate.matches(d, b).collect()}
+        assert got == {w for w in want if block > 300 or w[1] > 1}
+
+
 def test_toxicity(spark):
     rnd = random.Random(3)
     calm = ["tree", "river", "stone", "cloud", "house", "garden", "table", "window", "paper", "bread"]
@@ -249,9 +285,11 @@ def test_secrets(spark, empty):
 
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "hello you"), (2, 1, "assistant", "hello you"),
-             (3, 0, None, None), (4, 0, "user", "q"), (4, 1, "assistant", "é\U0001F600"), (None, 0, "user", "x")]
+             (3, 0, None, None), (4, 0, "user", "q"), (4, 1, "assistant", "é\U0001F600"), (None, 0, "user", "x"), (None, 0, "user", "x"), (None, 1, "assistant", "y")]
     d = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    got = {r["conv_id"]: r for r in op10_chat.format_pairs(op10_chat.pairs(op10_chat.conversations(d))).collect()}
+    found = op10_chat.format_pairs(op10_chat.pairs(op10_chat.conversations(d))).collect()
+    got = {r["conv_id"]: r for r in found}
+    assert sorted(r["prompt"] for r in found if r["conv_id"] is None) == ["<|assistant|>\ny<|end|>\n", "<|user|>\nx<|end|>\n"]
     assert set(got) == {1, 2, 3, 4, None}
     r = got[1]
     assert (r["other_id"], r["prefix_turns"], r["prompt"]) == (2, 1, "<|user|>\nhi<|end|>\n")
