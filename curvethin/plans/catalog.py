@@ -17,6 +17,7 @@ from ..config import ThinConfig
 from ..functions import exprs as X
 from ..operators import series as S
 from ..operators.thin import level_view, score, thin, unpivot_metrics
+from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources.io import config_literals, normalize_blank, read_config
 from . import pipeline as P
@@ -422,8 +423,10 @@ def q_status_after_failure(spark, sf):
 def q_status_per_metric(spark, sf):
     """Per-metric outcome: only pending flags of the batch are thinned and set."""
     status = FX.status_rows(spark, sf)
-    keys = P.pending_keys(status, 0)
-    pairs = P.pending_pairs(status, keys)
+    checkpoint_dir(spark)
+    # stored once, as run_batch does: several branches of the plan read them
+    keys = P.pending_keys(status, 0).checkpoint(eager=True)
+    pairs = P.pending_pairs(status, keys).checkpoint(eager=True)
     scored = P.score_metrics(P.load_rows(FX.process_rows(spark, sf), keys), CFG_A, pairs=pairs)
     return present(P.update_status_per_metric(status, P.metric_outcome(pairs, scored), RUN_TS))
 
