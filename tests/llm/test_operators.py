@@ -261,6 +261,15 @@ def test_pii(spark, docs, empty):
     assert op6_pii.redact("to a@b.c now", op6_pii.base_spans("to a@b.c now")) == "to [email] now"
 
 
+def test_pii_prescreen():
+    rnd = random.Random(3)
+    parts = ["john", "Example", "com", " at ", " AT ", "(at)", "[At]", " ( at ) ", "@", ".", " dot ", "[dot]", "(DOT)", " ", "1", "22", "333", "4444", "-", "/", "[.]", ":80"]
+    data = ["mail john(at)example.com now", "write to john at example.com please", "mail john [at] example.org"]
+    data += ["".join(rnd.choice(parts) for _ in range(rnd.randint(3, 12))) for _ in range(5000)]
+    hits = [t for t in data if op6_pii.base_spans(t) or any(op6_pii._candidates(t, k) for k in range(4))]
+    assert set(data[:3]) <= set(hits) and len(hits) > 100 and all(op6_pii._SOME.search(t) for t in hits)
+
+
 def test_secrets(spark, empty):
     rnd = random.Random(7)
     parts = ["token", "secret=", "Api_Key:", "password", " = ", '"', "abcdef12", "AKIA", "ABCDEFGH12", "0123456789abcdef", "é", "\U0001F600", " ", "\n", "user: bob"]
