@@ -266,10 +266,36 @@ def test_pii_prescreen():
     parts = ["john", "Example", "com", " at ", " AT ", "(at)", "[At]", " ( at ) ", "@", ".", " dot ", "[dot]", "(DOT)", " ", "1", "22", "333", "4444", "-", "/", "[.]", ":80"]
     data = ["mail john(at)example.com now", "write to john at example.com please", "mail john [at] example.org"]
     data += ["".join(rnd.choice(parts) for _ in range(rnd.randint(3, 12))) for _ in range(5000)]
-    hits = [t for t in data if op6_pii.base_spans(t) or any(op6_pii._candidates(t, k) for k in range(4))]
+    hits = [t for t in data if op6_pii.base_spans(t) or any(list(op6_pii._candidates(t, k)) for k in range(4))]
     assert set(data[:3]) <= set(hits) and len(hits) > 100 and all(op6_pii._SOME.search(t) for t in hits)
 
 
+def test_pii_alignments():
+    """Numbers beside other digits: every alignment is proposed, and the trees choose the right one."""
+    rnd = random.Random(8)
+
+    def card() -> str:
+        d = "4" + "".join(rnd.choice("0123456789") for _ in range(14))
+        return next(d + c for c in "0123456789" if op6_pii.luhn(d + c))
+
+    cut = lambda d: " ".join(d[i:i + 4] for i in range(0, 16, 4))
+    number = lambda n: "".join(rnd.choice("123456789") for _ in range(n))
+    rows = []
+    for k in range(150):
+        c, phone = card(), f"+{rnd.randint(1, 99)} {number(3)} {number(3)} {number(4)}"
+        rows += op6_pii._training_rows(f"we met and then card {c if k % 2 else cut(c)} was paid by {phone} in all")
+        rows += op6_pii._training_rows(f"order {number(3)} {number(4)} {number(4)} {number(5)} and {number(16)}, list {number(2)} {number(3)} {number(3)} {number(8)}")
+    models = op6_pii.train(rows)
+    for text, want in [("order 12 4539578763621486 paid", "4539578763621486"), ("order 1234 4539 5787 6362 1486 paid", "4539 5787 6362 1486"),
+                       ("call +49 301 234 5678 12345678 now", "+49 301 234 5678")]:
+        kind = 3 if "+" in want else 2
+        assert not op6_pii.base_spans(text) and want in [text[a:b] for a, b in op6_pii._candidates(text, kind)]
+        assert want in [text[a:b] for a, _, b in op6_pii._with_added(text, [], models)], text
+    mail = "x@y.co.uk"
+    assert [mail[a:b] for a, b in op6_pii._candidates(mail, 0)] == ["x@y.co", "x@y.co.uk"]
+    assert set(op6_pii._candidates("0049 301 2345 6789", 3)) == {(0, 13), (0, 18), (5, 18)}
+
+
 def test_secrets(spark, empty):
     rnd = random.Random(7)
     parts = ["token", "secret=", "Api_Key:", "password", " = ", '"', "abcdef12", "AKIA", "ABCDEFGH12", "0123456789abcdef", "é", "\U0001F600", " ", "\n", "user: bob"]
