@@ -22,7 +22,8 @@ once for each block; only those with a shared place can be shuffled.
 Defined results: null, empty and wordless texts hold no passage; items of fewer than 5 words have one shingle, their
 whole sequence; a document shorter than an item is compared whole; several rows of a doc_id are reported together,
 with the best window; repeated items are reported each; a null doc_id or item_id is reported as null; further
-columns are ignored by ``matches`` and kept by ``clean``; empty tables give no matches.
+columns are ignored by ``matches`` and kept by ``clean``, which removes a row by its own text, whatever other rows of its
+doc_id (or of the null doc_id) hold; empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def _blocks(fp: str) -> Column:
 
 
 def _match_block(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """doc_id, item, start, similarity for one block of items (item, n, hs) with shingles of ``size`` words."""
+    """did, tag (hash of the text), item, start, similarity for one block of items (item, n, hs) with shingles of ``size`` words."""
     spots = items.select("item", "n", F.explode("hs").alias("h"))
     probe = spots.groupBy("h").agg(F.collect_set("n").alias("ns"))
     docs = docs.select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), "text")
@@ -97,10 +98,10 @@ def _match_block(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     places = T.cut(places.groupBy("did", "tag").agg(F.collect_set(F.struct("p", "n")).alias("at")))
     touched = docs.join(T.sized(places.select("did", "tag")), ["did", "tag"], "left_semi").join(places, ["did", "tag"])
     some = F.expr(f"transform(sequence(0, size(at) - 1, {HITS}), i -> slice(at, i + 1, {HITS}))")
-    touched = _shingles(touched, size).select("did", "hs", F.explode(some).alias("some"))
+    touched = _shingles(touched, size).select("did", "tag", "hs", F.explode(some).alias("some"))
     start = f"greatest(least(x.p, size(hs) - (x.n - {size - 1})), 0)"
     window = f"named_struct('n', x.n, 'start', {start}, 'part', slice(hs, {start} + 1, x.n - {size - 1}))"
-    seen = touched.select("did", F.explode(F.expr(f"transform(some, x -> {window})")).alias("w")).select(F.expr(f"nullif(did, {T.NULL_ID}L)").alias("doc_id"), "w.*")
+    seen = touched.select("did", "tag", F.explode(F.expr(f"transform(some, x -> {window})")).alias("w")).select("did", "tag", "w.*")
     seen = T.cut(seen.withColumn("content", F.xxhash64("part")).distinct())
 
     contents = seen.groupBy("n", "content").agg(F.first("part").alias("part"))
@@ -117,11 +118,11 @@ def _match_block(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     common = (near.join(weight, ["n", "content"]).join(weight2, ["item", "h"]).groupBy("n", "content", "item")
               .agg(F.sum(F.least("c", "c2")).alias("i")).join(total, ["n", "content"]))
     sure = common.withColumn("similarity", F.col("i") / (F.col("m") + F.col("n") - size + 1 - F.col("i"))).where(F.col("similarity") >= SIMILARITY)
-    return seen.join(sure.select("n", "content", "item", "similarity"), ["n", "content"]).select("doc_id", "item", "start", "similarity")
+    return seen.join(sure.select("n", "content", "item", "similarity"), ["n", "content"]).select("did", "tag", "item", "start", "similarity")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity, start (first word of the best window; the first of equals)."""
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """did, tag, item, start, similarity of every match; None without items."""
     docs = docs.select("doc_id", "text")
     texts = benchmark.select(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("item"), "text").distinct()
     texts = texts.withColumn("n", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.size(words(F.col("text")))).otherwise(0)).where("n > 0")
@@ -134,17 +135,27 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         mine = blocks.where((F.col("size") == r["size"]) & (F.col("block") == r["block"])).select(F.col("in_block").alias("item"))
         items = _shingles(texts.join(mine, "item", "left_semi"), r["size"]).select("item", "n", "hs")
         found.append(_match_block(docs, items, r["size"]))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, similarity, start (first word of the best window; the first of equals)."""
     names = benchmark.select("item_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("item"))
-    if not found:
-        return docs.join(names.select("item_id"), F.lit(False)).select("doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start"))
-    best = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("at"))
-    return best.join(names, "item").select("doc_id", "item_id", "at.similarity", (-F.col("at.back")).alias("start"))
+    found = _found(docs, benchmark)
+    if found is None:
+        return docs.select("doc_id").join(names.select("item_id"), F.lit(False)).select("doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start"))
+    best = found.groupBy("did", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("at"))
+    return best.join(names, "item").select(F.expr(f"nullif(did, {T.NULL_ID}L)").alias("doc_id"), "item_id", "at.similarity", (-F.col("at.back")).alias("start"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows without a passage of the benchmark, with all their columns."""
-    gone = T.sized(matches(docs, benchmark).select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("_gone")).distinct())
-    return docs.join(gone, F.coalesce(docs["doc_id"], F.lit(T.NULL_ID)) == gone["_gone"], "left_anti")
+    """The rows whose own text holds no passage of the benchmark, with all their columns."""
+    found = _found(docs, benchmark)
+    if found is None:
+        return docs
+    gone = T.sized(found.select(F.col("did").alias("_gone"), F.col("tag").alias("_tag")).distinct())
+    mine = (F.coalesce(docs["doc_id"], F.lit(T.NULL_ID)) == gone["_gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_tag"])
+    return docs.join(gone, mine, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,6 +208,18 @@ def test_decontaminate_long(spark, monkeypatch):
         assert got == {w for w in want if block > 300 or w[1] > 1}
 
 
+def test_decontaminate_own_text(spark):
+    """A row goes by its own text: clean rows of a null or shared doc_id stay."""
+    item = " ".join(f"i{k}" for k in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    data = [(None, "clean one"), (None, f"pre {item} post"), (None, None), (None, "clean one"), (7, "clean two"), (7, f"{item} z"), (8, item), (9, "clean three")]
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    got = Counter(map(tuple, op2_decontaminate.clean(d, bench).collect()))
+    assert got == Counter([(None, "clean one"), (None, "clean one"), (None, None), (7, "clean two"), (9, "clean three")])
+    assert {(r["doc_id"], r["start"]) for r in op2_decontaminate.matches(d, bench).collect()} == {(None, 1), (7, 0), (8, 0)}
+    assert op2_decontaminate.clean(d, bench.limit(0)).count() == len(data)
+
+
 def test_toxicity(spark):
     rnd = random.Random(3)
     calm = ["tree", "river", "stone", "cloud", "house", "garden", "table", "window", "paper", "bread"]
