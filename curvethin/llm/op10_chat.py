@@ -4,11 +4,11 @@
 text) is rendered once as the prompt; the turns after it are rendered as two completions. A completion's mask lists the
 character ranges that are trained on: the text and end marker of assistant turns; other turns and headers are masked.
 
-``pairs`` makes pairs of a table of conversations: within a block of ``BLOCK`` consecutive conv_ids, a
-conversation is paired with the next one that opens with the same first turn; if there is none, its rejected side
-is its own turns with the text of the last assistant turn replaced by that of the next conversation in the block.
-Blocks bound every group, however many conversations open alike. The longer of the two (assistant characters; first on a
-tie) is the chosen one.
+``pairs`` makes pairs of a table of conversations: a conversation is paired with the next one (by conv_id, in the whole
+table) that opens with the same first turn; if there is none, its rejected side is its own turns with the text of the
+last assistant turn replaced by that of the next conversation. The next one is found in ranges of the ids in order, each
+with the first row of the range after it, so no task holds a group, however many conversations open alike and whatever
+the ids are. The longer of the two (assistant characters; first on a tie) is the chosen one.
 
 Defined results: turns are ordered by turn, then role and text (nulls first); turns repeated in full count once; null
 role and text render as empty; conversations without assistant turns or without a neighbour pair with themselves and
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from curvethin.llm import textops as T
 
-BLOCK = 1000
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "<|end|>\n"
 
 
@@ -35,21 +34,29 @@ def conversations(rows: DataFrame) -> DataFrame:
     return g.select("conv_id", F.expr("transform(t, x -> struct(x.role, x.text))").alias("turns"))
 
 
+def _following(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The rows with ``name``: the keys (distinct) of the next row in their order, as a struct; null for the last."""
+    own = F.struct(*keys)
+    rows = T.cut(rows.repartitionByRange(*keys).withColumn("part", F.spark_partition_id()))
+    heads = rows.groupBy("part").agg(F.min(own).alias("head"))  # one row a range
+    heads = heads.select("part", F.lead("head").over(Window.orderBy("part")).alias("after"))
+    rows = rows.withColumn(name, F.lead(own).over(Window.partitionBy("part").orderBy(*keys)))
+    return rows.join(F.broadcast(heads), "part").withColumn(name, F.coalesce(name, "after")).drop("part", "after")
+
+
 def pairs(convs: DataFrame) -> DataFrame:
     """conv_id, other_id, chosen, rejected (arrays of turns)."""
-    c = convs.withColumn("block", F.expr(f"conv_id div {BLOCK}")).withColumn("first", F.xxhash64(F.expr("turns[0]")))
-    c = c.withColumn("reply", F.expr("aggregate(turns, cast(null as string), (a, t) -> if(t.role = 'assistant', t.text, a))"))
-    alike = Window.partitionBy("block", "first").orderBy("conv_id")
-    near = Window.partitionBy("block").orderBy("conv_id")
+    c = T.store(convs.withColumn("reply", F.expr("aggregate(turns, cast(null as string), (a, t) -> if(t.role = 'assistant', t.text, a))")))
     c, lone = c.where("conv_id is not null"), c.where("conv_id is null")  # null ids have no neighbours
-    c = c.withColumn("same_id", F.lead("conv_id").over(alike)).withColumn("same", F.lead("turns").over(alike))
-    c = c.withColumn("near_id", F.lead("conv_id").over(near)).withColumn("near", F.lead("reply").over(near))
-    c = c.unionByName(lone, allowMissingColumns=True)
+    ids = _following(c.select("conv_id", F.xxhash64(F.expr("turns[0]")).alias("first")), ["first", "conv_id"], "alike")
+    ids = _following(ids.withColumn("same_id", F.expr("if(alike.first = first, alike.conv_id, null)")).drop("first", "alike"), ["conv_id"], "near")
+    ids = ids.select("conv_id", "same_id", F.coalesce("same_id", "near.conv_id").alias("other_id"))
+    other = c.select(F.col("conv_id").alias("other_id"), F.col("turns").alias("same"), F.col("reply").alias("near"))
+    c = c.join(ids, "conv_id").join(other, "other_id", "left").unionByName(lone, allowMissingColumns=True)
     last = "array_max(transform(turns, (t, i) -> if(t.role = 'assistant', i, -1)))"
     c = c.withColumn("last", F.expr(last))
     swap = F.expr("transform(turns, (t, i) -> if(i = last and near is not null, struct(t.role as role, near as text), t))")
     c = c.withColumn("rejected", F.when(F.col("same_id").isNotNull(), F.col("same")).otherwise(swap))
-    c = c.withColumn("other_id", F.coalesce("same_id", "near_id"))
     longer = _spoken("rejected") > _spoken("turns")
     return c.select("conv_id", "other_id", F.when(longer, F.col("rejected")).otherwise(F.col("turns")).alias("chosen"),
                     F.when(longer, F.col("turns")).otherwise(F.col("rejected")).alias("rejected"))

@@ -347,6 +347,27 @@ def test_chat(spark):
     assert op10_chat.pairs(op10_chat.conversations(d.limit(0))).count() == 0
 
 
+def test_chat_sparse_ids(spark):
+    """Ids far apart, over several ranges: the next one that opens alike, else the next one's reply."""
+    rnd = random.Random(10)
+    ids = sorted(rnd.sample(range(-10 ** 12, 10 ** 12), 120))
+    opening = {i: f"q{rnd.choice([0, 0, 0, *range(1, 60)])}" for i in ids}
+    turns = [(i, k, *t) for i in ids for k, t in enumerate([("user", opening[i]), ("assistant", f"a{i}")])]
+    d = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["conv_id"]: r for r in op10_chat.format_pairs(op10_chat.pairs(op10_chat.conversations(d))).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(got) == ids
+    for k, i in enumerate(ids):
+        alike = [j for j in ids[k + 1:] if opening[j] == opening[i]]
+        other = alike[0] if alike else ids[k + 1] if k + 1 < len(ids) else None
+        assert got[i]["other_id"] == other and got[i]["prefix_turns"] == (2 if other is None else 1)
+        texts = {got[i][f"{s}_text"] for s in ("chosen", "rejected")}
+        assert texts == ({""} if other is None else {f"<|assistant|>\na{j}<|end|>\n" for j in (i, other)})
+
+
 def test_slices_and_lists():
     from curvethin.llm import textops as T
 
