@@ -3,7 +3,8 @@
 Base spans (always reported): ``assign`` (a password-like name, = or :, and a value of 6 or more characters),
 ``access`` (AKIA keys of 20 or more characters), ``hex`` (24 or more hex digits).
 
-Weak parts are reported only when complementary parts co-occur within ``SCOPE`` characters of the same text:
+Weak parts are reported only when complementary parts co-occur in the same text, at most ``SCOPE`` characters lying between
+the end of one and the start of the other:
 
 - ``identifier`` (user, client or account names being set, short access keys) needs a ``secret`` or a base span;
 - ``secret`` (24 or more characters of a base64-like alphabet, with a digit, upper- and lower-case) needs an
@@ -11,8 +12,8 @@ Weak parts are reported only when complementary parts co-occur within ``SCOPE``
 - ``endpoint`` (a URL or host with port) needs an identifier and a secret or base span.
 
 Matches are found by splitting a text at its matches: piece lengths and match lengths, summed in order, give
-the offsets. Parts are linked by an interval join within a text, written as a range window over the parts' starts, so each
-part meets only those in reach and no pairs are formed.
+the offsets. Parts are linked by an interval join within a text, written as running windows over the parts in order: of each
+kind, the furthest end of those that start before a part (or with it) and the first start of those after it. No pairs are formed.
 
 Defined results: null counts as empty; offsets are code points, end exclusive; rows without parts have empty
 lists; repeated rows (same doc_id and text) give equal results; further columns are ignored.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curvethin.llm import textops as T
@@ -34,7 +35,7 @@ FORMATS = {
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"[0-9a-f]{24,}",
     "identifier": r"""(?i:(?<![a-z])(?:client_?id|access_?key_?id|user(?:_?name)?|login|account(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,64}|(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{8,15}(?![A-Z0-9])""",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])(?=[a-z0-9+/_-]{0,80}[A-Z])(?=[A-Z0-9+/_-]{0,80}[a-z])[A-Za-z0-9+/_-]{24,}={0,2}",
+    "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}",
     "endpoint": r"""https?://[A-Za-z0-9.:/_~%?&=#@-]{4,}|(?<![A-Za-z0-9.-])[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}(?![0-9])""",
 }
 KINDS = list(FORMATS)
@@ -58,6 +59,8 @@ def _matches(texts: DataFrame) -> DataFrame:
             rows = rows.where(F.length(F.regexp_extract("hit", pattern, 2)) >= 6)
         if name == "access":
             rows = rows.where("n >= 20")
+        if name == "secret":
+            rows = rows.where(F.col("hit").rlike("[0-9]") & F.col("hit").rlike("[A-Z]") & F.col("hit").rlike("[a-z]"))
         found.append(rows.select("did", "tag", F.lit(k).alias("kind"), (F.col("end") - F.col("n")).cast("int").alias("start"), F.col("end").cast("int").alias("end")))
     return reduce(DataFrame.unionByName, found)
 
@@ -68,12 +71,19 @@ def find(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("tag", F.xxhash64("text"))
     texts = T.cut(rows.where(F.col("text").rlike(_SOME)).select("did", "tag", "text").dropDuplicates(["did", "tag"]))
     parts = _matches(texts)
-    near = Window.partitionBy("did", "tag").orderBy("start").rangeBetween(-SCOPE, SCOPE)
+    # ranges, not rows: parts with equal starts are in both
+    before = Window.partitionBy("did", "tag").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("did", "tag").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     is_ = {k: F.col("kind") == i for i, k in enumerate(KINDS)}
-    id_ = F.max((is_["identifier"] | is_["access"]).cast("int")).over(near) == 1
-    base = F.max((F.col("kind") < len(BASE)).cast("int")).over(near) == 1
-    secret = F.max(is_["secret"].cast("int")).over(near) == 1
-    place = F.max(is_["endpoint"].cast("int")).over(near) == 1
+
+    def near(which: Column) -> Column:
+        ends, starts = F.max(F.when(which, F.col("end"))).over(before), F.min(F.when(which, F.col("start"))).over(after)
+        return F.coalesce(F.col("start") - ends <= SCOPE, F.lit(False)) | F.coalesce(starts - F.col("end") <= SCOPE, F.lit(False))
+
+    id_ = near(is_["identifier"] | is_["access"])
+    base = near(F.col("kind") < len(BASE))
+    secret = near(is_["secret"])
+    place = near(is_["endpoint"])
     linked = (F.when(is_["identifier"], base | secret).when(is_["secret"], id_ | place).when(is_["endpoint"], id_ & (base | secret)).otherwise(True))
     spans = parts.withColumn("reported", linked).groupBy("did", "tag").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "reported"))).alias("spans"))
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,reported:boolean>>)")

@@ -330,6 +330,20 @@ def test_secrets(spark, empty):
     assert op9_secrets.find(empty).count() == 0
 
 
+def test_secrets_gaps(spark):
+    """Distances count from the end of a part to the start of the next; a token's digit or letter case may come late."""
+    weak, late = "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8Qr" * 30, "aB" * 100 + "7"
+    data = {1: (f"{weak} user: bob", ["secret", "identifier"]), 2: (f"user: bob {weak}", ["identifier", "secret"]),
+            3: (f"{weak} https://example.org/x", ["secret"]), 4: (f"user: bob {late}", ["identifier", "secret"]),
+            5: (f"{late}{' ' * 400}user: bob", ["secret", "identifier"]), 6: (f"{late}{' ' * 401}user: bob", []),
+            7: (f"user: bob{' ' * 400}{late}", ["identifier", "secret"]), 8: (f"user: bob{' ' * 401}{late}", []),
+            9: (f"{weak} user: bob at https://example.org/{'x' * 500} user: eve", ["secret", "identifier", "endpoint"]),  # eve is too far
+            10: (f"user: bob {'aB' * 100}", [])}
+    d = spark.createDataFrame([(i, t) for i, (t, _) in data.items()], "doc_id long, text string")
+    got = {r["doc_id"]: [op9_secrets.KINDS[s["kind"]] for s in r["spans"] if s["reported"]] for r in op9_secrets.find(d).collect()}
+    assert got == {i: w for i, (_, w) in data.items()}
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "hello you"), (2, 1, "assistant", "hello you"),
              (3, 0, None, None), (4, 0, "user", "q"), (4, 1, "assistant", "é\U0001F600"), (None, 0, "user", "x"), (None, 0, "user", "x"), (None, 1, "assistant", "y")]
