@@ -12,7 +12,8 @@ to the item.
    are enough. Each such window keeps the length of the item, and equal windows of all documents are one content.
 3. Contents and items get 64-bit SimHash fingerprints: sums per bit, packed as 32-bit lanes of 32 longs.
 4. Multi-index Hamming blocks: 64 bits in ``RADIUS + 1`` blocks; fingerprints within ``RADIUS`` bits agree in one
-   block at least, so the join on (length, block number, block) misses none of them.
+   block at least, so the join on (length, block number, block) misses none of them. By the angle model (each bit differs with
+   the angle's share of a half turn) a window at exactly ``SIMILARITY`` lies beyond the radius once in 500 million.
 5. Exact weighted-shingle similarity verifies each candidate.
 
 The benchmark is met in blocks of consecutive items, cut by their running number of words: a block has at most
@@ -37,7 +38,7 @@ from curvethin.llm import textops as T
 
 SIZE = 5
 SIMILARITY = 0.75
-RADIUS = 20
+RADIUS = 31
 BLOCK_SHINGLES = 500_000  # at most 32 MB as a broadcast hash table
 LANES = 32
 HITS = 1000

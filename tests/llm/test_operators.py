@@ -220,6 +220,16 @@ def test_decontaminate_own_text(spark):
     assert op2_decontaminate.clean(d, bench.limit(0)).count() == len(data)
 
 
+def test_decontaminate_at_threshold(spark):
+    """Windows at exactly SIMILARITY: the fingerprints' radius loses none of 4000."""
+    n = 4000
+    words = [[f"r{k}x{j}" for j in range(25)] for k in range(n)]  # 21 shingles, of which the changed end leaves 18: 18 / 24
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "item_id long, text string")
+    d = spark.createDataFrame([(k, " ".join([*w[:22], "y1", "y2", "y3"])) for k, w in enumerate(words)], "doc_id long, text string")
+    got = op2_decontaminate.matches(d, bench).select("doc_id", "item_id", "similarity").collect()
+    assert len(got) == n and all(r["doc_id"] == r["item_id"] and r["similarity"] == 0.75 for r in got)
+
+
 def test_toxicity(spark):
     rnd = random.Random(3)
     calm = ["tree", "river", "stone", "cloud", "house", "garden", "table", "window", "paper", "bread"]
