@@ -13,6 +13,7 @@ from curvethin.llm import (
     op8_quality,
     op9_secrets,
     op10_chat,
+    op11_bpe,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": op8_quality.query,
     "op9_secrets": op9_secrets.query,
     "op10_chat": op10_chat.query,
+    "op11_bpe": op11_bpe.query,
 }
 
 ORACLES = {

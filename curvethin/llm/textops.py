@@ -141,10 +141,10 @@ def chunks(text: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.nda
         i = j
 
 
-def by_chunk(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def by_chunk(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) for each run of whole texts in the batches."""
     for batch in batches:
-        for i, j, data, off in chunks(batch.column(column)):
+        for i, j, data, off in chunks(batch.column(column), size):
             yield batch.slice(i, j - i), data, off
 
 
