@@ -14,6 +14,8 @@ from curvethin.llm import (
     op9_secrets,
     op10_chat,
     op11_bpe,
+    op12_repair,
+    op13_merkle,
 )
 
 QUERIES = {
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_secrets": op9_secrets.query,
     "op10_chat": op10_chat.query,
     "op11_bpe": op11_bpe.query,
+    "op12_repair": op12_repair.query,
+    "op13_merkle": op13_merkle.query,
 }
 
 ORACLES = {
@@ -37,4 +41,6 @@ ORACLES = {
     "op5_mix_sources": op5_mix.ORACLE,
     "op7_ngram_join": op7_ngram_join.ORACLE,
     "op10_chat": op10_chat.ORACLE,
+    "op12_repair": op12_repair.ORACLE,
+    "op13_merkle": op13_merkle.ORACLE,
 }
