@@ -23,8 +23,8 @@ DEFAULT_START = 0.1
 DEFAULT_STEP = 0.1
 CONFIG_POSITIONS = {"threshold": 2, "pre": 3, "post": 4, "target": 5, "start": 6, "step": 7}
 
-# Each level adds about five expressions to the plan.
-MAX_LEVELS = 100
+# A level costs a few array operations a task; so many doubles are kept for each series whose fits are all asked for.
+MAX_LEVELS = 10_000
 
 ANCHOR_MODES = ("origin", "first")
 

@@ -34,15 +34,14 @@ from pyspark.sql import functions as F
 
 from ..config import ThinConfig
 from ..functions import exprs as X
+from ..session import checkpoint_dir
+from ..sources.rows import ROW_ID
 from .series import join_same, number_rows, series_sizes, with_regions
 
 # Columns the scoring adds (besides row_num / n when it numbers the rows).
 SCORE_COLUMNS = ["region", "n_mid", "mpos", "sig", "rnk", "entry", "level", "fit",
                  "failed", "keep"]
 
-# Share of rows in series kept whole above which they bypass the scan stages.
-SHORT_SHARE = 0.5
-
 # Number of hot series above which the hot-key list is not broadcast.
 BROADCAST_KEY_LIMIT = 1_000_000
 
@@ -51,8 +50,6 @@ def point(x: str | Column, y: str | Column) -> Column:
     return F.struct(X.col(x).alias("x"), X.col(y).alias("y"))
 
 
-
-
 MIDDLE = "region = 'middle'"
 INTERIOR = f"({MIDDLE} AND mpos > 1 AND mpos < n_mid)"
 END = f"({MIDDLE} AND (mpos = 1 OR mpos = n_mid))"
@@ -66,15 +63,10 @@ def is_interior() -> Column:
     return F.expr(INTERIOR)
 
 
-
-
 def prev_eligible_sql(cfg: ThinConfig) -> str:
     return f"({MIDDLE} AND mpos > 1)" if cfg.leading_anchor == "origin" else f"({MIDDLE})"
 
 
-LONG = "region IN ('head', 'tail', 'middle')"
-
-
 def kept_value_sql(level: int, cond: str, value: str) -> str:
     return f"CASE WHEN entry <= {level} AND {cond} THEN {value} END"
 
@@ -85,15 +77,9 @@ def kept_point_sql(level: int, cond: str) -> str:
             f"THEN named_struct('x', _x, 'y', _y) END")
 
 
-
-
-
-
 BAD_SQL = "(_y IS NULL OR isnan(_y) OR abs(_y) = CAST('inf' AS DOUBLE))"
 
 
-
-
 def entry_sql(cfg: ThinConfig) -> str:
     return (f"CASE WHEN {END} THEN 0 WHEN {INTERIOR} THEN "
             f"{X.entry_level_sql('rnk', 'n_mid - 2', cfg.levels())} END")
@@ -134,13 +120,10 @@ KEEP = (f"NOT failed AND (region IN ('pass', 'head', 'tail', 'all') "
 def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y",
                 row_num: str = "row_num", size: str = "n", detail: bool = False,
                 order: Sequence[str | Column] | None = None,
-                skip_short: bool = False, view_level: int | None = None) -> DataFrame:
+                view_level: int | None = None) -> DataFrame:
     """Score rows with windows over ``partitionBy(keys)``: one exchange for
     the whole operator and five window stages.
 
-    ``skip_short``: rows of series kept whole leave after the first stage
-    (a second branch over the same input; worth it when they are many).
-
     With ``order`` the rows are numbered here (``row_num``, series size
     ``size``) in the same window stage as the neighbours; without it they
     must already carry ``row_num`` (1..n, consecutive) and ``size``.
@@ -161,10 +144,6 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
         wx = wp.orderBy(row_num)
         d = df.select("*", F.lag(y).over(wx).alias("_yp"), F.lead(y).over(wx).alias("_yn"))
     d = with_regions(d, cfg, row_num, size)
-    rest = None
-    if skip_short and view_level is None:
-        rest = _untouched(d.filter(F.expr(f"NOT ({LONG})")), detail)
-        d = d.filter(F.expr(LONG))
     rn, yq = X.q(row_num), X.q(y)
     # a text that is no number becomes null, which fails its own pair only
     xd, yd = f"CAST({rn} AS DOUBLE)", f"TRY_CAST({yq} AS DOUBLE)"
@@ -215,20 +194,7 @@ def score_local(df: DataFrame, keys: Sequence[str], cfg: ThinConfig, y: str = "y
                  fits_column(cfg, [f"_sse{lv}" for lv in levels], f"({sst})").alias("_fits"))
     if view_level is not None:
         d = d.select("*", *view_columns(cfg, view_level))
-    out = finish(d, cfg, detail)
-    return out if rest is None else out.unionByName(rest)
-
-
-def _untouched(d: DataFrame, detail: bool) -> DataFrame:
-    """Scoring columns for rows of series that are kept whole."""
-    cols = [F.lit(None).cast("double").alias("sig"), F.lit(None).cast("bigint").alias("rnk"),
-            F.lit(None).cast("int").alias("entry"), F.lit(False).alias("failed"),
-            F.lit(None).cast("int").alias("level"), F.lit(None).cast("double").alias("fit"),
-            F.lit(True).alias("keep")]
-    if detail:
-        cols.append(F.lit(None).cast("array<double>").alias("level_fits"))
-    d = d.select("*", *cols)
-    return d.select(*[c for c in d.columns if not c.startswith("_")])
+    return finish(d, cfg, detail)
 
 
 def view_columns(cfg: ThinConfig, level: int) -> list[Column]:
@@ -264,7 +230,7 @@ def finish(d: DataFrame, cfg: ThinConfig, detail: bool) -> DataFrame:
     if detail:
         extra.append(F.expr(f"CASE WHEN {thinned} THEN _fits END").alias("level_fits"))
     d = d.select("*", *extra)
-    return d.select(*[c for c in d.columns if not c.startswith("_")])
+    return d.select(*[c for c in d.columns if not c.startswith("_") or c == ROW_ID])
 
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str | Column],
@@ -284,31 +250,21 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
     return df.select(*ids, F.inline(F.array(*pairs)))
 
 
-def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, detail: bool,
-                row_num: str, size: str, category: str, skip: bool,
+def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, out: Sequence[str],
+                kept_only: bool, row_num: str, size: str, category: str,
                 pairs: DataFrame | None = None, view_level: int | None = None) -> DataFrame:
-    """Window path.  With ``skip`` and several metrics, rows of series kept
-    whole leave right after the numbering (before the unpivot)."""
-    if isinstance(y, str) or not skip:
+    """Series that fit in a task: one pass over sorted rows, or windows for a view of one level."""
+    if view_level is not None:
         d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order), skip,
-                           view_level)
-    numbered = number_rows(df, keys, order, row_num, size)
-    n = X.q(size)
-    long_sql = f"({n} > {cfg.threshold} AND {n} - {cfg.pre} - {cfg.post} > 0)"
-    ids = [c for c in numbered.columns if c not in set(map(str, y.values()))]
-    long = _only(unpivot_metrics(numbered.filter(F.expr(long_sql)), ids, y, category, "y"),
-                 pairs, keys, category)
-    short = _only(unpivot_metrics(numbered.filter(F.expr(f"NOT {long_sql}")), ids, y, category,
-                                  "y"), pairs, keys, category)
-    scored = score_local(long, keys + [category], cfg, "y", row_num, size, detail)
-    rest = _untouched(with_regions(short, cfg, row_num, size), detail)
-    return scored.unionByName(rest)
-
-
-def _own_order(y, order):
-    """A single metric is numbered inside score_local's first window stage."""
-    return order if isinstance(y, str) else None
+        own_order = order if isinstance(y, str) else None  # numbered in the first window stage
+        return score_local(d, gk, cfg, v, row_num, size, False, own_order, view_level=view_level)
+    from .scan import scan_series  # local import, as split
+
+    many = not isinstance(y, str)
+    carry = [c for c in df.columns if not (many and c in set(map(str, y.values())))]
+    cols = (["y"] if many else []) + list(out)
+    d = scan_series(df, keys, order, y, cfg, cols, carry, kept_only, row_num, size, category)
+    return _only(d, pairs, keys, category)
 
 
 def _only(long: DataFrame, pairs: DataFrame | None, keys: list[str], category: str) -> DataFrame:
@@ -336,63 +292,94 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
           y: str | Mapping[str, str | Column], cfg: ThinConfig, detail: bool = False,
           split: str = "auto", row_num: str = "row_num", size: str = "n",
           category: str = "zip_category", pairs: DataFrame | None = None,
-          view_level: int | None = None) -> DataFrame:
+          view_level: int | None = None, out: Sequence[str] | None = None,
+          kept_only: bool = False) -> DataFrame:
     """Number the rows of each series by ``order`` and score them.
 
     y: the metric column, or ``{tag: column}`` to thin several metrics of the
        same rows at once (output has one row per row and tag, tag in
-       ``category``; rows are numbered before the unpivot, so the numbering
-       exchange on ``keys`` also serves the per-metric windows).
+       ``category``).
     split: "auto" routes series longer than ``cfg.max_series_rows`` to the
-       split path; one aggregate over the key columns decides it, and also
-       whether rows of series kept whole (``n <= threshold``) are many enough
-       to bypass the scan stages.  "never" keeps everything on the window
-       path without that aggregate; "always" forces the split path.
+       split path; one aggregate over the key columns decides it.  "never"
+       skips that aggregate; "always" forces the split path.
     pairs: with several metrics, an optional bounded table of (keys, tag)
-       pairs to thin; other pairs are left out before the window stages.
+       pairs to thin; others are left out of the result.
     view_level: also return, for middle rows, the step-by-step columns at
        that level (x, y, neighbours, kept, prev/next anchors, yhat).
+    out: which of ``SCORE_COLUMNS`` to return (default all); what is not
+       asked for is not sent back from the tasks that scan the rows.
+    kept_only: only kept rows.
     """
     keys = list(keys)
+    out = list(SCORE_COLUMNS if out is None else out) + (["level_fits"] if detail else [])
+    cold_path = lambda d: _score_cold(d, keys, order, y, cfg, out, kept_only, row_num, size,
+                                      category, pairs, view_level)
     if split == "never":
-        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
-        return score_local(d, gk, cfg, v, row_num, size, detail, _own_order(y, order),
-                           view_level=view_level)
+        return cold_path(df)
     from .split import score_split  # local import: split imports this module
 
-    sizes = series_sizes(df, keys, size)
-    n = F.col(size)
-    is_hot = (n > F.lit(cfg.max_series_rows)) if split != "always" else F.lit(True)
-    stats = sizes.agg(F.count(F.when(is_hot, 1)).alias("k"),
-                      F.sum(F.when(is_hot, n)).alias("hot_rows"),
-                      F.sum(F.when(n <= F.lit(cfg.threshold), n)).alias("short_rows"),
-                      F.sum(n).alias("rows")).first()
-    n_hot, hot_rows = int(stats["k"]), int(stats["hot_rows"] or 0)
-    skip = int(stats["short_rows"] or 0) > SHORT_SHARE * int(stats["rows"] or 0)
-    skip = skip and view_level is None
-    if n_hot == 0:
-        return _score_cold(df, keys, order, y, cfg, detail, row_num, size, category, skip, pairs,
-                           view_level)
-    hot = sizes.filter(is_hot).persist()
+    found = _hot_series(df, keys, cfg, size, split)
+    if found is None:
+        return cold_path(df)
+    hot, n_hot, hot_rows = found
     hot_keys, small = hot.select(*keys), n_hot <= BROADCAST_KEY_LIMIT
-    cold = join_same(df, hot_keys, keys, "left_anti", small)
+    cold_scored = cold_path(join_same(df, hot_keys, keys, "left_anti", small))
     warm = join_same(df, hot_keys, keys, "left_semi", small)
-    cold_scored = _score_cold(cold, keys, order, y, cfg, detail, row_num, size, category, skip,
-                              pairs, view_level)
     w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category, pairs)
     n_metrics = 1 if isinstance(y, str) else len(y)
     warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
                               hot_rows * n_metrics, detail=detail, row_num=row_num, size=size,
                               view_level=view_level)
+    if kept_only:
+        warm_scored = warm_scored.filter(F.col("keep"))
     return cold_scored.unionByName(warm_scored.select(*cold_scored.columns))
 
 
+def _hot_series(df: DataFrame, keys: list[str], cfg: ThinConfig, size: str, split: str):
+    """(series for the split path with their sizes, how many, their rows), or None."""
+    sizes = series_sizes(df, keys, size)
+    hot = sizes if split == "always" else sizes.filter(F.col(size) > F.lit(cfg.max_series_rows))
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum(size).alias("rows")).first()
+    if not stats["k"]:
+        return None
+    checkpoint_dir(df.sparkSession)
+    # few rows, read by several plans
+    return hot.checkpoint(eager=True), int(stats["k"]), int(stats["rows"])
+
+
+def mark(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+         metrics: Mapping[str, str | Column], cfg: ThinConfig, carry: Sequence[str],
+         split: str = "auto") -> DataFrame:
+    """``carry``, ``row_num``, ``n`` and the bit masks ``kept`` and ``failed`` (over the metrics, in
+    their order) of each row that a metric keeps, or whose series fails one."""
+    from .scan import mark_series
+    from .split import score_split
+
+    keys, carry = list(keys), list(carry)
+    cold = lambda d: mark_series(d, keys, order, metrics, cfg, carry)
+    found = None if split == "never" else _hot_series(df, keys, cfg, "n", split)
+    if found is None:
+        return cold(df)
+    hot, n_hot, hot_rows = found
+    hot_keys, small = hot.select(*keys), n_hot <= BROADCAST_KEY_LIMIT
+    w, wk, wv = _prepare(join_same(df, hot_keys, keys, "left_semi", small), keys, metrics, False,
+                         order, "row_num", "n", "zip_category")
+    scored = score_split(w, wk, order, wv, cfg, hot, n_hot * len(metrics), hot_rows * len(metrics))
+    bit = F.expr("CASE zip_category " + " ".join(
+        f"WHEN '{tag}' THEN {1 << i}" for i, tag in enumerate(metrics)) + " END")
+    mask = lambda c: F.coalesce(F.bit_or(F.when(F.col(c), bit)), F.lit(0)).cast("int")
+    marks = (scored.groupBy(*carry, "row_num", "n").agg(mask("keep").alias("kept"), mask("failed").alias("failed"))
+                   .filter((F.col("kept") != 0) | (F.col("failed") != 0)))
+    rest = cold(join_same(df, hot_keys, keys, "left_anti", small))
+    return rest.unionByName(marks.select(*rest.columns))
+
+
 def thin(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,
          cfg: ThinConfig, split: str = "auto") -> DataFrame:
     """Kept rows of ``df`` (its own columns plus ``row_num``)."""
     cols = df.columns
-    s = score(df, keys, order, y, cfg, split=split)
-    return s.filter(F.col("keep")).select(*cols, "row_num")
+    s = score(df, keys, order, y, cfg, split=split, out=[], kept_only=True)
+    return s.select(*cols, "row_num")
 
 
 def level_view(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,

@@ -321,12 +321,20 @@ def _thin_metric(tag):
 
 
 def q_thin_all_metrics(spark, sf):
-    s = P.score_metrics(_a_loaded(spark, sf), CFG_A).filter(F.col("keep"))
+    s = P.score_metrics(_a_loaded(spark, sf), CFG_A, out=[], kept_only=True)
     return present(s.select(*FX.PROCESS_KEYS, "row_num", "zip_category"))
 
 
+def _a_kept(spark, sf, metrics=None):
+    """Kept wide rows of the stored table: narrow columns are thinned, wide rows fetched by their ids."""
+    rows, table = FX.process_source(spark, sf)
+    marks = P.mark_rows(P.repair_metrics(rows), CFG_A, metrics, carry=["sequence_id"])
+    # seen as process rows before they are copied for each tag
+    return P.tagged(P.repair_metrics(FX.process_view(P.fetch_marked(table, marks))), metrics)
+
+
 def q_keep_wide_rows(spark, sf):
-    d = P.thin_metrics(_a_loaded(spark, sf), CFG_A)
+    d = _a_kept(spark, sf)
     return present(d.select("handle", "zip_category", "row_num", "sequence_id", "site", "sfc",
                             "pv_voltage", "pv_current", "pv_temperature", "pv_charge_capacity",
                             "pv_charge_energy", "created_date_time"))
@@ -346,7 +354,7 @@ def q_string_metrics(spark, sf):
 
 def q_typed_sink(spark, sf):
     """The sink's rows of a source whose columns are all text."""
-    kept = P.thin_metrics(_a_loaded(spark, sf), CFG_A, {"V": "pv_voltage"})
+    kept = _a_kept(spark, sf, {"V": "pv_voltage"})
     text = kept.select(*[F.col(c).cast("string").alias(c) for c in kept.columns])
     return present(P.compressed_output(text, RUN_TS).select(
         "handle", "sequence_id", "step_id", "pv_voltage", "pv_charge_energy", "created_date_time"))
@@ -402,8 +410,7 @@ def q_scalar_kit(spark, sf):
 
 
 def q_compressed_output(spark, sf):
-    kept = P.thin_metrics(_a_loaded(spark, sf), CFG_A)
-    return present(P.compressed_output(kept, RUN_TS))
+    return present(P.compressed_output(_a_kept(spark, sf), RUN_TS))
 
 
 def _status_update(spark, sf, value):

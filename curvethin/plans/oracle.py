@@ -344,8 +344,7 @@ SELECT c.event_type, CAST(c.lvl AS BIGINT) AS level, round(f.fit, 6) AS fit FROM
     wide = ["handle", "zip_category", "row_num", "sequence_id", "site", "sfc", "pv_voltage", "pv_current",
             "pv_temperature", "pv_charge_capacity", "pv_charge_energy", "created_date_time"]
     join_back = f"""
-wk AS (SELECT f.*, k.zip_category, k.rn AS row_num FROM fixed f JOIN kp k
-       ON f.handle = k.handle)"""
+wk AS (SELECT f.*, k.zip_category FROM arows f JOIN kp k ON {_same("f", "k", KEYS)} AND f.row_num = k.rn)"""
     q["keep_wide_rows"] = ath + "," + join_back + f"\nSELECT {_cols(wide)} FROM wk"
     # null remark, null handles and repeated rows: numbered once, joined on the number
     odd = """
@@ -378,7 +377,7 @@ SELECT concat_ws(',', f.handle, 'V', '{C.RUN_TS[:10]}') AS handle, CAST(f.sequen
        CAST(f.step_id AS BIGINT) AS step_id, CAST(f.pv_voltage AS DOUBLE) AS pv_voltage,
        CAST(f.pv_charge_energy AS DOUBLE) AS pv_charge_energy,
        strftime(f.created_date_time, '%Y-%m-%d %H:%M:%S') AS created_date_time
-FROM fixed f JOIN kp ON f.handle = kp.handle"""
+FROM arows f JOIN kp k ON {_same("f", "k", KEYS)} AND f.row_num = k.rn"""
     # the sink's columns, in its order
     out_cols = ["handle", "site", "remark", "sfc", "resource_id", "channel_id", "sequence_id", "cycle", "step_id",
                 "step_name", "test_time_duration", "timestamp", "sv_ic_range", "sv_iv_range", "pv_voltage",

@@ -7,9 +7,13 @@ Plan shape (one pass, no driver hop):
   batch size), joined to the process rows by broadcast;
 * the narrow projection (keys, order, five metrics) is numbered once and
   unpivoted; all windows share one exchange on the series keys;
-* the kept (row, metric) set is joined back to the wide rows on (keys,
-  row_num), null keys being equal: one to one whatever columns repeat or are
-  null, and on a key by which a long series spreads over many tasks.
+* rows of a stored table carry the id of their place in it: the kept ids with
+  the metrics that keep them are looked up while the table is scanned a second
+  time, so wide rows are neither numbered nor sorted, nor exchanged while the
+  kept ids are few enough to broadcast;
+* rows of other sources are joined back on (keys, row_num), null keys being
+  equal: one to one whatever columns repeat or are null, and on a key by which a
+  long series spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -25,9 +29,10 @@ from pyspark.sql.types import StringType
 from ..config import ThinConfig
 from ..functions import exprs as X
 from ..operators.series import join_same, number_rows
-from ..operators.thin import score
-from ..session import checkpoint_dir
+from ..operators.thin import mark, score
+from ..session import checkpoint_dir, store
 from ..sources.fixtures import FLAG_COLUMNS, PROCESS_COLUMNS, PROCESS_KEYS, PROCESS_ORDER
+from ..sources.rows import ROW_ID, fetch
 
 # Metric tags and the process column each one thins.
 METRICS = {
@@ -104,12 +109,14 @@ def load_rows(process: DataFrame, keys: DataFrame | None, broadcast_keys: bool =
     if keys is not None:
         k = keys.select(*PROCESS_KEYS).dropDuplicates(PROCESS_KEYS)
         rows = join_same(rows, k, PROCESS_KEYS, "left_semi", broadcast_keys)
-    return repair_metrics(rows).select(*PROCESS_COLUMNS)
+    ids = [ROW_ID] if ROW_ID in rows.columns else []
+    return repair_metrics(rows).select(*PROCESS_COLUMNS, *ids)
 
 
 def score_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
                   detail: bool = False, split: str = "auto",
-                  pairs: DataFrame | None = None, position: str | None = None) -> DataFrame:
+                  pairs: DataFrame | None = None, position: str | None = None,
+                  out: Sequence[str] | None = None, kept_only: bool = False) -> DataFrame:
     """Narrow scored points: one row per (process row, metric); with
     ``pairs`` only the listed (series keys, zip_category) pairs, with
     ``position`` in the order of that column (1..n of each series)."""
@@ -118,7 +125,7 @@ def score_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] |
     at = PROCESS_ORDER if position is None else [F.col(position).alias("_position")]
     narrow = rows.select(*PROCESS_KEYS, *at, *sorted(set(metrics.values())))
     return score(narrow, PROCESS_KEYS, order, metrics, cfg, detail=detail, split=split,
-                 pairs=pairs)
+                 pairs=pairs, out=out, kept_only=kept_only)
 
 
 # The status flag of each metric tag.
@@ -161,10 +168,40 @@ def update_status_per_metric(status: DataFrame, outcome: DataFrame,
     return j.withColumns(new).select(*status.columns)
 
 
+def mark_rows(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
+              split: str = "auto", carry: Sequence[str] = ()) -> DataFrame:
+    """What each row with a ``_row_id`` is kept for: see :func:`curvethin.operators.thin.mark`."""
+    metrics = dict(metrics or METRICS)
+    narrow = rows.select(*PROCESS_KEYS, *PROCESS_ORDER, *sorted(set(metrics.values())), ROW_ID)
+    return mark(narrow, PROCESS_KEYS, PROCESS_ORDER, metrics, cfg, [ROW_ID, *carry], split)
+
+
+def tagged(rows: DataFrame, metrics: Mapping[str, str] | None = None) -> DataFrame:
+    """A copy of each row for each metric in its mask ``kept``, tagged in ``zip_category``."""
+    tags = F.array(*[F.when(F.col("kept").bitwiseAND(F.lit(1 << i)) != 0, F.lit(t))
+                     for i, t in enumerate(metrics or METRICS)])
+    return rows.withColumn("zip_category", F.explode(F.array_compact(tags))).drop("kept")
+
+
+def fetch_marked(wide: DataFrame, marks: DataFrame) -> DataFrame:
+    """The stored rows that ``marks`` keeps, with ``row_num``, the mask ``kept`` and what ``marks`` carries.
+    Wide rows are read where they lie and only looked up in the marks."""
+    return fetch(wide, marks.filter(F.col("kept") != 0).drop("n", "failed"))
+
+
+def fetch_kept(wide: DataFrame, marks: DataFrame, metrics: Mapping[str, str] | None = None) -> DataFrame:
+    """``fetch_marked``, one copy for each tag."""
+    return tagged(fetch_marked(wide, marks), metrics)
+
+
 def thin_metrics(rows: DataFrame, cfg: ThinConfig, metrics: Mapping[str, str] | None = None,
                  split: str = "auto") -> DataFrame:
     """Kept wide rows, one copy per metric that keeps them, tagged in
-    ``zip_category``; plus ``row_num``."""
+    ``zip_category``; plus ``row_num``.  Rows with a ``_row_id`` (see
+    :func:`curvethin.sources.rows.with_ids`) are marked by their narrow columns
+    and fetched from their files; others are numbered and joined back."""
+    if ROW_ID in rows.columns:
+        return fetch_kept(rows, mark_rows(rows, cfg, metrics, split), metrics)
     numbered = number_process_rows(rows, cfg)
     s = score_metrics(numbered, cfg, metrics, split=split, position="row_num")
     return join_back(numbered, s.filter(F.col("keep")))
@@ -210,11 +247,11 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
     """New version of the status table: rows of ``keys`` get ``value`` in the
     given flags and a fresh stamp; others are unchanged.
 
-    ``keys`` may carry a ``value`` column (per-key outcome); ``value`` may
-    then be ``F.col("value")``.  A left join + coalesce, i.e. ``UPDATE ... FROM`` as a new table version.
+    ``keys`` may carry a ``value`` column (per-key outcome) and a ``run_ts``; ``value`` may
+    then be ``F.col("value")``, ``run_ts`` its column.  Status rows that share a key are all updated.  A left join + coalesce, i.e. ``UPDATE ... FROM`` as a new table version.
     """
     ts = run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp")
-    k = keys.select(*PROCESS_KEYS, *(["value"] if "value" in keys.columns else []))
+    k = keys.select(*PROCESS_KEYS, *[c for c in ("value", "run_ts") if c in keys.columns])
     k = k.withColumn("_hit", F.lit(True))
     j = join_same(status, k, PROCESS_KEYS, "left", broadcast_keys)
     hit = F.col("_hit").isNotNull()
@@ -226,6 +263,31 @@ def update_status(status: DataFrame, keys: DataFrame, value: int | Column,
     return j.withColumns(new).select(*status.columns)
 
 
+def run_time(run_ts: str | _dt.datetime | None = None) -> str:
+    """The given run time as text, or the present one (UTC)."""
+    if run_ts is None:
+        run_ts = _dt.datetime.now(_dt.timezone.utc)
+    return run_ts.strftime("%Y-%m-%d %H:%M:%S") if isinstance(run_ts, _dt.datetime) else str(run_ts)
+
+
+def thin_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig, run_ts: str, split: str = "auto",
+               small: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(sink rows, outcome: keys with value 1, or 2 where a metric failed) of the given series keys."""
+    rows = load_rows(process, keys, broadcast_keys=small)
+    if ROW_ID in rows.columns:
+        marks = store(mark_rows(rows, cfg, split=split, carry=PROCESS_KEYS))
+        kept = fetch_kept(rows, marks.drop(*PROCESS_KEYS))
+        failed = marks.select(*PROCESS_KEYS, (F.col("failed") != 0).alias("failed"))
+    else:
+        rows = number_process_rows(rows, cfg)
+        scored = store(score_metrics(rows, cfg, split=split, position="row_num", out=["keep", "failed"])
+                       .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed"))
+        kept, failed = join_back(rows, scored.filter(F.col("keep"))), scored
+    outcome = join_same(keys, series_outcome(failed), PROCESS_KEYS, "left").select(
+        *PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1).alias("value"))
+    return compressed_output(kept, run_ts), outcome
+
+
 class BatchFailed(RuntimeError):
     """A batch whose rows could not be scored or written; ``status`` is the status table with its
     keys set to 2, and the cause is chained."""
@@ -236,7 +298,7 @@ class BatchFailed(RuntimeError):
 
 
 def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
-              run_ts: str | _dt.datetime, write: Callable[[DataFrame], None],
+              run_ts: str | _dt.datetime | None, write: Callable[[DataFrame], None],
               shard: int = 0, shards: int = SHARDS, limit: int | None = None,
               split: str = "auto", per_metric_status: bool = False) -> DataFrame:
     """One batch end to end.  Writes the kept rows with ``write`` (one
@@ -252,25 +314,22 @@ def run_batch(process: DataFrame, status: DataFrame, cfg: ThinConfig,
     # one row per batch key: stored, as every later plan reads it
     keys = pending_keys(status, shard, shards, limit).checkpoint(eager=True)
     pairs = pending_pairs(status, keys).checkpoint(eager=True) if per_metric_status else None
-    scored = None
+    run_ts = run_time(run_ts)
     try:
-        rows = number_process_rows(load_rows(process, keys, broadcast_keys=limit is not None), cfg)
-        scored = (score_metrics(rows, cfg, split=split, pairs=pairs, position="row_num")
-                  .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed").persist())
-        write(compressed_output(join_back(rows, scored.filter(F.col("keep"))), run_ts))
-        if pairs is not None:
-            outcome = metric_outcome(pairs, scored).checkpoint(eager=True)
+        if pairs is None:
+            out, outcome = thin_batch(process, keys, cfg, run_ts, split, small=limit is not None)
+            write(out)
+            outcome = outcome.checkpoint(eager=True)
         else:
-            outcome = join_same(keys, series_outcome(scored), PROCESS_KEYS, "left").select(
-                *PROCESS_KEYS, F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1)
-                .alias("value")).checkpoint(eager=True)
+            rows = number_process_rows(load_rows(process, keys, limit is not None).drop(ROW_ID), cfg)
+            scored = store(score_metrics(rows, cfg, split=split, pairs=pairs, position="row_num", out=["keep", "failed"])
+                           .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed"))
+            write(compressed_output(join_back(rows, scored.filter(F.col("keep"))), run_ts))
+            outcome = metric_outcome(pairs, scored).checkpoint(eager=True)
     except Exception as cause:
         failed = (update_status_per_metric(status, pairs.withColumn("value", F.lit(2)), run_ts)
                   if pairs is not None else update_status(status, keys, 2, run_ts))
         raise BatchFailed(failed) from cause
-    finally:
-        if scored is not None:
-            scored.unpersist()
     if pairs is not None:
         return update_status_per_metric(status, outcome, run_ts)
     return update_status(status, outcome, F.col("value"), run_ts)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -54,3 +55,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="curvethin-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_STORED: dict[str, list[str]] = {}  # folders written by ``store``, by application
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Cuts the lineage: written as compressed Parquet under the checkpoint folder and read back."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Deletes what ``store`` wrote in this application; frames that read it are no longer usable."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _STORED.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

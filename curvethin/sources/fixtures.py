@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.series import number_rows
 from .io import read_table
+from .rows import with_ids
 
 DEC = "decimal(20,6)"
 
@@ -41,10 +42,24 @@ FIXTURE_TIME = "2024-01-01 00:00:00"
 
 def process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture A: lineitem viewed as raw process rows (45 columns)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return process_view(_in_sequence(read_table(spark, sf_dir, "lineitem"))).select(*PROCESS_COLUMNS)
+
+
+def process_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fixture A as a stored table with row ids: (its rows in sequence, of which a plan takes the narrow columns it
+    needs, and the table that wide rows are fetched from, to be seen through :func:`process_view`)."""
+    li = with_ids(read_table(spark, sf_dir, "lineitem"))
+    return process_view(_in_sequence(li)), li
+
+
+def _in_sequence(li: DataFrame) -> DataFrame:
     seq_order = ["l_shipdate", "l_orderkey", "l_linestatus", "l_linenumber", "l_partkey",
                  "l_extendedprice"]
-    li = number_rows(li, ["l_suppkey"], seq_order, "sequence_id", None, split="auto")
+    return number_rows(li, ["l_suppkey"], seq_order, "sequence_id", None, split="auto")
+
+
+def process_view(li: DataFrame) -> DataFrame:
+    """Lineitem rows with their ``sequence_id`` as process rows; further columns stay."""
     remark = F.col("l_suppkey").cast("string")
     cyc = (F.col("l_linestatus") == "F").cast("int")
     step = F.col("l_linenumber").cast("int")
@@ -99,7 +114,8 @@ def process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "modified_date_time": F.col("l_shipdate"),
         "modified_user": F.lit("gen"),
     }
-    return li.select(*[cols[c].alias(c) for c in PROCESS_COLUMNS])
+    further = [c for c in li.columns if c not in cols and not c.startswith("l_")]
+    return li.select(*[cols[c].alias(c) for c in PROCESS_COLUMNS], *further)
 
 
 def status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

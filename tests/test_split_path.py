@@ -109,12 +109,10 @@ def test_level_view_split_equals_local(spark, anchor):
     assert rows(a) == rows(b)
 
 
-def test_bypass_of_short_series_changes_no_row(spark, monkeypatch):
-    import curvethin.operators.thin as TH
+def test_routing_changes_no_row(spark):
     rows = P.load_rows(FX.process_rows(spark, SF_SMALL), None)
     keys = FX.PROCESS_KEYS + ["zip_category"]
     cfg = ThinConfig(target=0.5)
-    monkeypatch.setattr(TH, "SHORT_SHARE", 0.0)  # force the bypass
     a = _rows(P.score_metrics(rows, cfg), keys)
     assert a == _rows(P.score_metrics(rows, cfg, split="never"), keys)
 
