@@ -70,7 +70,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         raise ValueError(f"size must be at least {SHINGLE}")
     # one column list for both joins below, so that the exchange of the texts is made once and reused
     docs = docs.select(F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("did", F.hash("text").alias("tag"), "text")
+    docs = _tagged(docs)
 
     def anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in T.by_chunk(batches):
@@ -92,7 +92,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             d = _doc_of(w, at)
             yield _rows(rows, d, T.signed(win), at - w.doc[d])
 
-    schema = "h long, did long, tag int, pos int"
+    schema = "h long, did long, tag long, pos int"
     first = _repeated(docs.mapInArrow(anchor_rows, schema))
     second = _repeated(_with_positions(docs, first).mapInArrow(window_rows, schema))
 
@@ -124,6 +124,17 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return out.select(F.expr(f"nullif(did, {T.NULL_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept", "removed")
 
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """did, tag, text: rows are told apart by did, and where that is null or repeats, also by 64 bits of their text."""
+    again = T.cut(docs.where(f"did <> {T.NULL_ID}L").groupBy("did").count().where("count > 1").select(F.col("did").alias("again")))
+    own, unsure = F.xxhash64("text"), F.col("did") == F.lit(T.NULL_ID)
+    n = again.count()
+    if not n:
+        return docs.select("did", F.when(unsure, own).otherwise(F.lit(0)).alias("tag"), "text")
+    docs = docs.join(F.broadcast(again) if n <= T.FEW else again, F.col("did") == F.col("again"), "left")
+    return docs.select("did", F.when(unsure | F.col("again").isNotNull(), own).otherwise(F.lit(0)).alias("tag"), "text")
+
+
 def _rows(rows: pa.RecordBatch, d: np.ndarray, h: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     """Rows to be counted by h. Those known to repeat have ~pos instead of pos.
 

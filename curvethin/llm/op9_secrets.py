@@ -12,8 +12,9 @@ the end of one and the start of the other:
 - ``endpoint`` (a URL or host with port) needs an identifier and a secret or base span.
 
 Matches are found by splitting a text at its matches: piece lengths and match lengths, summed in order, give
-the offsets. Parts are linked by an interval join within a text, written as running windows over the parts in order: of each
-kind, the furthest end of those that start before a part (or with it) and the first start of those after it. No pairs are formed.
+the offsets. Parts are linked by an interval join within a text, written as running windows over the ends of all parts in order:
+of each kind, the last end at or before a part's start and the first start at or after its end. So parts that overlap (a token
+inside a URL, an identifier that is its own value) never vouch for each other, and no pairs are formed.
 
 Defined results: null counts as empty; offsets are code points, end exclusive; rows without parts have empty
 lists; repeated rows (same doc_id and text) give equal results; further columns are ignored.
@@ -36,7 +37,7 @@ FORMATS = {
     "hex": r"[0-9a-f]{24,}",
     "identifier": r"""(?i:(?<![a-z])(?:client_?id|access_?key_?id|user(?:_?name)?|login|account(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,64}|(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{8,15}(?![A-Z0-9])""",
     "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}",
-    "endpoint": r"""https?://[A-Za-z0-9.:/_~%?&=#@-]{4,}|(?<![A-Za-z0-9.-])[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}(?![0-9])""",
+    "endpoint": r"""https?://[A-Za-z0-9.:/_~%?&=#@-]{4,}|(?<![A-Za-z0-9.-])[a-z0-9-][a-z0-9.-]*:[0-9]{2,5}(?![0-9])""",
 }
 KINDS = list(FORMATS)
 BASE = KINDS[:3]
@@ -61,6 +62,8 @@ def _matches(texts: DataFrame) -> DataFrame:
             rows = rows.where("n >= 20")
         if name == "secret":
             rows = rows.where(F.col("hit").rlike("[0-9]") & F.col("hit").rlike("[A-Z]") & F.col("hit").rlike("[a-z]"))
+        if name == "endpoint":  # parts of a host name are not empty; checked here, as a repeated group would recurse for each part
+            rows = rows.where(F.col("hit").rlike("^https?://") | (F.col("hit").contains(".") & ~F.col("hit").contains("..") & ~F.col("hit").contains(".:")))
         found.append(rows.select("did", "tag", F.lit(k).alias("kind"), (F.col("end") - F.col("n")).cast("int").alias("start"), F.col("end").cast("int").alias("end")))
     return reduce(DataFrame.unionByName, found)
 
@@ -71,20 +74,21 @@ def find(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("tag", F.xxhash64("text"))
     texts = T.cut(rows.where(F.col("text").rlike(_SOME)).select("did", "tag", "text").dropDuplicates(["did", "tag"]))
     parts = _matches(texts)
-    # ranges, not rows: parts with equal starts are in both
-    before = Window.partitionBy("did", "tag").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy("did", "tag").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # each part asks at its start for what ended before, and at its end for what starts after; at one place ends come first
+    asks = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("opens")), F.struct(F.col("end").alias("at"), F.lit(0).alias("opens")))
+    events = parts.withColumn("event", F.explode(asks)).select("did", "tag", "kind", "start", "end", "event.*")
+    text = Window.partitionBy("did", "tag")
+    before = text.orderBy("at", "opens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = text.orderBy(F.desc("at"), F.desc("opens")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_ = {k: F.col("kind") == i for i, k in enumerate(KINDS)}
-
-    def near(which: Column) -> Column:
-        ends, starts = F.max(F.when(which, F.col("end"))).over(before), F.min(F.when(which, F.col("start"))).over(after)
-        return F.coalesce(F.col("start") - ends <= SCOPE, F.lit(False)) | F.coalesce(starts - F.col("end") <= SCOPE, F.lit(False))
-
-    id_ = near(is_["identifier"] | is_["access"])
-    base = near(F.col("kind") < len(BASE))
-    secret = near(is_["secret"])
-    place = near(is_["endpoint"])
-    linked = (F.when(is_["identifier"], base | secret).when(is_["secret"], id_ | place).when(is_["endpoint"], id_ & (base | secret)).otherwise(True))
+    opens = F.col("opens") == 1
+    wanted = {"id": is_["identifier"] | is_["access"], "base": F.col("kind") < len(BASE), "secret": is_["secret"], "place": is_["endpoint"]}
+    gap = {k: F.when(opens, F.col("at") - F.max(F.when(~opens & w, F.col("at"))).over(before))
+           .otherwise(F.min(F.when(opens & w, F.col("at"))).over(after) - F.col("at")) for k, w in wanted.items()}
+    events = events.select("did", "tag", "kind", "start", "end", *[F.coalesce(g <= SCOPE, F.lit(False)).alias(k) for k, g in gap.items()])
+    parts = events.groupBy("did", "tag", "kind", "start", "end").agg(*[F.max(k).alias(k) for k in wanted])
+    linked = (F.when(is_["identifier"], F.col("base") | F.col("secret")).when(is_["secret"], F.col("id") | F.col("place"))
+              .when(is_["endpoint"], F.col("id") & (F.col("base") | F.col("secret"))).otherwise(True))
     spans = parts.withColumn("reported", linked).groupBy("did", "tag").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "reported"))).alias("spans"))
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,reported:boolean>>)")
     return rows.select("doc_id", "did", "tag").join(spans, ["did", "tag"], "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
