@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ThinConfig
+from ..session import checkpoint_dir
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -113,7 +114,8 @@ def _number_rows_routed(df: DataFrame, keys: list[str], order, out: str, size: s
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("rows")).first()
     if int(stats["k"]) == 0:
         return number_rows(df, keys, order, out, size)
-    hot = hot.persist()
+    checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)  # few rows, read by two joins
     k, small = hot.select(*keys), int(stats["k"]) <= SIDE_BROADCAST_ROWS
     cold = number_rows(join_same(df, k, keys, "left_anti", small), keys, order, out, size)
     warm = global_positions(join_same(df, k, keys, "left_semi", small), keys, order, out,

@@ -89,17 +89,20 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
                   .drop("_pid", "_mid", "_base"))
 
 
-def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], y: str,
-                cfg: ThinConfig, sizes: DataFrame, n_series: int, rows: int,
-                detail: bool = False, row_num: str = "row_num", size: str = "n",
+def score_split(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None, y: str,
+                cfg: ThinConfig, n_series: int, rows: int, detail: bool = False,
+                row_num: str = "row_num", size: str = "n",
                 view_level: int | None = None) -> DataFrame:
-    """Score rows of the series in ``sizes`` (keys + ``size``) like
-    :func:`curvethin.operators.scan.scan_series`, block by block."""
+    """Score rows like :func:`curvethin.operators.scan.scan_series`, block by block.
+
+    ``n_series`` and ``rows`` bound the input.  Without ``order`` the rows already have
+    ``row_num`` and ``size``, as stored values.
+    """
     keys = list(keys)
     B = cfg.block_rows
     n_blocks = rows // B + n_series  # bound on (series, block) pairs
 
-    d = global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_series, size)
+    d = df if order is None else global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_series, size)
     d = with_regions(d, cfg, row_num, size)
     d = (d.withColumn("_blk", F.floor((F.col(row_num) - 1) / F.lit(B)).cast("long"))
           .withColumn("_x", F.col(row_num).cast("double"))

@@ -255,7 +255,7 @@ def _score_cold(df: DataFrame, keys: list[str], order, y, cfg: ThinConfig, out:
                 pairs: DataFrame | None = None, view_level: int | None = None) -> DataFrame:
     """Series that fit in a task: one pass over sorted rows, or windows for a view of one level."""
     if view_level is not None:
-        d, gk, v = _prepare(df, keys, y, True, order, row_num, size, category, pairs)
+        d, gk, v = _prepare(df, keys, y, order, row_num, size, category, pairs)
         own_order = order if isinstance(y, str) else None  # numbered in the first window stage
         return score_local(d, gk, cfg, v, row_num, size, False, own_order, view_level=view_level)
     from .scan import scan_series  # local import, as split
@@ -275,19 +275,36 @@ def _only(long: DataFrame, pairs: DataFrame | None, keys: list[str], category: s
     return join_same(long, pairs.select(*keys, category), keys + [category], "left_semi")
 
 
-def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column],
-             numbered: bool, order, row_num: str, size: str, category: str,
-             pairs: DataFrame | None = None):
-    """Number (optionally) and unpivot; returns (frame, group keys, value column)."""
+def _prepare(df: DataFrame, keys: list[str], y: str | Mapping[str, str | Column], order,
+             row_num: str, size: str, category: str, pairs: DataFrame | None = None):
+    """Unpivot several metrics, numbering the rows before; returns (frame, group keys, value column)."""
     if isinstance(y, str):
         return df, keys, y
-    if numbered:
-        df = number_rows(df, keys, order, row_num, size)
+    return _unpivoted(number_rows(df, keys, order, row_num, size), keys, y, category, pairs)
+
+
+def _unpivoted(df: DataFrame, keys: list[str], y: Mapping[str, str | Column], category: str,
+               pairs: DataFrame | None):
     ids = [c for c in df.columns if c not in set(map(str, y.values()))]
     long = _only(unpivot_metrics(df, ids, y, category, "y"), pairs, keys, category)
     return long, keys + [category], "y"
 
 
+def _score_hot(df: DataFrame, keys: list[str], order, y: str | Mapping[str, str | Column],
+               cfg: ThinConfig, n_hot: int, rows: int, detail: bool = False,
+               row_num: str = "row_num", size: str = "n", category: str = "zip_category",
+               pairs: DataFrame | None = None, view_level: int | None = None) -> DataFrame:
+    """The split path.  Rows with several metrics are numbered once, before they are unpivoted."""
+    from .split import global_positions, score_split
+
+    if isinstance(y, str):
+        return score_split(df, keys, order, y, cfg, n_hot, rows, detail, row_num, size, view_level)
+    d = global_positions(df, keys, order, row_num, rows, cfg.sort_rows, n_hot, size)
+    d, group_keys, value = _unpivoted(d, keys, y, category, pairs)
+    return score_split(d, group_keys, None, value, cfg, n_hot * len(y), rows * len(y), detail,
+                       row_num, size, view_level)
+
+
 def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
           y: str | Mapping[str, str | Column], cfg: ThinConfig, detail: bool = False,
           split: str = "auto", row_num: str = "row_num", size: str = "n",
@@ -316,8 +333,6 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                                       category, pairs, view_level)
     if split == "never":
         return cold_path(df)
-    from .split import score_split  # local import: split imports this module
-
     found = _hot_series(df, keys, cfg, size, split)
     if found is None:
         return cold_path(df)
@@ -325,11 +340,8 @@ def score(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     hot_keys, small = hot.select(*keys), n_hot <= BROADCAST_KEY_LIMIT
     cold_scored = cold_path(join_same(df, hot_keys, keys, "left_anti", small))
     warm = join_same(df, hot_keys, keys, "left_semi", small)
-    w, wk, wv = _prepare(warm, keys, y, False, order, row_num, size, category, pairs)
-    n_metrics = 1 if isinstance(y, str) else len(y)
-    warm_scored = score_split(w, wk, order, wv, cfg, hot, n_hot * n_metrics,
-                              hot_rows * n_metrics, detail=detail, row_num=row_num, size=size,
-                              view_level=view_level)
+    warm_scored = _score_hot(warm, keys, order, y, cfg, n_hot, hot_rows, detail, row_num, size,
+                             category, pairs, view_level)
     if kept_only:
         warm_scored = warm_scored.filter(F.col("keep"))
     return cold_scored.unionByName(warm_scored.select(*cold_scored.columns))
@@ -353,7 +365,6 @@ def mark(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     """``carry``, ``row_num``, ``n`` and the bit masks ``kept`` and ``failed`` (over the metrics, in
     their order) of each row that a metric keeps, or whose series fails one."""
     from .scan import mark_series
-    from .split import score_split
 
     keys, carry = list(keys), list(carry)
     cold = lambda d: mark_series(d, keys, order, metrics, cfg, carry)
@@ -362,9 +373,8 @@ def mark(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         return cold(df)
     hot, n_hot, hot_rows = found
     hot_keys, small = hot.select(*keys), n_hot <= BROADCAST_KEY_LIMIT
-    w, wk, wv = _prepare(join_same(df, hot_keys, keys, "left_semi", small), keys, metrics, False,
-                         order, "row_num", "n", "zip_category")
-    scored = score_split(w, wk, order, wv, cfg, hot, n_hot * len(metrics), hot_rows * len(metrics))
+    warm = join_same(df, hot_keys, keys, "left_semi", small)
+    scored = _score_hot(warm, keys, order, metrics, cfg, n_hot, hot_rows)
     bit = F.expr("CASE zip_category " + " ".join(
         f"WHEN '{tag}' THEN {1 << i}" for i, tag in enumerate(metrics)) + " END")
     mask = lambda c: F.coalesce(F.bit_or(F.when(F.col(c), bit)), F.lit(0)).cast("int")

@@ -7,6 +7,7 @@ the same names as its oracle in :mod:`curvethin.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,12 @@ from ..config import ThinConfig
 from ..functions import exprs as X
 from ..operators import series as S
 from ..operators.thin import level_view, score, thin, unpivot_metrics
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, store
 from ..sources import fixtures as FX
-from ..sources.io import config_literals, normalize_blank, read_config
+from ..sources.io import config_literals, normalize_blank, read_config, read_ordered, write_ordered
+from ..sources.sinks import ParquetSink
 from . import pipeline as P
+from .ledger import Ledger, run_ledger
 
 # Parameters of the registered queries (fixed so Spark and SQL agree).
 CFG_A = ThinConfig(target=0.5)
@@ -30,6 +33,7 @@ LEVEL = 3                # fixed level for the step-by-step queries (p = 0.30000
 RUN_TS = "2024-06-30 12:00:00"
 B_KEYS, B_ORDER = ["user_id"], ["ts", "event_id"]
 C_KEYS = ["event_type"]
+PAGE = 250               # keys in a page of the backlog queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -438,6 +442,34 @@ def q_status_per_metric(spark, sf):
     return present(P.update_status_per_metric(status, P.metric_outcome(pairs, scored), RUN_TS))
 
 
+LOAD_ORDER = [*FX.PROCESS_KEYS, *FX.PROCESS_ORDER]
+
+
+def q_ordered_load(spark, sf):
+    """Process rows stored in key and sequence order, each with its place in the stored files."""
+    path = f"{checkpoint_dir(spark)}/ordered-{uuid.uuid4().hex}"
+    rows = FX.process_rows(spark, sf).select(*LOAD_ORDER, "pv_voltage")
+    write_ordered(rows, path, LOAD_ORDER, rows_per_file=20_000)
+    return present(read_ordered(spark, path))
+
+
+def _backlog(spark, sf):
+    """The whole backlog, page by page, into a sink whose batches count once: (status after, the sink's rows)."""
+    root = f"{checkpoint_dir(spark)}/backlog-{uuid.uuid4().hex}"
+    ledger, sink = Ledger(spark, f"{root}/ledger"), ParquetSink(spark, f"{root}/sink")
+    ledger.publish(FX.status_rows(spark, sf))
+    return run_ledger(store(FX.process_rows(spark, sf)), ledger, sink, CFG_A, RUN_TS, limit=PAGE), sink
+
+
+def q_backlog_status(spark, sf):
+    return present(_backlog(spark, sf)[0])
+
+
+def q_backlog_rows(spark, sf):
+    rows = _backlog(spark, sf)[1].read()
+    return present(rows.select("handle", "zip_category", "sequence_id", "pv_voltage", "pv_charge_energy"))
+
+
 def _report(s, keys):
     g = s.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_in"),
@@ -512,6 +544,9 @@ QUERIES: dict[str, Query] = {
     "status_after_success": q_status_after_success,
     "status_after_failure": q_status_after_failure,
     "status_per_metric": q_status_per_metric,
+    "ordered_load": q_ordered_load,
+    "backlog_status": q_backlog_status,
+    "backlog_rows": q_backlog_rows,
     "compression_report": q_compression_report,
     "compression_report_events": q_compression_report_events,
 }

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import ThinConfig
 from ..operators.split import global_positions
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, clear_stored, stored
 from ..sources.files import Records
 from ..sources.fixtures import PROCESS_KEYS
 from . import pipeline as P
@@ -106,7 +106,7 @@ def run_ledger(process: DataFrame, ledger: Ledger, sink, cfg: ThinConfig, run_ts
         if batch in done:
             continue
         keys = plan.filter((F.col("shard") == shard) & (F.col("page") == page)).select(*PROCESS_KEYS)
-        ts = P.run_time(run_ts)
+        ts, held = P.run_time(run_ts), stored(ledger.spark)
         note = lambda outcome: ledger._save(outcome.withColumn("run_ts", F.lit(ts).cast("timestamp")))
         try:
             rows, outcome = P.thin_batch(process, keys, cfg, ts, split, small=limit is not None)
@@ -118,6 +118,7 @@ def run_ledger(process: DataFrame, ledger: Ledger, sink, cfg: ThinConfig, run_ts
             raise P.BatchFailed(P.update_status(ledger.status(version), keys, 2, ts)) from cause
         sink.commit(batch, staged)
         ledger.records.put(f"batches/{version}/{batch}", json.dumps({"outcome": folder, "rows": staged}))
+        clear_stored(ledger.spark, held)  # the batch's own intermediate tables
     status, outcomes = ledger.status(version), ledger.outcomes(version)
     if outcomes is None:
         return status

@@ -399,6 +399,22 @@ FROM arows f JOIN kp k ON {_same("f", "k", KEYS)} AND f.row_num = k.rn"""
         else:
             sel.append(_present(c))
     q["compressed_output"] = ath + "," + join_back + f"\nSELECT {', '.join(sel)} FROM wk"
+    # everything pending, of both shards
+    backlog = """pend AS (SELECT DISTINCT remark, st_business_cycle, step_id FROM status
+  WHERE c_status = 0 OR e_status = 0 OR i_status = 0 OR t_status = 0 OR v_status = 0)"""
+    q["backlog_rows"] = _with(PROC, STATUS, backlog, _a_all_src(), thin_ctes("allsrc", A_KEYS_CAT, A_ORDER, a)) + "," + join_back + f"""
+SELECT concat_ws(',', handle, zip_category, '{C.RUN_TS[:10]}') AS handle, zip_category, {_cols(["sequence_id", "pv_voltage", "pv_charge_energy"])}
+FROM wk SEMI JOIN pend ON {_same("wk", "pend", KEYS)}"""
+    flags = ", ".join(f"CAST(CASE WHEN p.remark IS NOT NULL THEN 1 ELSE s.{f} END AS BIGINT) AS {f}"
+                      for f in ["c_status", "e_status", "i_status", "t_status", "v_status"])
+    q["backlog_status"] = _with(STATUS, backlog) + f"""
+SELECT s.remark, CAST(s.st_business_cycle AS BIGINT) AS st_business_cycle, CAST(s.step_id AS BIGINT) AS step_id, {flags},
+  strftime(CASE WHEN p.remark IS NOT NULL THEN TIMESTAMP '{C.RUN_TS}' ELSE s.modified_date_time END, '%Y-%m-%d %H:%M:%S') AS modified_date_time,
+  CASE WHEN p.remark IS NOT NULL THEN 'spark' ELSE s.modified_user END AS modified_user
+FROM status s LEFT JOIN pend p ON {_same("s", "p", KEYS)}"""
+    q["ordered_load"] = _with(PROC) + f"""
+SELECT {_cols([*KEYS, "sequence_id", "handle", "pv_voltage"])},
+  row_number() OVER (ORDER BY remark, st_business_cycle, step_id, sequence_id, handle) AS position FROM proc"""
     split_cols = [c for c in PROCESS_COLUMNS if c != "step_logic_number"]
     q["split_and_rejoin"] = _with(PROC) + f"\nSELECT {_cols(split_cols)} FROM proc"
     q["split_fields"] = _with(PROC) + """,

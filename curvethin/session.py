@@ -69,9 +69,16 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_stored(spark: SparkSession) -> None:
-    """Deletes what ``store`` wrote in this application; frames that read it are no longer usable."""
+def stored(spark: SparkSession) -> int:
+    """How many tables ``store`` has written in this application and not yet deleted."""
+    return len(_STORED.get(spark.sparkContext.applicationId, []))
+
+
+def clear_stored(spark: SparkSession, keep: int = 0) -> None:
+    """Deletes what ``store`` wrote in this application, but for the first ``keep`` tables; frames that
+    read them are no longer usable."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _STORED.pop(spark.sparkContext.applicationId, []):
-        p = jvm.org.apache.hadoop.fs.Path(path)
+    paths = _STORED.get(spark.sparkContext.applicationId, [])
+    while len(paths) > keep:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
         p.getFileSystem(conf).delete(p, True)

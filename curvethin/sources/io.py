@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from typing import Any, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ThinConfig
@@ -46,6 +46,84 @@ def read_jdbc(spark: SparkSession, url: str, *, table: str | None = None,
     return r.load()
 
 
+# Histogram buckets asked for at once, for each partition wanted.
+BUCKETS = 32
+
+
+def _histogram(spark: SparkSession, url: str, table: str, column: str, low: int, width: int, buckets: int,
+               options: Mapping[str, Any]) -> dict[int, int]:
+    """Rows in each of ``buckets`` ranges of ``width`` values from ``low`` on, counted by the database."""
+    inside = f"{column} >= {low} AND {column} < {low + width * buckets}"
+    sql = (f"SELECT B, COUNT(*) AS N FROM (SELECT ({column} - ({low})) / {width} AS B FROM {table} WHERE {inside}) Q GROUP BY B")
+    rows = read_jdbc(spark, url, query=sql, options=options).collect()  # at most ``buckets`` rows
+    return {int(r[0]): int(r[1]) for r in rows}
+
+
+def jdbc_ranges(spark: SparkSession, url: str, table: str, column: str, partitions: int,
+                options: Mapping[str, Any] | None = None) -> list[str]:
+    """Predicates that cut a table into about ``partitions`` parts of equal size by an integer column, nulls apart.
+
+    The database counts rows in ranges of equal width; ranges that hold more than a part's share are counted again in finer ones,
+    until a range is small enough or is a single value. Neighbours are then joined up to a part's share.
+    A value that alone has more rows than that is a part of its own, as no range can cut it.
+    """
+    options = dict(options or {})
+    ends = read_jdbc(spark, url, query=f"SELECT MIN({column}) AS LO, MAX({column}) AS HI, COUNT({column}) AS N, COUNT(*) AS A FROM {table}",
+                     options=options).first()
+    n, every = int(ends[2]), int(ends[3])
+    parts = [f"{column} IS NULL"] if every > n else []
+    if not n:
+        return parts
+    low, high = int(ends[0]), int(ends[1])
+    share, buckets = max(1, n // max(1, partitions)), BUCKETS * max(1, partitions)
+    todo, done = [(low, high + 1, n)], []
+    while todo:
+        a, b, rows = todo.pop()
+        if rows * 4 <= share or b - a == 1:
+            done.append((a, b, rows))
+            continue
+        width = -(-(b - a) // buckets)
+        for i, k in _histogram(spark, url, table, column, a, width, -(-(b - a) // width), options).items():
+            todo.append((a + i * width, min(b, a + (i + 1) * width), k))
+    bounds, held = [], 0
+    for a, _, rows in sorted(done):
+        if held and held + rows > share * 1.25:
+            bounds.append(a)
+            held = 0
+        held += rows
+    edges = [None, *bounds, None]
+    for a, b in zip(edges[:-1], edges[1:]):
+        said = [f"{column} >= {a}" if a is not None else "", f"{column} < {b}" if b is not None else ""]
+        parts.append(" AND ".join(x for x in said if x) or f"{column} IS NOT NULL")
+    return parts
+
+
+def read_jdbc_balanced(spark: SparkSession, url: str, table: str, column: str, partitions: int,
+                       options: Mapping[str, Any] | None = None, fetchsize: int = 10_000) -> DataFrame:
+    """A table read in parallel parts of about equal size, however skewed its integer ``column`` is."""
+    predicates = jdbc_ranges(spark, url, table, column, partitions, options) or ["1 = 1"]
+    properties = {"fetchsize": str(fetchsize), **{k: str(v) for k, v in (options or {}).items()}}
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[str], rows_per_file: int = 5_000_000) -> None:
+    """Files that are sorted inside and among each other (by name): no task sorts more than a file."""
+    rows = df.count()
+    parts = max(1, -(-rows // rows_per_file))
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """Rows of ``write_ordered`` with their place in the whole (from 1), from the files' order and the rows' places in them."""
+    m = F.col("_metadata")
+    rows = spark.read.parquet(path).select("*", m["file_name"].alias("_file"), m["row_index"].alias("_at"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row a file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("_file").alias("_name"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.join(files, F.col("_file") == F.col("_name"))
+    return rows.withColumn(position, F.col("_before") + F.col("_at") + 1).drop("_file", "_name", "_before", "_at")
+
+
 def normalize_blank(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Empty strings become null in the given (default: all string) columns."""
     cols = columns if columns is not None else [

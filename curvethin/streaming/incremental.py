@@ -12,7 +12,6 @@ done, so a restart resumes after the last committed micro-batch.
 
 from __future__ import annotations
 
-import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ThinConfig
 from ..plans import pipeline as P
-from ..operators.series import join_same
 from ..sources.fixtures import PROCESS_KEYS
 
 # Micro-batches with at most this many series keys broadcast them.
@@ -34,33 +32,28 @@ def process_micro_batch(process: DataFrame, keys: DataFrame, cfg: ThinConfig,
                         run_ts: str | None = None, split: str = "auto") -> None:
     """Thin the series of ``keys`` (pending rows of a micro-batch).  If that fails, its keys are
     written as failed and the cause is raised."""
-    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    run_ts = P.run_time(run_ts)
     pending = (keys.filter(P.pending_filter()).select(*PROCESS_KEYS)
                .dropDuplicates(PROCESS_KEYS).persist())
     # a micro-batch's key set is broadcast when its counted size allows;
     # otherwise a shuffle join (AQE splits skewed partitions)
     small = pending.count() <= BROADCAST_KEYS
-    scored = None
 
     def done(outcome: DataFrame) -> None:
         write_status(outcome.withColumn("modified_date_time", F.lit(run_ts).cast("timestamp"))
                             .withColumn("modified_user", F.lit("spark")))
 
     try:
-        rows = P.number_process_rows(P.load_rows(process, pending, broadcast_keys=small), cfg)
-        scored = (P.score_metrics(rows, cfg, split=split, position="row_num")
-                  .select(*PROCESS_KEYS, "row_num", "zip_category", "keep", "failed").persist())
-        write_rows(P.compressed_output(P.join_back(rows, scored.filter(F.col("keep"))), run_ts))
-        outcome = join_same(pending, P.series_outcome(scored), PROCESS_KEYS, "left").select(
-            *PROCESS_KEYS,
-            F.when(F.coalesce("failed", F.lit(False)), 2).otherwise(1).alias("status"))
-        done(outcome)
-    except Exception:
-        done(pending.select(*PROCESS_KEYS, F.lit(2).alias("status")))
+        rows, outcome = P.thin_batch(process, pending, cfg, run_ts, split, small)
+        write_rows(rows)
+        done(outcome.withColumnRenamed("value", "status"))
+    except Exception as cause:
+        try:
+            done(pending.select(*PROCESS_KEYS, F.lit(2).alias("status")))
+        except Exception as second:
+            raise second from cause  # neither is lost
         raise
     finally:
-        if scored is not None:
-            scored.unpersist()
         pending.unpersist()
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from curvethin.config import ThinConfig
 from curvethin.plans import ledger as LG
 from curvethin.plans import pipeline as P
+from curvethin.session import stored
 from curvethin.sources import fixtures as FX
 from curvethin.sources.files import Records
 from curvethin.sources.sinks import JdbcSink, ParquetSink
@@ -52,7 +53,9 @@ def run(ledger, tables, sink):
 def test_pages(spark, tables, expected, tmp_path):
     ledger, sink = LG.Ledger(spark, str(tmp_path / "ledger")), ParquetSink(spark, str(tmp_path / "sink"))
     ledger.publish(tables[1])
+    held = stored(spark)
     after = run(ledger, tables, sink)
+    assert stored(spark) == held  # intermediate tables are gone
     assert (contents(sink.read(), P.OUTPUT_COLUMNS), contents(after)) == expected
     assert after.count() == tables[1].count()
     plan = spark.read.parquet(f"{ledger.root}/{ledger.records.get('plans/0')}")

@@ -96,7 +96,7 @@ def test_pieces_hold_a_sum_in_any_order():
 
 
 def test_work_hardly_grows_with_levels(monkeypatch):
-    """Points interpolated: about twice the logarithm of the number of levels, for each point."""
+    """Points interpolated grow with the logarithm of the number of levels, up to that of the points."""
     rng = np.random.default_rng(4)
     ys = [np.cumsum(rng.normal(size=400)) for _ in range(100)]
     work, errors = {}, L.gap_errors
@@ -108,4 +108,4 @@ def test_work_hardly_grows_with_levels(monkeypatch):
     monkeypatch.setattr(L, "gap_errors", counted)
     for n in (10, 100, 1000):
         thinned(ys, ThinConfig(target=1.0, start=1 / n, step=1 / n), False)
-    assert work[100] < 2.5 * work[10] and work[1000] < 1.6 * work[100], work
+    assert work[100] < 3 * work[10] and work[1000] < 1.6 * work[100], work

@@ -152,3 +152,55 @@ def test_run_batch_per_metric_status(spark):
     rest = (new_status.join(keys, FX.PROCESS_KEYS, "left_anti").select(*status.columns)
             .orderBy(*FX.PROCESS_KEYS).collect())
     assert before == rest
+
+
+def test_jdbc_ranges_of_a_skewed_column(spark):
+    """Equal parts of a column whose values crowd at one end, with a heavy value and nulls; every row in one part."""
+    from statistics import median
+
+    from curvethin.sources.io import jdbc_ranges, read_jdbc_balanced
+
+    url, opts = "jdbc:derby:memory:skewed;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.range(6000).selectExpr("CAST(CASE WHEN id % 40 = 0 THEN NULL WHEN id % 7 = 0 THEN 1000000000 + id "
+                                        "ELSE pow(id / 6000.0, 6) * 40000 - 50 END AS BIGINT) AS K", "id AS V")
+    write_jdbc(rows.repartition(3), url, "SKEWED", opts, mode="overwrite")
+    parts = jdbc_ranges(spark, url, "SKEWED", "K", 8, opts)
+    assert parts[0] == "K IS NULL"
+    back = read_jdbc_balanced(spark, url, "SKEWED", "K", 8, opts)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    counts = {r[0]: (r[1], r[2]) for r in back.filter("K IS NOT NULL").groupBy(F.spark_partition_id())
+              .agg(F.count("*"), F.countDistinct("K")).collect()}
+    wide = [n for n, values in counts.values() if values > 1]
+    assert len(counts) >= 6 and max(wide) <= 2 * median(n for n, _ in counts.values())
+    none = spark.createDataFrame([], "K bigint, V bigint")
+    write_jdbc(none, url, "NOTHING", opts, mode="overwrite")
+    assert read_jdbc_balanced(spark, url, "NOTHING", "K", 4, opts).count() == 0
+
+
+def test_ordered_files(spark):
+    """Sorted inside each file and among them, by position."""
+    import os
+
+    from curvethin.sources.io import read_ordered, write_ordered
+
+    path = tempfile.mkdtemp(prefix="curvethin-ordered-") + "/rows"
+    rows = FX.process_rows(spark, SF_SMALL).select("remark", "sequence_id", "handle")
+    write_ordered(rows, path, ["remark", "sequence_id", "handle"], rows_per_file=700)
+    got = [tuple(r) for r in read_ordered(spark, path).orderBy("position").collect()]
+    assert [r[3] for r in got] == list(range(1, rows.count() + 1))
+    assert [r[:3] for r in got] == sorted(map(tuple, rows.collect()), key=lambda r: (r[0].encode(), r[1], r[2].encode()))
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) > 4
+
+
+def test_failed_status_write_keeps_the_cause(spark):
+    from curvethin.streaming.incremental import process_micro_batch
+
+    def rows(df):
+        raise RuntimeError("sink down")
+
+    def status(df):
+        raise RuntimeError("status down")
+
+    with pytest.raises(RuntimeError, match="status down") as e:
+        process_micro_batch(FX.process_rows(spark, SF_SMALL), FX.status_rows(spark, SF_SMALL), ThinConfig(target=0.5), rows, status)
+    assert str(e.value.__cause__) == "sink down"
