@@ -106,11 +106,11 @@ WITH c AS (
   SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS turns
   FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
   GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN {'n': turn, 'r': role, 't': text} END),
-r AS (SELECT *, conv_id // 1000 AS block, list_filter(turns, lambda t: t.role = 'assistant')[-1].text AS reply,
+r AS (SELECT *, conv_id IS NULL AS lone, list_filter(turns, lambda t: t.role = 'assistant')[-1].text AS reply,
   list_max(list_transform(turns, lambda t, i: CASE WHEN t.role = 'assistant' THEN i ELSE 0 END)) AS last FROM c),
-n AS (SELECT *, lead(conv_id) OVER a AS same_id, lead(turns) OVER a AS same, lead(conv_id) OVER b AS near_id,
+n AS (SELECT *, lead(conv_id) OVER a AS same_id, CASE WHEN NOT lone THEN lead(turns) OVER a END AS same, lead(conv_id) OVER b AS near_id,
     CASE WHEN conv_id IS NOT NULL THEN lead(reply) OVER b END AS near
-  FROM r WINDOW a AS (PARTITION BY block, turns[1] ORDER BY conv_id), b AS (PARTITION BY block ORDER BY conv_id)),
+  FROM r WINDOW a AS (PARTITION BY lone, turns[1] ORDER BY conv_id), b AS (PARTITION BY lone ORDER BY conv_id)),
 p AS (SELECT conv_id, coalesce(same_id, near_id) AS other_id, turns,
   CASE WHEN same_id IS NOT NULL THEN same
     ELSE list_transform(turns, lambda t, i: CASE WHEN i = last AND near IS NOT NULL THEN {'role': t.role, 'text': near} ELSE t END) END AS other FROM n),

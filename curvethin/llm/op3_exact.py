@@ -178,14 +178,16 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns, whatever their names."""
+    taken = {c.lower() for c in docs.columns}
+    did, sha, stays = (next(n for n in (f"_{name}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken) for name in ("did", "sha", "kept"))
     found = ingest(*halves(docs)).where("group_size > 1")
-    key = [F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("_did"), F.col("text_sha256").alias("_sha")]
-    marks = found.select(*key, F.col("kept").alias("_kept")).distinct()
-    rows = docs.select("*", F.coalesce("doc_id", F.lit(T.NULL_ID)).alias("_did"), F.sha2(normalised(F.col("text")), 256).alias("_sha"))
-    rows = rows.join(marks, ["_did", "_sha"], "left")
-    single = rows.where("_kept is null").select(*docs.columns)
-    return single.unionByName(rows.where("_kept").dropDuplicates(["_did", "_sha"]).select(*docs.columns))
+    id_ = F.coalesce("doc_id", F.lit(T.NULL_ID)).alias(did)
+    marks = found.select(id_, F.col("text_sha256").alias(sha), F.col("kept").alias(stays)).distinct()
+    rows = docs.select("*", id_, F.sha2(normalised(F.col("text")), 256).alias(sha))
+    rows = rows.join(marks, [did, sha], "left")
+    single = rows.where(F.col(stays).isNull()).select(*docs.columns)
+    return single.unionByName(rows.where(stays).dropDuplicates([did, sha]).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

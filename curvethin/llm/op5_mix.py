@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash thresholds, without sorting documents.
 
-Every document gets a fixed hash of its doc_id (``BITS`` bits). For a source whose target is ``target``
+Every document gets a fixed hash of its doc_id and text (``BITS`` bits), so that rows under a null or repeated id are told apart. For a source whose target is ``target``
 words out of ``size``, every document is taken ``floor(target / size)`` times whole, and those below a hash
 threshold once more. The threshold of a source is found level by level: words are summed by (source, hash
 bucket), the running sum over the buckets finds the one in which the budget runs out, and only the rows in
@@ -16,8 +16,8 @@ Targets: sources by code point, null last, weigh ``weights`` in turn and share `
 a target stops at ``cap`` times its source's size and the excess is shared again by weight. The fixed point
 is target = min(cap * size, rate * weight); the rate follows from one running sum over the sources.
 
-Defined results: null and empty texts have size 0 and are taken 0 times; repeated rows (same doc_id)
-have one hash and are taken together; a null doc_id hashes as the empty text; further columns are ignored; an
+Defined results: null and empty texts have size 0 and are taken 0 times; rows that repeat in doc_id and text
+have one hash and are taken together; a null doc_id hashes as the empty text beside its own; further columns are ignored; an
 empty table gives no rows.
 """
 
@@ -43,7 +43,8 @@ def size_of(text: Column | str) -> Column:
 
 
 def _hash() -> Column:
-    return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, BITS // 4), 16, 10).cast("long")
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(key), 1, BITS // 4), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -112,7 +113,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS h FROM documents),
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 12) AS BIGINT) AS h FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
 r AS (SELECT *, (1.5 * (SELECT sum(source_size) FROM s)

@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from curvethin.llm import op4_substring, op9_secrets
+from curvethin.llm import op3_exact, op4_substring, op5_mix, op9_secrets
 
 
 def _reported(spark, texts):
@@ -19,7 +19,7 @@ def test_overlapping_parts_do_not_vouch_for_each_other(spark):
     got = _reported(spark, ["read https://example.com/docs/GuideToSpark2024Windows now", "user=AbCdEf1234567890abcdefGHIJ",
                             "user=bob https://example.com/docs/GuideToSpark2024Windows", "user: bob AbCdEf1234567890abcdefGHIJ"])
     assert got[0] == got[1] == []
-    assert [k for _, k, _ in got[2]] == ["identifier", "endpoint", "secret"] and [k for _, k, _ in got[3]] == ["identifier", "secret"]
+    assert [k for _, k, _ in got[2]] == ["identifier", "secret"] and [k for _, k, _ in got[3]] == ["identifier", "secret"]
 
 
 def test_long_runs(spark):
@@ -59,3 +59,20 @@ def test_rows_of_one_id_are_told_apart(spark):
         data = [(i, f"{passage} {a}"), (i, b), (8, f"{passage} other"), (i, "one")]
         got = op4_substring.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(2)).collect()
         assert sorted((r["doc_id"] or 0, r["kept"]) for r in got) == sorted([(i or 0, a), (i or 0, b), (8, "other"), (i or 0, "one")])
+
+
+def test_mix_of_rows_under_one_id(spark):
+    """Fifty texts under a null id, and fifty under one id, are taken near their sources' targets."""
+    text = lambda s, i: " ".join(f"{s}{i}w{k}" for k in range(100))
+    data = [(None, text("a", i), "a") for i in range(50)] + [(3, text("b", i), "b") for i in range(50)] + [(i, text("c", i), "c") for i in range(100, 150)]
+    got = op5_mix.mix(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    for s in "abc":
+        target = next(r["target"] for r in got if r["source"] == s)
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - target) <= 100
+
+
+def test_exact_dedup_with_names_of_its_own(spark):
+    data = [(1, "a b", 7, "s", True), (2, "a  b", 8, "t", False), (None, "c", 9, "u", None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, _did long, _sha string, _kept boolean")
+    assert sorted((tuple(r) for r in op3_exact.dedup(docs).collect()), key=repr) == sorted([data[0], data[2]], key=repr)
+    assert op3_exact.dedup(docs).columns == docs.columns
