@@ -2,12 +2,15 @@
 
 A batch's rows are first staged, by a distributed write that may fail or be repeated, and then committed in one
 step under the batch's name. Staging again starts afresh; committing again does nothing. Rows that were
-staged but not committed are not part of the table.
+staged but not committed are not part of the table. A sink with ``many`` also takes a list of batches, whose rows name theirs in
+a column ``batch``: they are staged by one write and committed in one step; those committed before stay as they are.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 from typing import Any, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,28 +22,50 @@ from .io import read_jdbc, write_jdbc
 
 
 class ParquetSink:
-    """A folder of Parquet files, one subfolder for each staged batch; a record names the subfolder that counts."""
+    """A folder of Parquet files, a subfolder for what is staged at once; a record names the subfolder that counts,
+    and for a list of batches those of its rows that do."""
+
+    many = True
 
     def __init__(self, spark: SparkSession, root: str, partition_by: tuple[str, ...] = ("zip_category",)):
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), partition_by
         self._records = Records(spark, f"{self.root}/_batches")
 
-    def stage(self, rows: DataFrame, batch: str) -> str:
-        folder = f"_staged={batch}-{uuid.uuid4().hex}"
+    def stage(self, rows: DataFrame, batch: str | list[str]) -> str:
+        name = batch if isinstance(batch, str) else f"{batch[0]}+{len(batch)}"
+        folder = f"_staged={name}-{uuid.uuid4().hex}"
         rows.write.partitionBy(*self.partition_by).parquet(f"{self.root}/rows/{folder}")
         return folder
 
-    def commit(self, batch: str, staged: str) -> None:
-        if self._records.get(batch) is None:
-            self._records.put(batch, staged)
+    def commit(self, batch: str | list[str], staged: str) -> None:
+        if isinstance(batch, str) and self._records.get(batch) is not None:
+            return
+        done = {b for _, some, _ in self._committed(several=isinstance(batch, str)) for b in some}
+        if isinstance(batch, str):
+            if batch not in done:
+                self._records.put(batch, staged)
+        elif new := [b for b in batch if b not in done]:
+            text = json.dumps({"staged": staged, "batches": new, "all": len(new) == len(batch)})
+            self._records.put(f"{new[0]}+{len(new)}", text)
+
+    def _committed(self, several: bool = False) -> list[tuple[str, list[str], bool]]:
+        """(subfolder, its batches that count, whether those are all) of each record, or of those of lists."""
+        out = []
+        for name in self._records.names(""):
+            if name.startswith("_") or (several and "+" not in name):
+                continue
+            text = self._records.get(name)
+            r = json.loads(text) if text.startswith("{") else {"staged": text, "batches": [name], "all": True}
+            out.append((r["staged"], r["batches"], r["all"]))
+        return out
 
     def read(self) -> DataFrame | None:
         """The committed rows, or None before the first batch."""
-        folders = [self._records.get(b) for b in self._records.names("") if not b.startswith("_")]
-        if not folders:
-            return None
-        base = f"{self.root}/rows"
-        return self.spark.read.option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).drop("_staged")
+        committed, base = self._committed(), f"{self.root}/rows"
+        load = lambda folders: self.spark.read.option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+        parts = [load(whole).drop("_staged", "batch")] if (whole := [f for f, _, every in committed if every]) else []
+        parts += [load([f]).filter(F.col("batch").isin(some)).drop("_staged", "batch") for f, some, every in committed if not every]
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 class JdbcSink:

@@ -163,3 +163,33 @@ def test_records(spark, tmp_path):
     assert r.get("a/b") == "text é" and r.names("a") == ["b"]
     with pytest.raises(FileExistsError):
         r.put("a/b", "other")
+
+
+def test_rounds_grow(spark, tables, expected, tmp_path):
+    """Many pages take few writes, and a round that fails is halved until the failing page is alone."""
+    ledger, sink = LG.Ledger(spark, str(tmp_path / "ledger")), ParquetSink(spark, str(tmp_path / "sink"))
+    ledger.publish(tables[1])
+    stage, calls = sink.stage, []
+
+    def counting(rows, batch):
+        calls.append(batch)
+        if "0-1-1" in batch and not isinstance(batch, str):
+            raise RuntimeError("too many")
+        return stage(rows, batch)
+
+    sink.stage = counting
+    after = LG.run_ledger(tables[0], ledger, sink, CFG, RUN, limit=1)
+    pages = len(ledger.committed(0))
+    assert pages > 12 and len(calls) <= 12 and "0-1-1" in calls
+    assert (contents(sink.read(), P.OUTPUT_COLUMNS), contents(after)) == expected
+
+
+def test_batches_committed_before_stay(spark, tmp_path):
+    sink = ParquetSink(spark, str(tmp_path / "sink"))
+    rows = spark.createDataFrame([("a", 1, "C"), ("b", 2, "C"), ("c", 3, "V")], "batch string, v int, zip_category string")
+    sink.commit("a", sink.stage(rows.filter("batch = 'a'").drop("batch"), "a"))
+    for _ in range(2):
+        sink.commit(["a", "b", "c"], sink.stage(rows, ["a", "b", "c"]))
+        assert contents(sink.read(), ["v", "zip_category"]) == [(1, "C"), (2, "C"), (3, "V")]
+    sink.commit("b", sink.stage(rows.filter("batch = 'b'").drop("batch"), "b"))
+    assert sink.read().count() == 3
