@@ -144,3 +144,17 @@ def test_text_that_is_no_number_fails_its_pair_only(spark, split):
     assert failed == {(0, "V")}
     assert s.where("keep and k = 0 and zip_category = 'V'").isEmpty()
     assert s.where("keep").select("k", "zip_category").distinct().count() == 3
+
+
+def test_a_task_holds_no_more_than_a_block(spark, monkeypatch):
+    """By default a series longer than a block goes the split path, whose Python tasks hold a block each."""
+    from curvethin.operators import thin as T
+
+    cfg, seen = ThinConfig(target=0.3), []
+    assert cfg.max_series_rows <= cfg.block_rows and cfg.sort_rows <= cfg.block_rows
+    monkeypatch.setattr(T, "_score_hot", lambda df, *args, **kw: seen.append(args[4]) or T.score_local(df, ["k"], cfg, "y", order=["i"]))
+    d = spark.range(cfg.block_rows + 1).selectExpr("1 AS k", "id AS i", "CAST(id % 7 AS DOUBLE) AS y")
+    T.score(d, ["k"], ["i"], "y", cfg)
+    assert seen == [1]
+    T.score(d.limit(cfg.block_rows), ["k"], ["i"], "y", cfg)
+    assert seen == [1]
