@@ -10,9 +10,10 @@ its format (digits, groups, separators, longest group, brackets, checks) and con
 before it). One ensemble of depth-2 trees for each kind is boosted on logistic loss. Positives are base spans and
 the same spans rewritten the way the generators allow (no "+" and country code, "(at)", a port, further digits beside it ...), at their exact
 alignment; negatives are candidates that touch no base span, and those that reach over a rewritten span's edge. A kind's threshold is the lowest that keeps PRECISION on rows not used for boosting; a kind
-without enough rows adds nothing. Of overlapping candidates the highest margin is added (the longer of equals); added spans overlap no other span.
+without enough rows adds nothing. All documents are used: training rows that are alike become one with a count, and each tree is grown from
+histograms that Spark sums over them in whole numbers, so neither their order nor their partitions matter. Of overlapping candidates the highest margin is added (the longer of equals); added spans overlap no other span.
 
-The trees are fitted on at most ``SAMPLE`` documents (smallest hash of doc_id); every whole text is scanned.
+The driver gets sums only: quantiles of the features, a histogram for each task and kind, counts by margin.
 
 Defined results: null counts as empty; offsets are code points, end exclusive; texts without candidates have empty
 lists; repeated rows give equal results; further columns are ignored.
@@ -32,14 +33,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvethin.llm import textops as T
+from curvethin.session import store
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 4000
 PRECISION = 0.99
 TREES = 40
 RATE = 0.2
 LEAST_ROWS = 20
 SCORED = 20_000  # candidates described at once
+CUTS = np.linspace(0.05, 0.95, 12)  # quantiles of a feature at which a tree may cut
+BINS = len(CUTS) + 1
+UNIT = 2.0 ** 24  # gradients are summed as whole numbers of 1 / UNIT
+GRID = 1024  # margins are told apart in steps of 1 / GRID when a threshold is chosen
 
 # Possessive quantifiers where the next item can't begin inside the run: same matches, no quadratic retries.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -222,71 +227,162 @@ class Boosted:
         return out
 
 
-def _split(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarray]) -> tuple[int, float, float]:
-    """The feature and cut with the largest gain."""
-    best = (0, np.inf, -1.0)
+@dataclass
+class Rows:
+    """Training rows of a kind, with how often each counts."""
+
+    x: np.ndarray
+    y: np.ndarray
+    n: np.ndarray
+
+
+def _sums(rows: dict[int, Rows], models: dict[int, Boosted], roots: dict[int, tuple], cuts: dict[int, list]) -> dict[int, np.ndarray]:
+    """Of each kind: sums of gradients and second derivatives by side of the root's cut, feature and bin."""
+    out = {}
+    for kind, model in models.items():
+        total = np.zeros((2, N_FEATURES, BINS, 2))
+        if kind in rows:
+            r = rows[kind]
+            p = 1 / (1 + np.exp(-model.margin(r.x)))
+            parts = np.rint((r.y - p) * UNIT) * r.n, np.rint(np.maximum(p * (1 - p), 1e-6) * UNIT) * r.n
+            side = BINS * (r.x[:, roots[kind][0]] > roots[kind][1]) if kind in roots else 0
+            for f, values in enumerate(cuts[kind]):
+                at = side + np.searchsorted(values, r.x[:, f])
+                for k, v in enumerate(parts):
+                    total[:, f, :, k] = np.bincount(at, v, 2 * BINS).reshape(2, BINS)
+        out[kind] = total.astype(np.int64)
+    return out
+
+
+def _split(sums: np.ndarray, cuts: list[np.ndarray]) -> tuple[int, float, float, float]:
+    """The feature and cut with the largest gain, and the values of the leaves below and above it."""
+    best, most = (0, np.inf, 0.0, 0.0), -1.0
+    g, h = sums[0].sum(axis=0) / UNIT
     for f, values in enumerate(cuts):
-        for c in values:
-            hi = x[:, f] > c
-            g1, h1, g, h = grad[hi].sum(), hess[hi].sum(), grad.sum(), hess.sum()
+        above = np.cumsum(sums[f, ::-1], axis=0)[::-1] / UNIT
+        for j, c in enumerate(values):
+            g1, h1 = above[j + 1]
             gain = g1 * g1 / (h1 + 1) + (g - g1) ** 2 / (h - h1 + 1)
-            if gain > best[2] + 1e-12:
-                best = (f, float(c), gain)
+            if gain > most + 1e-12:
+                best, most = (f, float(c), float(RATE * (g - g1) / (h - h1 + 1)), float(RATE * g1 / (h1 + 1))), gain
     return best
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Boosted:
-    """Depth-2 trees by Newton boosting on logistic loss."""
-    rate = np.clip(y.mean(), 0.01, 0.99)
-    model = Boosted(float(np.log(rate / (1 - rate))), [])
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0.05, 0.95, 12))) for f in range(x.shape[1])]
-    for _ in range(TREES):
-        p = 1 / (1 + np.exp(-model.margin(x)))
-        grad, hess = y - p, np.maximum(p * (1 - p), 1e-6)
-        f, cut, _gain = _split(x, grad, hess, cuts)
-        above, sides = x[:, f] > cut, []
-        for side in (~above, above):
-            g, c, _gain = _split(x[side], grad[side], hess[side], cuts) if side.any() else (0, np.inf, 0.0)
-            hi = side & (x[:, g] > c)
-            lo = side & ~(x[:, g] > c)
-            sides.append((g, c, float(RATE * grad[lo].sum() / (hess[lo].sum() + 1)), float(RATE * grad[hi].sum() / (hess[hi].sum() + 1))))
-        model.trees.append((f, cut, sides))
-    return model
+def boost(sums, starts: dict[int, float], cuts: dict[int, list]) -> dict[int, Boosted]:
+    """Depth-2 trees by Newton boosting on logistic loss, for all kinds at once; ``sums(models, roots)`` as ``_sums``."""
+    models = {kind: Boosted(start, []) for kind, start in starts.items()}
+    for _ in range(TREES if models else 0):
+        whole = sums(models, {})
+        roots = {kind: _split(whole[kind][0], cuts[kind])[:2] for kind in models}
+        sides = sums(models, roots)
+        for kind, model in models.items():
+            model.trees.append((*roots[kind], [_split(side, cuts[kind]) for side in sides[kind]]))
+    return models
+
+
+def _start(positive: float, rows: float) -> float:
+    rate = np.clip(positive / rows, 0.01, 0.99)
+    return float(np.log(rate / (1 - rate)))
+
+
+def _threshold(steps: np.ndarray, n: np.ndarray, positive: np.ndarray) -> float | None:
+    """The lowest margin, in steps, from which on PRECISION is kept."""
+    order = np.argsort(-steps)
+    good = np.flatnonzero(np.cumsum(positive[order]) >= PRECISION * np.cumsum(n[order]))
+    return float(max(steps[order][good[-1]] / GRID, 0.0)) if len(good) else None
+
+
+def _chosen(models: dict[int, Boosted], counts: dict[int, tuple]) -> list[tuple[Boosted, float] | None]:
+    """For each kind, the trees and the threshold on their margin; None adds nothing. ``counts``: of each kind its steps of
+    margins, how many checked rows have them and how many of those are positive."""
+    limit = {kind: _threshold(*map(np.array, counts[kind])) for kind in models if kind in counts}
+    return [(models[kind], limit[kind]) if limit.get(kind) is not None else None for kind in range(len(KINDS))]
 
 
 def train(rows: list[tuple[int, int, list[float]]]) -> list[tuple[Boosted, float] | None]:
-    """For each kind, the trees and the threshold on their margin; None adds nothing."""
-    out: list[tuple[Boosted, float] | None] = []
+    """``fit`` of training rows at hand, every third of which is kept for the threshold."""
+    fitted, counts, starts, cuts = {}, {}, {}, {}
     for kind in range(len(KINDS)):
         mine = sorted((r[1:] for r in rows if r[0] == kind), key=lambda r: (r[1], r[0]))
         y = np.array([r[0] for r in mine], float)
         if y.sum() < LEAST_ROWS:
-            out.append(None)
             continue
         x = np.array([r[1] for r in mine], float)
         check = np.arange(len(x)) % 3 == 0
-        model = boost(x[~check], y[~check])
-        margin, truth = model.margin(x[check]), y[check]
-        order = np.argsort(-margin, kind="stable")
-        right = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
-        good = np.flatnonzero(right >= PRECISION)
-        out.append((model, float(max(margin[order][good[-1]], 0.0))) if len(good) else None)
-    return out
+        fitted[kind] = Rows(x[~check], y[~check], np.ones((~check).sum()))
+        counts[kind] = x[check], y[check]
+        starts[kind] = _start(y[~check].sum(), (~check).sum())
+        cuts[kind] = [np.unique(np.quantile(x[~check, f], CUTS)) for f in range(N_FEATURES)]
+    models = boost(lambda models, roots: _sums(fitted, models, roots, cuts), starts, cuts)
+    for kind, (x, y) in counts.items():
+        steps, at = np.unique(np.floor(models[kind].margin(x) * GRID), return_inverse=True)
+        counts[kind] = steps, np.bincount(at), np.bincount(at, y)
+    return _chosen(models, counts)
 
 
-def fit(docs: DataFrame) -> list[tuple[Boosted, float] | None]:
-    """From (doc_id, text); only the candidates' features of the sampled documents reach the driver."""
-    sample = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+def counted(docs: DataFrame) -> DataFrame:
+    """(kind, label, x, n): the training rows of all documents' texts, alike ones once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for t in batch.column("text").to_pylist() if t and _SOME.search(t) for r in _training_rows(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.float64()))],
-                ["kind", "label", "x"])
+            for some in batched(batch.column("text").to_pylist(), 500):
+                rows = [r for t in some if t and _SOME.search(t) for r in _training_rows(t)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.float64()))],
+                    ["kind", "label", "x"])
+
+    rows = docs.select("text").mapInArrow(run, "kind int, label int, x array<double>")
+    return rows.groupBy("kind", "label", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rows(batch: pa.RecordBatch, count: str) -> dict[int, Rows]:
+    kind, y, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "label", count))
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+    return {int(k): Rows(x[kind == k], y[kind == k].astype(float), n[kind == k].astype(float)) for k in np.unique(kind)}
+
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text").mapInArrow(run, "kind int, label int, x array<double>")
-    return train([(r["kind"], r["label"], list(r["x"])) for r in rows.collect()])
+def fit(docs: DataFrame) -> list[tuple[Boosted, float] | None]:
+    """From (doc_id, text), on all documents: for each kind, the trees and the threshold on their margin; None adds nothing."""
+    # a third of the rows is kept for the threshold: of alike ones every third, from a place that their hash sets
+    check = "(n + pmod(xxhash64(kind, label, x), 3)) div 3"
+    rows = store(counted(docs).selectExpr("kind", "label", "x", "n", f"n - {check} AS fit_n", f"{check} AS check_n"))
+    at = ", ".join(map(repr, CUTS.tolist()))
+    facts = rows.groupBy("kind").agg(F.sum(F.col("label") * F.col("n")).alias("positive"), F.sum("fit_n").alias("fit_n"),
+                                     F.sum(F.col("label") * F.col("fit_n")).alias("fit_positive"),
+                                     *[F.expr(f"percentile(x[{f}], array({at}), fit_n)").alias(f"x{f}") for f in range(N_FEATURES)]).collect()
+    facts = {r["kind"]: r for r in facts if r["positive"] >= LEAST_ROWS and r["fit_n"]}
+    cuts = {kind: [np.unique(r[f"x{f}"]) for f in range(N_FEATURES)] for kind, r in facts.items()}
+
+    def sums(models: dict[int, Boosted], roots: dict[int, tuple]) -> dict[int, np.ndarray]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for kind, some in _sums(_rows(batch, "fit_n"), models, roots, cuts).items():
+                    total[kind] = total[kind] + some if kind in total else some
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.ravel() for v in total.values()], pa.list_(pa.int64()))], ["kind", "sums"])
+
+        out = {kind: np.zeros((2, N_FEATURES, BINS, 2), np.int64) for kind in models}
+        for r in rows.mapInArrow(run, "kind int, sums array<long>").collect():
+            out[r["kind"]] += np.array(r["sums"], np.int64).reshape(2, N_FEATURES, BINS, 2)
+        return out
+
+    models = boost(sums, {kind: _start(r["fit_positive"], r["fit_n"]) for kind, r in facts.items()}, cuts)
+
+    def margins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, r in _rows(batch, "check_n").items():
+                if kind in models:
+                    step = np.floor(models[kind].margin(r.x) * GRID).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(step), kind, np.int32)), pa.array(step), pa.array(r.n.astype(np.int64)), pa.array((r.n * r.y).astype(np.int64))],
+                                                     ["kind", "step", "n", "positive"])
+
+    counts: dict[int, list] = {}
+    if models:
+        checked = rows.where("check_n > 0").mapInArrow(margins, "kind int, step long, n long, positive long")
+        for r in checked.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).collect():
+            for values, v in zip(counts.setdefault(r["kind"], [[], [], []]), (r["step"], r["n"], r["positive"])):
+                values.append(v)
+    return _chosen(models, counts)
 
 
 def _with_added(text: str, base: list[tuple[int, int, int]], models: list) -> list[tuple[int, int, int]]:
