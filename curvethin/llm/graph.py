@@ -13,15 +13,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among the neighbours (partial aggregation combines a hub's
     edges map-side) and then the label's own label. Rounds grow with the logarithm of the longest
-    path. Labels are checkpointed each round; only a count of changes reaches the driver.
+    path. Labels are checkpointed each round; only a count of changes reaches the driver. Tables are merged by hint: small ones
+    would be broadcast anew in each round, by a job of its own each, and the driver holds each broadcast until it collects garbage.
     """
     back = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     both = T.cut(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(back).distinct())
-    labels = T.cut(nodes.select("id", F.col("id").alias("component")))
+    # the first round needs no labels: each id still is its own
+    first = both.groupBy("v").agg(F.min("u").alias("near")).hint("merge")
+    labels = T.cut(nodes.join(first, nodes["id"] == first["v"], "left").select("id", F.least("id", "near").alias("component")))
     while True:
-        near = both.join(labels, both["u"] == labels["id"]).groupBy("v").agg(F.min("component").alias("near"))
+        near = both.join(labels.hint("merge"), both["u"] == labels["id"]).groupBy("v").agg(F.min("component").alias("near"))
+        near = near.hint("merge")
         step = labels.join(near, labels["id"] == near["v"], "left").select("id", F.col("component").alias("old"), F.least("component", "near").alias("l"))
-        jump = labels.select(F.col("id").alias("l"), F.col("component").alias("far"))
+        jump = labels.select(F.col("id").alias("l"), F.col("component").alias("far")).hint("merge")
         step = T.cut(step.join(jump, "l", "left").select("id", "old", F.least("l", "far").alias("component")))
         labels = step.select("id", "component")
         if step.where("component < old").limit(1).count() == 0:
