@@ -98,10 +98,13 @@ def _match_block(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
               .join(F.broadcast(probe), "h").select("did", "tag", F.explode("ns").alias("n"), "p"))
     places = T.cut(places.groupBy("did", "tag").agg(F.collect_set(F.struct("p", "n")).alias("at")))
     touched = docs.join(T.sized(places.select("did", "tag")), ["did", "tag"], "left_semi").join(places, ["did", "tag"])
-    some = F.expr(f"transform(sequence(0, size(at) - 1, {HITS}), i -> slice(at, i + 1, {HITS}))")
-    touched = _shingles(touched, size).select("did", "tag", "hs", F.explode(some).alias("some"))
+    # equal windows of a text are told before they are cut out: those of its last shared places begin alike
     start = f"greatest(least(x.p, size(hs) - (x.n - {size - 1})), 0)"
-    window = f"named_struct('n', x.n, 'start', {start}, 'part', slice(hs, {start} + 1, x.n - {size - 1}))"
+    spots_of = f"array_distinct(transform(at, x -> cast(x.n as bigint) * {1 << 32} + {start}))"
+    some = F.expr(f"transform(array({spots_of}), s -> transform(sequence(0, size(s) - 1, {HITS}), i -> slice(s, i + 1, {HITS})))[0]")
+    touched = _shingles(touched, size).select("did", "tag", "hs", F.explode(some).alias("some"))
+    n, at = f"cast(x div {1 << 32} as int)", f"cast(x % {1 << 32} as int)"
+    window = f"named_struct('n', {n}, 'start', {at}, 'part', slice(hs, {at} + 1, {n} - {size - 1}))"
     seen = touched.select("did", "tag", F.explode(F.expr(f"transform(some, x -> {window})")).alias("w")).select("did", "tag", "w.*")
     seen = T.cut(seen.withColumn("content", F.xxhash64("part")).distinct())
 
